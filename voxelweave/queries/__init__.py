@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("objects",)
+_MODULES = ("objects", "pixels", "tiles")
 
 
 def all_queries() -> dict:
     merged = {}
     for name in _MODULES:
-        merged.update(import_module(f"voxelweave.queries.{name}").QUERIES)
+        merged.update(import_module(f"voxelweave.queries.{name}").query.queries)
     return merged
 
 
 def all_oracles() -> dict:
     merged = {}
     for name in _MODULES:
-        merged.update(import_module(f"voxelweave.queries.{name}").ORACLE)
+        merged.update(import_module(f"voxelweave.queries.{name}").query.oracles)
     return merged

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voxelweave.functions.sizing import new_path
 from voxelweave.operators import objects as ob
 from voxelweave.operators import projections as pr
+from voxelweave.queries.registry import Registry
 from voxelweave.sources import fixtures as fx
 from voxelweave.sources.fixtures import with_views
 from voxelweave.sources.mip_store import materialize_mips, store_info
@@ -19,18 +20,7 @@ SETTINGS = {
     "R": {"color": "#0080ff", "contrast_range": [5.0, 95.0]},
 }
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+query = Registry()
 
 
 def labels(spark, sf):
