@@ -42,7 +42,7 @@ def with_block_key(voxels: DataFrame, block: Shape) -> DataFrame:
 def to_blocks(voxels: DataFrame, shape: Shape, block: Shape = DEFAULT_BLOCK, dtype: str = "uint16") -> DataFrame:
     """Sparse voxels -> dense blocks; blocks without any stored voxel are omitted (background)."""
 
-    def scatter(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def scatter(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         origin = [int(k) * b for k, b in zip(key[2:], block)]
         extent = [min(b, n - o) for b, n, o in zip(block, shape, origin)]
         array = np.zeros(extent, dtype=dtype)
@@ -115,7 +115,7 @@ def halo_blocks(blocks: DataFrame, shape: Shape, block: Shape, halo: Shape) -> D
     ``z0, y0, x0`` is the widened origin; the core origin is ``key * block``.
     """
 
-    def join_parts(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def join_parts(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         origin, array = _assemble(key[2:], rows, shape, block, halo)
         return pd.DataFrame(
             [(*key, *origin, *array.shape, rows["dtype"].iloc[0], encode(array))], columns=_columns(BLOCK_SCHEMA)
@@ -134,7 +134,7 @@ def neighbourhood(
     inside (edge voxel repeated), so kernels need no border cases.
     """
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         origin, array = _assemble(key[2:], rows, shape, block, halo)
         core = [int(k) * s for k, s in zip(key[2:], block)]
         extent = [min(s, n - c) for s, n, c in zip(block, shape, core)]

@@ -114,15 +114,24 @@ def label_components(mask: DataFrame, shape: Shape, block: Shape) -> DataFrame:
     return label_blocks(mask, shape, block, 1, lambda array: local_components(array > 0))
 
 
-def otsu_threshold(values: DataFrame, bins: int = OTSU_BINS) -> DataFrame:
+def otsu_threshold(values: DataFrame, dense_size: int | None = None, bins: int = OTSU_BINS) -> DataFrame:
     """One row ``threshold``: centre of the histogram bin with the largest between-class variance.
 
-    One aggregation to ``bins`` rows; the cumulative windows run over those rows only.
+    One aggregation to ``bins`` rows; the cumulative windows run over those rows only. With
+    ``dense_size``, voxels without a row count as background 0.
     """
-    lo, hi = values.agg(F.min("value")).scalar(), values.agg(F.max("value")).scalar()
-    width = (hi - lo) / F.lit(float(bins))
+    lo, hi, stored = values.agg(F.min("value"), F.max("value"), F.count(F.lit(1))).first()
+    absent = (dense_size or stored) - stored
+    lo, hi = float(lo or 0), float(hi or 0)
+    if absent > 0:
+        lo, hi = min(lo, 0.0), max(hi, 0.0)
+    width = F.lit((hi - lo) / bins)
+    filled = values.select(F.col("value").cast("double").alias("value"), F.lit(1).cast("bigint").alias("n")).unionByName(
+        values.sparkSession.createDataFrame([(0.0, absent)], "value double, n bigint").filter("n > 0")
+    )
     index = F.least(F.floor(F.try_divide(F.col("value") - lo, width)).cast("int"), F.lit(bins - 1))
-    hist = values.groupBy(F.coalesce(index, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    hist = filled.groupBy(index.alias("bin")).agg(F.sum("n").alias("n"))
+    lo = F.lit(lo)
     hist = hist.withColumn("centre", lo + (F.col("bin") + 0.5) * width)
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     above = Window.orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
@@ -149,7 +158,7 @@ def segment_blocks(
     smoothed = gaussian_smooth(blocks, shape, block, sigma) if sigma else blocks
     if fn is None:
         smoothed = written(smoothed, "smoothed-blocks")
-        level = otsu_threshold(block_values(smoothed, shape)).first()[0]
+        level = otsu_threshold(block_values(smoothed, shape), shape.size).first()[0]
         halo = 1
 
         def fn(array, level=level):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("objects", "pixels", "tiles")
+_MODULES = ("objects", "pixels", "tiles", "volumes")
 
 
 def all_queries() -> dict:
