@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import time
 
 import duckdb
 import pandas as pd
@@ -28,10 +28,13 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
     return df.loc[order].reset_index(drop=True)
 
 
-def differences(spark_df, con, sql: str) -> str | None:
-    """None when both sides agree, else a short description."""
+def differences(spark_df, con, sql: str, seconds: list | None = None) -> str | None:
+    """None when both sides agree, else a short description; ``seconds`` collects the SQL's time."""
     left = canonical(spark_df.toPandas())
+    start = time.time()
     right = canonical(con.execute(sql).df())
+    if seconds is not None:
+        seconds.append(time.time() - start)
     if list(left.columns) != list(right.columns):
         return f"columns {list(left.columns)} != {list(right.columns)}"
     if len(left) != len(right):

@@ -296,6 +296,7 @@ def steps_to_run(status: DataFrame, step: str, round_name: str | None, reference
     """
     if step not in STEP_PHASES:
         raise ValueError(f"unknown step {step!r}; expected one of {sorted(STEP_PHASES)}")
+    status = shared(status)
     chosen = status.filter(F.col("phase") == STEP_PHASES[step])
     if step in PER_ROUND_STEPS:
         if round_name is None:
