@@ -47,6 +47,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame, max_rows: int = MAX_SHARED_ROWS) -> DataFrame:
+    """State of an iterative operator: a local table when proven small, else checkpointed."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return cut_lineage(df)
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Materialise as Parquet in the shared folder and read it back."""
     path = new_path(df.sparkSession, name)

@@ -99,8 +99,12 @@ def _assemble(key, rows: pd.DataFrame, shape: Shape, block: Shape, halo: Shape):
     stop = [min(n, (int(k) + 1) * s + h) for k, s, n, h in zip(key, block, shape, halo)]
     array = np.zeros([b - a for a, b in zip(origin, stop)], dtype=rows["dtype"].iloc[0])
     for row in rows.itertuples(index=False):
-        at = tuple(slice(p - o, p - o + n) for p, o, n in zip((row.z0, row.y0, row.x0), origin, (row.nz, row.ny, row.nx)))
-        array[at] = decode(row)
+        part, at = decode(row), (row.z0, row.y0, row.x0)
+        lo = [max(p, o) for p, o in zip(at, origin)]
+        hi = [min(p + n, e) for p, n, e in zip(at, part.shape, stop)]
+        if all(h > l for l, h in zip(lo, hi)):
+            inside = part[tuple(slice(l - p, h - p) for l, h, p in zip(lo, hi, at))]
+            array[tuple(slice(l - o, h - o) for l, h, o in zip(lo, hi, origin))] = inside
     return origin, array
 
 
@@ -156,7 +160,7 @@ def gaussian_smooth(blocks: DataFrame, shape: Shape, block: Shape, sigma: float
     return neighbourhood(blocks, shape, block, Shape(radius, radius, radius), kernel, BLOCK_SCHEMA)
 
 
-def block_values(blocks: DataFrame, shape: Shape) -> DataFrame:
+def block_values(blocks: DataFrame) -> DataFrame:
     """Every voxel of dense float blocks, zeros included: ``round, channel, z, y, x, value double``."""
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -158,7 +158,7 @@ def segment_blocks(
     smoothed = gaussian_smooth(blocks, shape, block, sigma) if sigma else blocks
     if fn is None:
         smoothed = written(smoothed, "smoothed-blocks")
-        level = otsu_threshold(block_values(smoothed, shape), shape.size).first()[0]
+        level = otsu_threshold(block_values(smoothed), shape.size).first()[0]
         halo = 1
 
         def fn(array, level=level):

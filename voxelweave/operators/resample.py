@@ -124,8 +124,11 @@ def _spline(t: str) -> str:
     return " + ".join(terms)
 
 
-def _spline_taps(axis: str, n: int, m: int, step: float) -> Column:
-    """Spline contributions of source ``axis`` and its mirror images (whole-sample symmetric)."""
+def _spline_spread(rows: DataFrame, axis: str, n: int, m: int, step: float) -> DataFrame:
+    """Spline contributions along one axis: each source voxel and its mirror images near the volume.
+
+    Exploding before weighing keeps the weight arithmetic in generated code.
+    """
     period = 2 * (n - 1)
     images = f"array({axis})" if n == 1 else (
         "array_distinct(flatten(transform(sequence(-2, 2), j -> "
@@ -133,9 +136,14 @@ def _spline_taps(axis: str, n: int, m: int, step: float) -> Column:
     )
     lo = f"greatest(0L, cast(ceil((p - {SPLINE_REACH}) / {step!r}D) as bigint))"
     hi = f"least({m - 1}L, cast(floor((p + {SPLINE_REACH}) / {step!r}D) as bigint))"
-    near = f"filter({_sequence(lo, hi)}, o -> o * {step!r}D < {n - 0.5!r}D)"
-    each = f"transform({near}, o -> named_struct('o', o, 'w', {_spline(f'(o * {step!r}D - p)')}))"
-    return F.expr(f"flatten(transform({images}, p -> {each}))")
+    return (
+        rows.withColumn("p", F.explode(F.expr(images)))
+        .filter(f"p >= {-SPLINE_REACH} and p <= {n - 1 + SPLINE_REACH}")
+        .withColumn("o", F.explode(F.expr(_sequence(lo, hi))))
+        .filter(f"o * {step!r}D < {n - 0.5!r}D")
+        .withColumn("w", F.expr(_spline(f"(o * {step!r}D - p)")))
+        .withColumn(axis, F.col("o"))
+    )
 
 
 def upsample_field(field: DataFrame, shape: Shape, target: Shape, factors, method: str = LINEAR) -> DataFrame:
@@ -152,7 +160,7 @@ def upsample_field(field: DataFrame, shape: Shape, target: Shape, factors, metho
         return _spread(field, taps).groupBy(*AXES).agg(*sums)
     out = field
     for axis, n, m, step in zip(AXES, shape, target, steps):
-        out = _spread(out, {axis: _spline_taps(axis, n, m, step)}).groupBy(*AXES).agg(*sums)
+        out = _spline_spread(out, axis, n, m, step).groupBy(*AXES).agg(*sums)
     return out
 
 

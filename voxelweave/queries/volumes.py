@@ -259,7 +259,7 @@ def vol_round_trip(spark, sf):
 def pix_gaussian(spark, sf):
     ext = shape(spark, sf)
     blocks = bl.to_blocks(one_volume(spark, sf), ext, BLOCK)
-    values = bl.block_values(bl.gaussian_smooth(blocks, ext, BLOCK, 2.0), ext)
+    values = bl.block_values(bl.gaussian_smooth(blocks, ext, BLOCK, 2.0))
     return values.select("z", "y", "x", F.round("value", 4).alias("value"))
 
 
