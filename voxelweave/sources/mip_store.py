@@ -15,7 +15,7 @@ MIP_SCHEMA = "label bigint, channel string, y bigint, x bigint, value bigint"
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The stored projections; empty when nothing was written yet."""
     try:
-        return spark.read.parquet(path).select("label", "channel", "y", "x", "value")
+        return spark.read.schema(MIP_SCHEMA).parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise

@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxelweave.functions.columns import within
 from voxelweave.model import BLOCK_KEY, DEFAULT_COLOR, NUCLEAR_STAIN_COLOR, Shape
@@ -86,6 +87,10 @@ def read_volume(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from None
         raise
+    # Names of rounds, channels and keys are text even when they look like numbers.
+    names = ("array_key", *VOLUME)
+    fields = [T.StructField(f.name, T.StringType() if f.name in names else f.dataType) for f in stored.schema.fields]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
     if "array_key" in stored.columns:
         keys = sorted(str(r[0]) for r in stored.select("array_key").distinct().limit(1000).collect())
         if key is None:
@@ -99,7 +104,7 @@ def read_volume(
         stored = stored.filter(F.col("round") == round_name)
     if channel is not None:
         stored = stored.filter(F.col("channel") == channel)
-    return stored.withColumns({c: F.col(c).cast("string") for c in VOLUME})
+    return stored
 
 
 def catalog(blocks: DataFrame) -> DataFrame:
