@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 
 
 def decode(row) -> np.ndarray:
@@ -78,10 +77,3 @@ def local_components(mask: np.ndarray) -> np.ndarray:
         labels[mask] = np.unique(parent, return_inverse=True)[1] + 1
     return labels
 
-
-def voxel_frame(array: np.ndarray, origin, value: str = "value") -> pd.DataFrame:
-    """Non-zero voxels of a block as rows."""
-    where = np.nonzero(array)
-    frame = {a: idx.astype(np.int64) + o for a, idx, o in zip("zyx", where, origin)}
-    frame[value] = array[where]
-    return pd.DataFrame(frame)

@@ -60,3 +60,12 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     path = new_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows by ``keys`` over all shuffle partitions, ahead of a per-group kernel.
+
+    Adaptive execution sizes partitions by bytes and would put many small but compute-heavy
+    blocks into one task; an explicit count is left alone, and the grouping reuses this exchange.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

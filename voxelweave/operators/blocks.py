@@ -7,13 +7,18 @@ so its size is fixed by the block shape and never by the data.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxelweave.functions.kernels import block_range, decode, encode, gaussian_weights, smooth, voxel_frame
+from voxelweave.functions.kernels import block_range, decode, encode, gaussian_weights, smooth
+from voxelweave.functions.sizing import spread
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, VOXEL_SCHEMA, Shape
 
 VOLUME = ["round", "channel"]
@@ -33,6 +38,25 @@ def block_count(shape: Shape, block: Shape) -> Shape:
     return Shape(*(-(-n // b) for n, b in zip(shape, block)))
 
 
+def by_group(df: DataFrame, keys: list[str], kernel: Callable, schema: str) -> DataFrame:
+    """Run ``kernel(key, rows)`` once per group and collect its row tuples (or a pandas frame).
+
+    Groups travel as Arrow tables; a group is a handful of block rows, so turning them into
+    plain objects costs less than a pandas frame per block.
+    """
+    arrow = to_arrow_schema(T.DataType.fromDDL(schema))
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        out = kernel(tuple(k.as_py() for k in key), [SimpleNamespace(**r) for r in table.to_pylist()])
+        if isinstance(out, pd.DataFrame):
+            return pa.Table.from_pandas(out, schema=arrow, preserve_index=False)
+        if not out:
+            return arrow.empty_table()
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    return spread(df, *keys).groupBy(*keys).applyInArrow(run, schema)
+
+
 def with_block_key(voxels: DataFrame, block: Shape) -> DataFrame:
     return voxels.withColumns(
         {k: F.floor(F.col(a) / b).cast("int") for k, a, b in zip(BLOCK_KEY, AXES, block)}
@@ -42,29 +66,42 @@ def with_block_key(voxels: DataFrame, block: Shape) -> DataFrame:
 def to_blocks(voxels: DataFrame, shape: Shape, block: Shape = DEFAULT_BLOCK, dtype: str = "uint16") -> DataFrame:
     """Sparse voxels -> dense blocks; blocks without any stored voxel are omitted (background)."""
 
-    def scatter(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        origin = [int(k) * b for k, b in zip(key[2:], block)]
+    arrow = to_arrow_schema(T.DataType.fromDDL(BLOCK_SCHEMA))
+
+    def scatter(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        key = [k.as_py() for k in key]
+        origin = [k * b for k, b in zip(key[2:], block)]
         extent = [min(b, n - o) for b, n, o in zip(block, shape, origin)]
         array = np.zeros(extent, dtype=dtype)
         array[tuple(rows[a].to_numpy() - o for a, o in zip(AXES, origin))] = rows["value"].to_numpy()
-        return pd.DataFrame([(*key, *origin, *extent, dtype, encode(array))], columns=_columns(BLOCK_SCHEMA))
+        out = (*key, *origin, *extent, dtype, encode(array))
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(out, arrow)], schema=arrow)
 
-    return with_block_key(voxels, block).groupBy(*KEY).applyInPandas(scatter, BLOCK_SCHEMA)
+    keyed = with_block_key(voxels, block).select(*KEY, *AXES, "value")
+    return spread(keyed, *KEY).groupBy(*KEY).applyInArrow(scatter, BLOCK_SCHEMA)
 
 
-def to_voxels(blocks: DataFrame) -> DataFrame:
-    """Dense blocks -> non-zero voxels; a map over rows without any shuffle."""
+def _expand(blocks: DataFrame, dense: bool) -> DataFrame:
+    """Blocks -> voxel rows by an Arrow map: one record batch per block, no per-row Python."""
+    value_type = pa.float64() if dense else pa.int64()
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                frame = voxel_frame(decode(row), (row.z0, row.y0, row.x0))
-                frame["value"] = frame["value"].astype(np.int64)
-                frame.insert(0, "round", row.round)
-                frame.insert(1, "channel", row.channel)
-                yield frame
+            for row in batch.to_pylist():
+                array = decode(SimpleNamespace(**row)).reshape(-1)
+                at = np.arange(array.size) if dense else np.flatnonzero(array)
+                index = np.unravel_index(at, (row["nz"], row["ny"], row["nx"]))
+                columns = [pa.repeat(pa.scalar(row[c]), len(at)) for c in VOLUME]
+                columns += [pa.array(i.astype(np.int64) + row[f"{a}0"]) for a, i in zip(AXES, index)]
+                columns.append(pa.array(array[at].astype(value_type.to_pandas_dtype())))
+                yield pa.RecordBatch.from_arrays(columns, names=[*VOLUME, *AXES, "value"])
+
+    return blocks.mapInArrow(expand, VOXEL_SCHEMA.replace("value bigint", "value double") if dense else VOXEL_SCHEMA)
+
 
-    return blocks.mapInPandas(expand, VOXEL_SCHEMA)
+def to_voxels(blocks: DataFrame) -> DataFrame:
+    """Dense blocks -> non-zero voxels; a map over rows without any shuffle."""
+    return _expand(blocks, dense=False)
 
 
 def _columns(schema: str) -> list[str]:
@@ -93,12 +130,12 @@ def _pieces(blocks: DataFrame, shape: Shape, block: Shape, halo: Shape) -> DataF
     return blocks.mapInPandas(cut, BLOCK_SCHEMA)
 
 
-def _assemble(key, rows: pd.DataFrame, shape: Shape, block: Shape, halo: Shape):
+def _assemble(key, rows: list, shape: Shape, block: Shape, halo: Shape):
     """One target block with its halo, clipped to the volume: ``(origin, array)``."""
     origin = [max(0, int(k) * s - h) for k, s, h in zip(key, block, halo)]
     stop = [min(n, (int(k) + 1) * s + h) for k, s, n, h in zip(key, block, shape, halo)]
-    array = np.zeros([b - a for a, b in zip(origin, stop)], dtype=rows["dtype"].iloc[0])
-    for row in rows.itertuples(index=False):
+    array = np.zeros([b - a for a, b in zip(origin, stop)], dtype=rows[0].dtype)
+    for row in rows:
         part, at = decode(row), (row.z0, row.y0, row.x0)
         lo = [max(p, o) for p, o in zip(at, origin)]
         hi = [min(p + n, e) for p, n, e in zip(at, part.shape, stop)]
@@ -119,18 +156,16 @@ def halo_blocks(blocks: DataFrame, shape: Shape, block: Shape, halo: Shape) -> D
     ``z0, y0, x0`` is the widened origin; the core origin is ``key * block``.
     """
 
-    def join_parts(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def join_parts(key: tuple, rows: list) -> list[tuple]:
         origin, array = _assemble(key[2:], rows, shape, block, halo)
-        return pd.DataFrame(
-            [(*key, *origin, *array.shape, rows["dtype"].iloc[0], encode(array))], columns=_columns(BLOCK_SCHEMA)
-        )
+        return [(*key, *origin, *array.shape, rows[0].dtype, encode(array))]
 
-    return _pieces(blocks, shape, block, halo).groupBy(*KEY).applyInPandas(join_parts, BLOCK_SCHEMA)
+    return by_group(_pieces(blocks, shape, block, halo), KEY, join_parts, BLOCK_SCHEMA)
 
 
 def neighbourhood(
     blocks: DataFrame, shape: Shape, block: Shape, halo: Shape,
-    kernel: Callable[[tuple, np.ndarray, list[int]], pd.DataFrame], schema: str,
+    kernel: Callable[[tuple, np.ndarray, list[int]], list[tuple] | pd.DataFrame], schema: str,
 ) -> DataFrame:
     """Run ``kernel(key, array, core_origin)`` on every block.
 
@@ -138,7 +173,7 @@ def neighbourhood(
     inside (edge voxel repeated), so kernels need no border cases.
     """
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: list):
         origin, array = _assemble(key[2:], rows, shape, block, halo)
         core = [int(k) * s for k, s in zip(key[2:], block)]
         extent = [min(s, n - c) for s, n, c in zip(block, shape, core)]
@@ -146,7 +181,7 @@ def neighbourhood(
         after = [h + c + e - o - n for h, c, e, o, n in zip(halo, core, extent, origin, array.shape)]
         return kernel(key, np.pad(array, list(zip(before, after)), mode="symmetric"), core)
 
-    return _pieces(blocks, shape, block, halo).groupBy(*KEY).applyInPandas(run, schema)
+    return by_group(_pieces(blocks, shape, block, halo), KEY, run, schema)
 
 
 def gaussian_smooth(blocks: DataFrame, shape: Shape, block: Shape, sigma: float = 2.0) -> DataFrame:
@@ -155,23 +190,11 @@ def gaussian_smooth(blocks: DataFrame, shape: Shape, block: Shape, sigma: float
 
     def kernel(key, array, core):
         out = smooth(array, sigma)
-        return pd.DataFrame([(*key, *core, *out.shape, "float64", encode(out))], columns=_columns(BLOCK_SCHEMA))
+        return [(*key, *core, *out.shape, "float64", encode(out))]
 
     return neighbourhood(blocks, shape, block, Shape(radius, radius, radius), kernel, BLOCK_SCHEMA)
 
 
 def block_values(blocks: DataFrame) -> DataFrame:
-    """Every voxel of dense float blocks, zeros included: ``round, channel, z, y, x, value double``."""
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                array = decode(row)
-                grid = np.indices(array.shape).reshape(3, -1)
-                frame = pd.DataFrame({a: g + o for a, g, o in zip(AXES, grid, (row.z0, row.y0, row.x0))})
-                frame["value"] = array.reshape(-1).astype(np.float64)
-                frame.insert(0, "round", row.round)
-                frame.insert(1, "channel", row.channel)
-                yield frame
-
-    return blocks.mapInPandas(expand, VOXEL_SCHEMA.replace("value bigint", "value double"))
+    """Every voxel of dense blocks, zeros included: ``round, channel, z, y, x, value double``."""
+    return _expand(blocks, dense=True)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS
 from voxelweave.functions.kernels import gaussian_weights, smooth
+from voxelweave.functions.sizing import spread
 from voxelweave.model import AXES, Shape
 from voxelweave.operators.blocks import neighbourhood
 
@@ -99,7 +100,8 @@ def _nearest_in_chunks(a: DataFrame, b: DataFrame, chunk_rows: int) -> DataFrame
             }
         )
 
-    return left.groupBy("ca", "cb").cogroup(right.groupBy("ca", "cb")).applyInPandas(
+    sides = [spread(s, "ca", "cb").groupBy("ca", "cb") for s in (left, right)]
+    return sides[0].cogroup(sides[1]).applyInPandas(
         best, "side string, id bigint, other bigint, distance double"
     )
 

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelweave.functions.kernels import encode
 from voxelweave.functions.sizing import settled, written
-from voxelweave.model import AXES, BLOCK_SCHEMA, Shape
+from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, Shape
 from voxelweave.operators import matching as mt
 from voxelweave.operators import resample as rs
 from voxelweave.operators import transform as tf
-from voxelweave.operators.blocks import _assemble, _columns, _pieces, block_count, block_values, to_blocks
+from voxelweave.operators.blocks import _assemble, _pieces, block_count, block_values, by_group, to_blocks
 from voxelweave.operators.pixel import imaging_channels, registration_channel
 
 FIELD = ("dz", "dy", "dx")
@@ -154,11 +153,10 @@ def block_shifts(
         key=lambda d: (sum((i - s) ** 2 for i, s in zip(d, search)), d),
     )
 
-    def best(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        parts = {c: g for c, g in rows.groupby("channel")}
-        empty = pd.DataFrame(columns=["bz", "by", "bx", *FIELD, "ncc"])
-        if len(parts) < 2:
-            return empty
+    def best(key: tuple, rows: list) -> list[tuple]:
+        parts = {c: [r for r in rows if r.channel == c] for c in ("fixed", "moving")}
+        if not all(parts.values()):
+            return []
         at, f = _assemble(key, parts["fixed"], shape, block, halo)
         origin, m = _assemble(key, parts["moving"], shape, block, wide)
         f = f.astype(np.float64)
@@ -175,12 +173,11 @@ def block_shifts(
             if r > -2.0 and (found is None or r > found[1]):
                 found = (d, r)
         if found is None or found[1] < min_ncc:
-            return empty
-        move = [float(i - s) for i, s in zip(found[0], search)]
-        return pd.DataFrame([(*[int(k) for k in key], *move, found[1])], columns=empty.columns)
+            return []
+        return [(*key, *[float(i - s) for i, s in zip(found[0], search)], found[1])]
 
     schema = "bz int, by int, bx int, dz double, dy double, dx double, ncc double"
-    return _pieces(tagged, shape, block, wide).groupBy("bz", "by", "bx").applyInPandas(best, schema)
+    return by_group(_pieces(tagged, shape, block, wide), list(BLOCK_KEY), best, schema)
 
 
 def field_blocks(shifts: DataFrame, shape: Shape, block: Shape, spacing=(1.0, 1.0, 1.0)) -> DataFrame:
@@ -196,12 +193,12 @@ def field_blocks(shifts: DataFrame, shape: Shape, block: Shape, spacing=(1.0, 1.
         reach = F.sequence(F.greatest(F.col(f"c{a}") - 1, F.lit(0)), F.least(F.col(f"c{a}") + 1, F.lit(n - 1)))
         near = near.withColumn(f"b{a}", F.explode(reach))
 
-    def blend(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def blend(key: tuple, rows: list) -> list[tuple]:
         target = [int(k) for k in key]
         lo = [k * b for k, b in zip(target, block)]
         extent = [min(b, n - o) for b, n, o in zip(block, shape, lo)]
         total, sums = np.zeros(extent), [np.zeros(extent) for _ in FIELD]
-        for row in rows.itertuples(index=False):
+        for row in rows:
             ramps = []
             for c, b, o, e in zip((row.cz, row.cy, row.cx), block, lo, extent):
                 position = (np.arange(o, o + e) - (b - 1) / 2.0) / b
@@ -214,9 +211,9 @@ def field_blocks(shifts: DataFrame, shape: Shape, block: Shape, spacing=(1.0, 1.
         for name, s, unit in zip(FIELD, sums, spacing):
             values = np.divide(s, total, out=np.zeros(extent), where=total > 0) * unit
             out.append(("field", name, *target, *lo, *extent, "float64", encode(values)))
-        return pd.DataFrame(out, columns=_columns(BLOCK_SCHEMA))
+        return out
 
-    return near.groupBy("bz", "by", "bx").applyInPandas(blend, BLOCK_SCHEMA)
+    return by_group(near, list(BLOCK_KEY), blend, BLOCK_SCHEMA)
 
 
 def field_rows(blocks: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelweave.functions.sizing import settled, shared
+from voxelweave.functions.sizing import settled, shared, spread
 from voxelweave.model import AXES
 from voxelweave.operators.components import connected_components
 from voxelweave.operators.tiles import link_residuals
@@ -92,7 +92,7 @@ def phase_correlation(pairs: DataFrame, voxels: DataFrame, min_overlap: int = 5,
         shift, r = best_shift(*images, min_overlap, peaks)
         return pd.DataFrame([(*key, *shift, r)], columns=["tile_a", "tile_b", "sz", "sy", "sx", "r"])
 
-    return rows.groupBy("tile_a", "tile_b").applyInPandas(
+    return spread(rows, "tile_a", "tile_b").groupBy("tile_a", "tile_b").applyInPandas(
         correlate, "tile_a bigint, tile_b bigint, sz double, sy double, sx double, r double"
     )
 

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS, axis_columns, half_up
 from voxelweave.functions.kernels import decode, encode
-from voxelweave.model import AXES, BLOCK_SCHEMA, Shape
-from voxelweave.operators.blocks import _columns, block_count
+from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, Shape
+from voxelweave.operators.blocks import _columns, block_count, by_group
 
 FIELD = ("dz", "dy", "dx")
 OUT = ("oz", "oy", "ox")
@@ -237,27 +237,29 @@ def apply_transforms_blocks(
         per_round = field_blocks.drop("round").withColumn("round", F.explode(F.array(*[F.lit(r) for r in rounds])))
         parts = crops.unionByName(per_round.withColumn("kind", F.lit("field")))
 
-    def resample(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def resample(key: tuple, rows: list) -> list[tuple]:
         target = [int(k) for k in key[1:]]
         lo, hi, start, stop = boxes(target)
         extent = [h - o + 1 for o, h in zip(lo, hi)]
         coords = np.indices(extent).reshape(3, -1).astype(float) + np.array(lo, dtype=float)[:, None]
-        for row in rows[rows["kind"] == "field"].itertuples(index=False):
+        for row in (r for r in rows if r.kind == "field"):
             axis = FIELD.index(row.channel)
             coords[axis] += decode(row).reshape(-1) / spacing[axis]
         coords = m[:3, :3] @ coords + m[:3, 3:]
         out = []
-        for channel, pieces in rows[rows["kind"] == "src"].groupby("channel"):
-            dtype = pieces["dtype"].iloc[0]
+        sources = [r for r in rows if r.kind == "src"]
+        for channel in sorted({r.channel for r in sources}):
+            pieces = [r for r in sources if r.channel == channel]
+            dtype = pieces[0].dtype
             box = np.zeros(np.maximum(stop - start, 0), dtype=dtype)
-            for row in pieces.itertuples(index=False):
+            for row in pieces:
                 at = tuple(slice(p - s, p - s + n) for p, s, n in zip((row.z0, row.y0, row.x0), start, (row.nz, row.ny, row.nx)))
                 box[at] = decode(row)
             values = np.floor(np.round(_sample(box, start, coords, moving_shape), DECIMALS) + 0.5).astype(dtype)
             out.append((key[0], channel, *target, *lo, *extent, dtype, encode(values.reshape(extent))))
-        return pd.DataFrame(out, columns=_columns(BLOCK_SCHEMA))
+        return out
 
-    return parts.groupBy("round", "bz", "by", "bx").applyInPandas(resample, BLOCK_SCHEMA)
+    return by_group(parts, ["round", *BLOCK_KEY], resample, BLOCK_SCHEMA)
 
 
 # ---------------------------------------------------------------- quality
