@@ -104,5 +104,14 @@ def test_block_and_voxel_transforms_agree(spark):
     matrix = [[0.97, 0.02, 0.0, 0.3], [0.05, 1.02, -0.04, -1.2], [0.0, 0.03, 0.95, 1.1]]
     vox = voxels_of(spark, array)
     one = tf.apply_affine(vox, matrix, shape, (0.5, 0.2, 0.2))
-    two = tf.apply_transforms_blocks(bl.to_blocks(vox, shape, block), matrix, shape, Shape(3, 4, 7), shape, block, (0.5, 0.2, 0.2))
+    two = tf.apply_transforms_blocks(bl.to_blocks(vox, shape, block), matrix, shape, Shape(3, 4, 7), shape, (0.5, 0.2, 0.2))
+    assert np.array_equal(array_of(one, shape), array_of(bl.to_voxels(two), shape))
+
+
+def test_singular_matrix_is_still_exact_in_blocks(spark):
+    shape, block = Shape(3, 6, 6), Shape(2, 3, 3)
+    vox = voxels_of(spark, texture(tuple(shape), 6))
+    flat = [[1, 0, 0, 0], [0, 0, 0, 2], [0, 0, 1, 0]]
+    one = tf.apply_affine(vox, flat, shape)
+    two = tf.apply_transforms_blocks(bl.to_blocks(vox, shape, block), flat, shape, block, shape)
     assert np.array_equal(array_of(one, shape), array_of(bl.to_voxels(two), shape))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelweave.model import AXES, DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE, Shape
@@ -75,16 +75,10 @@ def total_pages(nuclei: DataFrame, page_size: int = DEFAULT_PAGE_SIZE) -> DataFr
 def upper_median(df: DataFrame, value: str) -> DataFrame:
     """Element ``n div 2`` (0-based) of the sorted values, one row.
 
-    Works on the value histogram: only distinct values are ordered, never the objects.
+    The discrete median of the descending order is the upper element for an even count. It is
+    computed from value counts, which are merged per task before the exchange.
     """
-    hist = df.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    total = hist.agg(F.sum("n").alias("n")).scalar()
-    return (
-        hist.withColumn("upto", upto)
-        .filter(F.col("upto") > F.floor(total / F.lit(2)))
-        .agg(F.min("v").alias("median"))
-    )
+    return df.agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)").alias("median"))
 
 
 def nuclei_stats(nuclei: DataFrame) -> DataFrame:
@@ -93,5 +87,5 @@ def nuclei_stats(nuclei: DataFrame) -> DataFrame:
     aggs += [f("area").alias(f"area_{n}") for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg))]
     for a in AXES:
         aggs += [F.min(f"c{a}").alias(f"c{a}_min"), F.max(f"c{a}").alias(f"c{a}_max")]
-    stats = nuclei.agg(*aggs).withColumn("area_median", upper_median(nuclei, "area").scalar())
-    return stats.na.fill(0)
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY area DESC)").cast("bigint").alias("area_median")
+    return nuclei.agg(*aggs, median).na.fill(0)

@@ -244,12 +244,12 @@ def register_deformation(
     if use_chunk_alignment:
         if initial_field is None:
             raise ValueError("initial_field is required when use_chunk_alignment is set")
-        first = tf.apply_transforms_blocks(moving, None, shape, block, shape, block, spacing, initial_field)
+        first = tf.apply_transforms_blocks(moving, None, shape, block, shape, spacing, initial_field)
     else:
-        first = tf.apply_transforms_blocks(moving, matrix, shape, block, shape, block, spacing)
+        first = tf.apply_transforms_blocks(moving, matrix, shape, block, shape, spacing)
     first = written(first, "initial-aligned")
     field = written(piecewise_field(fixed, first, shape, block, spacing, **options), "deformation-field")
-    return field, tf.apply_transforms_blocks(first, None, shape, block, shape, block, spacing, field)
+    return field, tf.apply_transforms_blocks(first, None, shape, block, shape, spacing, field)
 
 
 def check_factors(factors) -> tuple[int, ...]:
@@ -317,7 +317,7 @@ def align_channels(
     """Apply a registration to every imaging channel of a round in one job; keyed by channel name."""
     volume = to_blocks(imaging_channels(moving), shape, block)
     if result["initial_field"] is None:
-        return tf.apply_transforms_blocks(volume, result["matrix"], shape, block, shape, block, spacing, result["field"])
+        return tf.apply_transforms_blocks(volume, result["matrix"], shape, block, shape, spacing, result["field"])
     # The final field acts on the point first, then the initial one at the moved point.
     fields = [field_rows(result["initial_field"]), field_rows(result["field"])]
     return to_blocks(tf.apply_transforms(imaging_channels(moving), fields, shape, spacing), shape, block)

@@ -181,56 +181,52 @@ def field_reach(field_blocks: DataFrame, spacing) -> tuple[float, ...]:
 
 
 def apply_transforms_blocks(
-    moving: DataFrame, matrix, shape: Shape, block: Shape, moving_shape: Shape, moving_block: Shape,
+    moving: DataFrame, matrix, shape: Shape, block: Shape, moving_shape: Shape,
     spacing=(1.0, 1.0, 1.0), field_blocks: DataFrame | None = None,
 ) -> DataFrame:
     """``[matrix, field]`` applied block by block; output blocks of every (round, channel).
 
-    Output blocks list the moving blocks they may touch (their mapped box, widened by the largest
-    displacement), each moving block is cropped to that box before the one shuffle, and an
-    output block is computed from its crops. ``field_blocks`` has channels dz, dy, dx on the
-    output block grid.
+    Every moving block finds the output blocks that may read it (its box mapped back, widened by
+    the largest displacement) and sends each of them only the crop it needs: a map and one
+    shuffle, no join. ``field_blocks`` has channels dz, dy, dx on the output block grid; the
+    moving blocks may have any shape.
     """
     m = index_matrix(np.eye(4) if matrix is None else matrix, spacing)
     reach = np.array(field_reach(field_blocks, spacing) if field_blocks is not None else (0.0,) * 3)
     grid = block_count(shape, block)
-    spark = moving.sparkSession
 
     def boxes(key):
         lo = [k * b for k, b in zip(key, block)]
         hi = [min(o + b, n) - 1 for o, b, n in zip(lo, block, shape)]
         return lo, hi, *_source_box(lo, hi, m, reach, moving_shape)
 
-    def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for i in batch["id"]:
-                key = (int(i) // (grid.ny * grid.nx), int(i) // grid.nx % grid.ny, int(i) % grid.nx)
-                _, _, start, stop = boxes(key)
-                if np.all(stop > start):
-                    spans = [range(a // b, (e - 1) // b + 1) for a, e, b in zip(start, stop, moving_block)]
-                    out += [(*key, z, y, x) for z in spans[0] for y in spans[1] for x in spans[2]]
-            if out:
-                yield pd.DataFrame(out, columns=["tz", "ty", "tx", "bz", "by", "bx"])
-
-    pairs = spark.range(grid.size).mapInPandas(cover, "tz int, ty int, tx int, bz int, by int, bx int")
+    def targets(lo, hi) -> Iterator[tuple[int, int, int]]:
+        """Output blocks that may read source voxels ``lo..hi``: the box mapped back, widened."""
+        spans = [range(n) for n in grid]
+        if abs(np.linalg.det(m[:3, :3])) > 1e-9:
+            ends = np.array([np.asarray(lo) - 2.0, np.asarray(hi) + 2.0])
+            corners = np.array([[ends[i][0], ends[j][1], ends[k][2], 1.0] for i in (0, 1) for j in (0, 1) for k in (0, 1)])
+            back = corners @ np.linalg.inv(m)[:3].T
+            start = np.floor(back.min(axis=0) - reach - 1.0)
+            stop = np.ceil(back.max(axis=0) + reach + 1.0)
+            spans = [range(max(0, int(a // b)), min(n, int(e // b) + 1)) for a, e, b, n in zip(start, stop, block, grid)]
+        return ((z, y, x) for z in spans[0] for y in spans[1] for x in spans[2])
 
     def crop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                _, _, start, stop = boxes((row.tz, row.ty, row.tx))
                 array, o = decode(row), np.array([row.z0, row.y0, row.x0])
-                a, e = np.maximum(start, o), np.minimum(stop, o + array.shape)
-                if np.all(e > a):
-                    part = array[tuple(slice(i, j) for i, j in zip(a - o, e - o))]
-                    out.append((row.round, row.channel, row.tz, row.ty, row.tx, *a, *part.shape, row.dtype, encode(part)))
+                for key in targets(o, o + array.shape):
+                    _, _, start, stop = boxes(key)
+                    a, e = np.maximum(start, o), np.minimum(stop, o + array.shape)
+                    if np.all(e > a):
+                        part = array[tuple(slice(i, j) for i, j in zip(a - o, e - o))]
+                        out.append((row.round, row.channel, *key, *a, *part.shape, row.dtype, encode(part)))
             if out:
                 yield pd.DataFrame(out, columns=_columns(BLOCK_SCHEMA))
 
-    crops = moving.join(pairs, ["bz", "by", "bx"]).select(
-        "round", "channel", "tz", "ty", "tx", "z0", "y0", "x0", "nz", "ny", "nx", "dtype", "data"
-    ).mapInPandas(crop, BLOCK_SCHEMA).withColumn("kind", F.lit("src"))
+    crops = moving.mapInPandas(crop, BLOCK_SCHEMA).withColumn("kind", F.lit("src"))
     parts = crops
     if field_blocks is not None:
         rounds = [r[0] for r in moving.select("round").distinct().collect()]

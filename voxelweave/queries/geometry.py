@@ -269,7 +269,7 @@ def _blocks(spark, sf, with_field: bool):
         rows = field(spark, sf, ext)
         rows = rows.select("z", "y", "x", F.explode(F.create_map(*[v for d in tf.FIELD for v in (F.lit(d), F.col(d))])).alias("channel", "value"))
         fields = bl.to_blocks(rows.withColumn("round", F.lit("field")), ext, BLOCK, "float64")
-    out = tf.apply_transforms_blocks(source, MATRIX, ext, BLOCK, ext, OTHER, SPACING, fields)
+    out = tf.apply_transforms_blocks(source, MATRIX, ext, BLOCK, ext, SPACING, fields)
     return bl.to_voxels(out)
 
 
