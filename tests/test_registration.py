@@ -25,9 +25,14 @@ def test_phase_correlation_finds_a_planted_shift(spark):
     tiles = spark.createDataFrame(
         [(0, 0, 0, 0, *size), (1, 0, 0, 10, *size)], "tile bigint, oz bigint, oy bigint, ox bigint, dz bigint, dy bigint, dx bigint"
     )
-    link = sg.phase_correlation(tl.overlap_pairs(tiles, 4), vox, min_overlap=3).first()
+    pairs = tl.overlap_pairs(tiles, 4)
+    link = sg.phase_correlation(pairs, vox, min_overlap=3).first()
     np.testing.assert_allclose([link["sz"], link["sy"], link["sx"]], true, atol=0.5)
     assert link["r"] > 0.9
+    # A region over the limit is averaged into cubes first and then made exact.
+    large = sg.phase_correlation(pairs, vox, min_overlap=3, max_region=200).first()
+    assert (large["sz"], large["sy"], large["sx"]) == tuple(map(float, true))
+    assert large["r"] > 0.999
 
 
 def test_distributed_and_dense_placement_agree(spark, monkeypatch):

@@ -17,16 +17,15 @@ def dense_histogram(rows: DataFrame, keys: list[str], sizes: DataFrame, value: s
     ``sizes`` has one row per image: ``keys`` and the dense voxel count ``dense_size``; the
     voxels not present in ``rows`` are counted under value 0.
     """
-    present = rows.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    background = sizes.select(*keys, F.lit(0).cast("bigint").alias("value"), F.col("dense_size").alias("n"))
-    stored = present.select(*keys, F.lit(0).cast("bigint").alias("value"), (-F.col("n")).alias("n"))
-    return (
-        present.unionByName(background)
-        .unionByName(stored)
-        .groupBy(*keys, "value")
-        .agg(F.sum("n").alias("n"))
-        .filter("n > 0")
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    # Each stored voxel counts once under its value and is taken off the background count; both
+    # entries meet in the per-task aggregation, so there is one scan and one exchange.
+    entries = F.array(
+        F.struct(F.col(value).cast("bigint").alias("value"), one.alias("n")), F.struct(zero.alias("value"), (-one).alias("n"))
     )
+    stored = rows.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.value", "e.n")
+    background = sizes.select(*keys, zero.alias("value"), F.col("dense_size").cast("bigint").alias("n"))
+    return stored.unionByName(background).groupBy(*keys, "value").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
 def percentiles(histogram: DataFrame, keys: list[str], named: dict[str, float]) -> DataFrame:

@@ -13,6 +13,7 @@ from voxelweave.operators.components import connected_components
 from voxelweave.operators.tiles import link_residuals
 
 PEAKS = 75
+MAX_REGION = 16_000_000
 # Error limits of the global placement.
 RELATIVE_ERROR, ABSOLUTE_ERROR = 2.5, 3.5
 DENSE_TILES, DENSE_LINKS = 1500, 20_000
@@ -54,16 +55,8 @@ def best_shift(a: np.ndarray, b: np.ndarray, min_overlap: int = 5, peaks: int =
     return refined, best_r
 
 
-def phase_correlation(pairs: DataFrame, voxels: DataFrame, min_overlap: int = 5, peaks: int = PEAKS) -> DataFrame:
-    """Shift and correlation of every overlapping pair: ``tile_a, tile_b, sz, sy, sx, r``.
-
-    ``pairs`` comes from the overlap join (one small row per pair, shared when proven small); only
-    the voxels inside an overlap are shuffled, channels are averaged, and a group is one pair's
-    overlap region.
-    """
-    if "channel" in voxels.columns:
-        n_channels = voxels.select("channel").distinct().count()
-        voxels = voxels.groupBy("tile", *AXES).agg((F.sum("value") / n_channels).alias("value"))
+def _overlap_rows(pairs: DataFrame, voxels: DataFrame) -> DataFrame:
+    """Voxels of both tiles inside each overlap, in overlap coordinates."""
     sides = []
     for side in ("a", "b"):
         box = {f"l{a}": F.col(f"lo_{a}") - F.col(f"o{a}_{side}") for a in AXES}
@@ -77,23 +70,84 @@ def phase_correlation(pairs: DataFrame, voxels: DataFrame, min_overlap: int = 5,
     inside = F.lit(True)
     for a in AXES:
         inside = inside & (F.col(a) >= F.col(f"l{a}")) & (F.col(a) < F.col(f"l{a}") + F.col(f"n{a}"))
-    rows = voxels.join(boxes, "tile").filter(inside).select(
+    return voxels.join(boxes, "tile").filter(inside).select(
         "tile_a", "tile_b", "side", *[(F.col(a) - F.col(f"l{a}")).cast("int").alias(a) for a in AXES],
         *[f"n{a}" for a in AXES], F.col("value").cast("double").alias("value"),
     )
 
+
+def phase_correlation(
+    pairs: DataFrame, voxels: DataFrame, min_overlap: int = 5, peaks: int = PEAKS, max_region: int = MAX_REGION
+) -> DataFrame:
+    """Shift and correlation of every overlapping pair: ``tile_a, tile_b, sz, sy, sx, r``.
+
+    ``pairs`` comes from the overlap join (one small row per pair, shared when proven small); only
+    the voxels inside an overlap travel and channels are averaged. A group is one pair's overlap
+    of at most ``max_region`` voxels: a larger one is first averaged into cubes by Spark, and the
+    shift found there is made exact by :func:`refine_shifts` on all voxels.
+    """
+    if "channel" in voxels.columns:
+        n_channels = voxels.select("channel").distinct().count()
+        voxels = voxels.groupBy("tile", *AXES).agg((F.sum("value") / n_channels).alias("value"))
+    rows = _overlap_rows(pairs, voxels)
+    size = F.col("nz").cast("double") * F.col("ny") * F.col("nx")
+    cube = F.greatest(F.ceil(F.pow(size / max_region, 1.0 / 3.0)).cast("int"), F.lit(1))
+    small = (
+        rows.withColumn("cube", cube)
+        .groupBy("tile_a", "tile_b", "side", "cube", *[F.floor(F.col(a) / F.col("cube")).cast("int").alias(a) for a in AXES],
+                 *[F.ceil(F.col(f"n{a}") / F.col("cube")).cast("int").alias(f"n{a}") for a in AXES])
+        .agg((F.sum("value") / F.pow(F.first("cube").cast("double"), 3)).alias("value"))
+    )
+
     def correlate(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         extent = [int(part[f"n{a}"].iloc[0]) for a in AXES]
+        step = int(part["cube"].iloc[0])
         images = []
         for side in ("a", "b"):
             image, mine = np.zeros(extent), part[part["side"] == side]
             image[tuple(mine[a].to_numpy() for a in AXES)] = mine["value"].to_numpy()
             images.append(image)
-        shift, r = best_shift(*images, min_overlap, peaks)
-        return pd.DataFrame([(*key, *shift, r)], columns=["tile_a", "tile_b", "sz", "sy", "sx", "r"])
+        shift, r = best_shift(*images, max(1, min_overlap // step), peaks)
+        return pd.DataFrame([(*key, *[s * step for s in shift], r, step)], columns=["tile_a", "tile_b", "sz", "sy", "sx", "r", "cube"])
+
+    found = settled(
+        spread(small, "tile_a", "tile_b").groupBy("tile_a", "tile_b").applyInPandas(
+            correlate, "tile_a bigint, tile_b bigint, sz double, sy double, sx double, r double, cube int"
+        )
+    )
+    coarse = found.filter("cube > 1")
+    exact = found.filter("cube = 1").drop("cube")
+    if not coarse.take(1):
+        return exact
+    return exact.unionByName(refine_shifts(rows, coarse))
 
-    return spread(rows, "tile_a", "tile_b").groupBy("tile_a", "tile_b").applyInPandas(
-        correlate, "tile_a bigint, tile_b bigint, sz double, sy double, sx double, r double"
+
+def refine_shifts(rows: DataFrame, coarse: DataFrame) -> DataFrame:
+    """Best whole-voxel shift within one cube of a coarse one, from sums over all voxels.
+
+    Every voxel of one side is moved by the candidate shifts of its pair and meets the other
+    side on the voxel position; only sums leave the join, so regions of any size are spread out.
+    """
+    reach = F.sequence(-F.col("cube"), F.col("cube"))
+    trial = coarse.select("tile_a", "tile_b", "cube", *[F.rint(f"s{a}").cast("int").alias(f"s{a}") for a in AXES])
+    for a in AXES:
+        trial = trial.withColumn("d", F.explode(reach)).withColumn(f"s{a}", F.col(f"s{a}") + F.col("d")).drop("d")
+    left = rows.filter("side = 'a'").select("tile_a", "tile_b", *AXES, F.col("value").alias("u"))
+    right = rows.filter("side = 'b'").join(shared(trial.drop("cube")), ["tile_a", "tile_b"])
+    right = right.select(
+        "tile_a", "tile_b", *[f"s{a}" for a in AXES], *[(F.col(a) + F.col(f"s{a}")).alias(a) for a in AXES], F.col("value").alias("v")
+    )
+    n = F.count(F.lit(1)).cast("double")
+    u, v = F.col("u"), F.col("v")
+    top = n * F.sum(u * v) - F.sum(u) * F.sum(v)
+    bottom = F.sqrt((n * F.sum(u * u) - F.sum(u) * F.sum(u)) * (n * F.sum(v * v) - F.sum(v) * F.sum(v)))
+    scored = (
+        left.join(right, ["tile_a", "tile_b", *AXES]).groupBy("tile_a", "tile_b", *[f"s{a}" for a in AXES])
+        .agg(F.coalesce(F.try_divide(top, bottom), F.lit(-1.0)).alias("r"))
+    )
+    best = F.max(F.struct(F.round("r", 9).alias("r"), *[f"s{a}" for a in AXES])).alias("m")
+    return scored.groupBy("tile_a", "tile_b").agg(best).select(
+        "tile_a", "tile_b", *[F.col(f"m.s{a}").cast("double").alias(f"s{a}") for a in AXES], F.col("m.r").alias("r")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import clip, clip_uint16, f32, f32_divide, half_even, truncate
 from voxelweave.functions.histograms import dense_histogram, percentiles
-from voxelweave.functions.sizing import shared
+from voxelweave.functions.sizing import settled, shared
 from voxelweave.model import AXES, UINT16_MAX
 
 BLEND_METHODS = ("weighted_average", "max", "overwrite")
@@ -139,6 +139,7 @@ def global_reference(stats: DataFrame) -> DataFrame:
 
 def tile_quality(stats: DataFrame, noise_threshold: float = 0.1) -> DataFrame:
     """Statistics plus signal flags and the blending weight of each tile."""
+    stats = settled(stats)
     ref = global_reference(stats)
     out = stats.join(ref, "channel") if "channel" in stats.columns else stats.withColumn("ref", ref.scalar())
     ratio = F.col("p_hi") / (F.col("ref") + EPSILON)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS, axis_columns, half_up
 from voxelweave.functions.kernels import decode, encode
+from voxelweave.functions.sizing import settled
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, Shape
 from voxelweave.operators.blocks import _columns, block_count, by_group
 
@@ -287,14 +288,15 @@ def mutual_information(
 ) -> DataFrame:
     """Mutual information of the joint histogram; positions absent on both sides count as (0, 0).
 
-    The histogram has at most ``bins * bins`` rows per key, whatever the volume size.
+    The histogram has at most ``bins * bins`` rows per key, whatever the volume size; it is
+    computed once and the marginals are taken from it.
     """
     keys = list(keys)
 
     def bin_of(column: str) -> Column:
         return F.least(F.floor(F.col(column) * bins / F.lit(float(top))).cast("int"), F.lit(bins - 1))
 
-    joint = pairs.groupBy(*keys, bin_of("f").alias("bf"), bin_of("m").alias("bm")).agg(F.count(F.lit(1)).alias("n"))
+    joint = settled(pairs.groupBy(*keys, bin_of("f").alias("bf"), bin_of("m").alias("bm")).agg(F.count(F.lit(1)).alias("n")))
     absent = joint.groupBy(*keys).agg((F.lit(size) - F.sum("n")).alias("n"))
     absent = absent.select(*keys, F.lit(0).alias("bf"), F.lit(0).alias("bm"), "n")
     joint = joint.unionByName(absent).groupBy(*keys, "bf", "bm").agg(F.sum("n").alias("n")).filter("n > 0")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxelweave.functions.sizing import shared
+from voxelweave.functions.sizing import settled, shared
 
 # Phase order, phase dependencies, statuses and step names of the run plan.
 PHASES = (
@@ -135,9 +135,13 @@ def step_history(log: DataFrame) -> DataFrame:
 
 
 def current_status(plan: DataFrame, log: DataFrame) -> DataFrame:
-    """Plan with the latest status of each step (pending without a log entry)."""
+    """Plan with the latest status of each step (pending without a log entry).
+
+    The log is read once; the result has one row per planned step.
+    """
     history = shared(step_history(log))
-    return plan.join(history, "step_id", "left").withColumn("status", F.coalesce("status", F.lit(PENDING)))
+    status = plan.join(history, "step_id", "left").withColumn("status", F.coalesce("status", F.lit(PENDING)))
+    return settled(status)
 
 
 def _done(status: DataFrame) -> DataFrame:
@@ -296,7 +300,6 @@ def steps_to_run(status: DataFrame, step: str, round_name: str | None, reference
     """
     if step not in STEP_PHASES:
         raise ValueError(f"unknown step {step!r}; expected one of {sorted(STEP_PHASES)}")
-    status = shared(status)
     chosen = status.filter(F.col("phase") == STEP_PHASES[step])
     if step in PER_ROUND_STEPS:
         if round_name is None:
