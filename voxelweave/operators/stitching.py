@@ -107,7 +107,7 @@ def phase_correlation(
             image, mine = np.zeros(extent), part[part["side"] == side]
             image[tuple(mine[a].to_numpy() for a in AXES)] = mine["value"].to_numpy()
             images.append(image)
-        shift, r = best_shift(*images, max(1, min_overlap // step), peaks)
+        shift, r = best_shift(*images, min_overlap if step == 1 else max(3, -(-min_overlap // step)), peaks)
         return pd.DataFrame([(*key, *[s * step for s in shift], r, step)], columns=["tile_a", "tile_b", "sz", "sy", "sx", "r", "cube"])
 
     found = settled(
@@ -119,10 +119,10 @@ def phase_correlation(
     exact = found.filter("cube = 1").drop("cube")
     if not coarse.take(1):
         return exact
-    return exact.unionByName(refine_shifts(rows, coarse))
+    return exact.unionByName(refine_shifts(rows, coarse, min_overlap))
 
 
-def refine_shifts(rows: DataFrame, coarse: DataFrame) -> DataFrame:
+def refine_shifts(rows: DataFrame, coarse: DataFrame, min_overlap: int = 5) -> DataFrame:
     """Best whole-voxel shift within one cube of a coarse one, from sums over all voxels.
 
     Every voxel of one side is moved by the candidate shifts of its pair and meets the other
@@ -134,6 +134,8 @@ def refine_shifts(rows: DataFrame, coarse: DataFrame) -> DataFrame:
         trial = trial.withColumn("d", F.explode(reach)).withColumn(f"s{a}", F.col(f"s{a}") + F.col("d")).drop("d")
     left = rows.filter("side = 'a'").select("tile_a", "tile_b", *AXES, F.col("value").alias("u"))
     right = rows.filter("side = 'b'").join(shared(trial.drop("cube")), ["tile_a", "tile_b"])
+    for a in AXES:
+        right = right.filter(F.abs(f"s{a}") <= F.col(f"n{a}") - F.least(F.lit(min_overlap), F.col(f"n{a}")))
     right = right.select(
         "tile_a", "tile_b", *[f"s{a}" for a in AXES], *[(F.col(a) + F.col(f"s{a}")).alias(a) for a in AXES], F.col("value").alias("v")
     )
