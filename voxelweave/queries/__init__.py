@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("objects", "pixels", "tiles", "volumes", "ledger", "geometry", "registration")
+_MODULES = ("objects", "pixels", "tiles", "volumes", "ledger", "geometry", "registration", "block_objects")
 
 
 def all_queries() -> dict:
