@@ -112,7 +112,11 @@ def tile_stats(voxels: DataFrame, tiles: DataFrame) -> DataFrame:
     """p1, p_hi (99.9th), clipped mean/std and SNR of each dense tile, from its histogram."""
     keys = _keys(voxels)
     size = (F.col("dz") * F.col("dy") * F.col("dx")).cast("bigint")
-    hist = dense_histogram(voxels, keys, tiles.select(*keys, size.alias("dense_size")))
+    return stats_from_histogram(dense_histogram(voxels, keys, tiles.select(*keys, size.alias("dense_size"))), keys)
+
+
+def stats_from_histogram(hist: DataFrame, keys: list[str]) -> DataFrame:
+    """The statistics of :func:`tile_stats` from ``keys, value, n`` rows."""
     ranges = percentiles(hist, keys, {"p1": LOW_PERCENTILE, "p_hi": HIGH_PERCENTILE})
     value = F.greatest(F.least(F.col("value").cast("double"), F.col("p_hi")), F.col("p1"))
     weight = F.sum("n")

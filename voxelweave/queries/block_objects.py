@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voxelweave.model import Shape
 from voxelweave.operators import block_objects as bo
 from voxelweave.operators import blocks as bl
 from voxelweave.operators import projections as pr
 from voxelweave.operators import registration as rg
+from voxelweave.operators import tile_blocks as tb
 from voxelweave.operators import transform as tf
 from voxelweave.plans.workflow import segment_volume
-from voxelweave.queries import geometry, objects, pixels
+from voxelweave.queries import geometry, objects, pixels, tiles
 from voxelweave.queries.registration import _fixed_moving
 from voxelweave.queries.registry import Registry
 from voxelweave.queries.volumes import BLOCK, OTHER, as_blocks, one_volume, shape
@@ -87,3 +89,25 @@ def reg_pair(spark, sf):
     result = rg.run_registration(fixed, moved, ["A"], ext, BLOCK, factors=(1, 1, 1), steps=steps)
     quality = tf.registration_quality(fixed, moved, bl.to_voxels(result["aligned"]), ext)
     return quality.select("stage", F.round("ncc", 6).alias("ncc"), F.round("mi", 6).alias("mi"))
+
+
+def _tile_blend_blocks(spark, sf, method, normalize):
+    vox = fx.tile_voxels(spark, sf).withColumns({"round": F.col("tile").cast("string"), "channel": F.lit("A")}).drop("tile")
+    tile_blocks = bl.to_blocks(vox, fx.TILE_SHAPE, Shape(7, 8, 8))
+    out = tb.blend(tile_blocks, fx.tiles(spark, sf), Shape(4, 9, 11), method, normalize)
+    return bl.to_voxels(out).select("z", "y", "x", "value")
+
+
+@query("tile_blend_weighted_blocks", _without_zeros(tiles.query.oracles["tile_blend_weighted"]))
+def tile_blend_weighted_blocks(spark, sf):
+    return _tile_blend_blocks(spark, sf, "weighted_average", True)
+
+
+@query("tile_blend_max_blocks", _without_zeros(tiles.query.oracles["tile_blend_max"]))
+def tile_blend_max_blocks(spark, sf):
+    return _tile_blend_blocks(spark, sf, "max", False)
+
+
+@query("tile_blend_overwrite_blocks", _without_zeros(tiles.query.oracles["tile_blend_overwrite"]))
+def tile_blend_overwrite_blocks(spark, sf):
+    return _tile_blend_blocks(spark, sf, "overwrite", False)
