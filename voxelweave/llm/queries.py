@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from voxelweave.llm import encoding, token_counts
+from voxelweave.llm import encoding, simhash, token_counts
 from voxelweave.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -23,9 +23,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op7_simhash": op7_simhash,
 }
 ORACLES: dict[str, str] = {}
 
