@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from voxelweave.llm import encoding, simhash, token_counts
+from voxelweave.llm import encoding, packing, simhash, token_counts
 from voxelweave.llm.common import table
 
-PIECES = "piece_bpe_32k.model"
+PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
 
@@ -30,6 +34,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
 }
 ORACLES: dict[str, str] = {}
