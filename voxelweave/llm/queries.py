@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from voxelweave.llm import encoding, packing, simhash, token_counts
+from voxelweave.llm import encoding, fingerprints, packing, sharding, simhash, token_counts
 from voxelweave.llm.common import table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -23,6 +23,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
@@ -31,11 +35,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op3_sharding": op3_sharding,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLES: dict[str, str] = {}
 
