@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voxelweave.llm import encoding, fingerprints, packing, sharding, simhash, token_counts
+from voxelweave.llm import encoding, fingerprints, neighbours, packing, sharding, simhash, token_counts
 from voxelweave.llm.common import table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -35,6 +36,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op9_neighbours": op9_neighbours,
     "op10_fingerprints": op10_fingerprints,
 }
 ORACLES: dict[str, str] = {}
