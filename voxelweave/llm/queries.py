@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voxelweave.llm import encoding, fingerprints, neighbours, packing, sharding, simhash, token_counts
+from voxelweave.llm import encoding, fingerprints, neighbours, packing, passages, sharding, simhash, token_counts
 from voxelweave.llm.common import table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8)
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_passages": op8_passages,
     "op9_neighbours": op9_neighbours,
     "op10_fingerprints": op10_fingerprints,
 }
