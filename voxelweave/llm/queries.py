@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voxelweave.llm import encoding, fingerprints, neighbours, packing, passages, sharding, simhash, token_counts, wrappers
+from voxelweave.llm import encoding, fingerprints, grading, neighbours, packing, passages, sharding, simhash, token_counts, wrappers
 from voxelweave.llm.common import table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -28,6 +28,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = grading.train(docs, grading.corpus_ratings(table(spark, sf_dir, "labels")))
+    return grading.grade_documents(docs, model)
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
 
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
     "op3_sharding": op3_sharding,
+    "op4_quality": op4_quality,
     "op5_main_text": op5_main_text,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
