@@ -4,8 +4,8 @@ Ratings are grades 0..G. One weight vector over hashed features is shared by all
 score minus threshold j, thresholds rising. A document gets its expected grade and the probability of the top grade, by
 which documents are selected.
 
-Features of a whole text: which words occur (letters only, lower case), which word shapes make up more than certain shares of it,
-and how often a word follows itself. The model is fitted on at most ``SAMPLE`` rated documents, chosen by hash of the id: their
+Features of a whole text: which words occur (letters only, lower case); which words, beginnings of words and word shapes make up more
+than certain shares of it; and how often a word follows itself. The model is fitted on at most ``SAMPLE`` rated documents, chosen by hash of the id: their
 features, not their texts, come to the driver. Scoring is one map over all documents.
 """
 
@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import operator
 import re
+import struct
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,30 +27,44 @@ from voxelweave.llm.piece_model import UnitCache
 
 SAMPLE = 10_000
 BUCKETS = 1 << 18
-SHAPES = 1 << 12
 SHARES = (0.02, 0.1, 0.3, 0.6)
+WORD_SHARES = (0.005, 0.01, 0.03)
+BEGINNINGS = (4, 5, 6)
+_CODE = struct.Struct(f"<{2 + len(BEGINNINGS)}i")
 MIN_DOCS = 4  # a feature in fewer sampled documents has no weight
-LEAST_Z, LEAST_R = 5.0, 0.2  # a quarter of a million features are tried
+LEAST_Z, LEAST_R = 5.0, 0.15  # a quarter of a million features are tried
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()-]")
 _RUN = re.compile(r"(.)\1+")
 
 
-def _word_code(word: str) -> int:
-    """Bucket of the word's letters and number of its shape, in one integer."""
-    letters = "".join(_LETTERS.findall(word))
-    kind = "A" if len(letters) > 1 and letters.isupper() else "a"
-    # Letters, digits and unusual symbols as one sign each; a run of signs as the sign and a plus.
-    shape = _RUN.sub(r"\1+", _SYMBOL.sub("§", re.sub(r"\d+", "9", _LETTERS.sub(kind, word))))[:8]
-    bucket = xxhash.xxh64_intdigest("w:" + letters.lower()) % BUCKETS
-    return bucket * SHAPES + xxhash.xxh64_intdigest("s:" + shape) % SHAPES
+def _number(kind: int, name: str) -> int:
+    return zlib.crc32(name.encode(), kind) % BUCKETS
 
 
-_CODES = UnitCache(lambda words: [_word_code(w) for w in words])
+def _shape(word: str) -> str:
+    """Letters, digits and unusual symbols as one sign each, a run of signs as the sign and a plus."""
+    kind = "A" if len(word) > 1 and word.isupper() else "a"
+    return _RUN.sub(r"\1+", _SYMBOL.sub("§", re.sub(r"\d+", "9", _LETTERS.sub(kind, word))))[:8]
 
 
-def _share_features(name: str, share: float) -> list[int]:
-    return [xxhash.xxh64_intdigest(f"{name}>{s}") % BUCKETS for s in SHARES if share > s]
+def _word_codes(word: str) -> bytes:
+    """Numbers of a word's shape, of its letters, and of the letters' beginnings."""
+    if word.isalpha():
+        letters, shape = word, "A" if len(word) > 1 and word.isupper() else "a"
+    else:
+        letters, shape = "".join(_LETTERS.findall(word)), _shape(word)
+    lower = letters.lower()
+    starts = [_number(n, lower[:n]) for n in BEGINNINGS]
+    return _CODE.pack(_number(1, shape), _number(2, lower), *starts)
+
+
+_CODES = UnitCache(lambda words: [_word_codes(w) for w in words], limit=700_000)
+
+
+def _above(numbers: np.ndarray, shares: np.ndarray, levels: tuple[float, ...]) -> list[np.ndarray]:
+    """A feature for each level that a number's share exceeds."""
+    return [(numbers[shares > s] * 31 + 7919 * (i + 1)) % BUCKETS for i, s in enumerate(levels)]
 
 
 def features(text: str | None) -> np.ndarray:
@@ -57,13 +72,14 @@ def features(text: str | None) -> np.ndarray:
     words = (text or "").split()
     if not words:
         return np.empty(0, np.int64)
-    codes = np.array(_CODES.get(words), np.int64)
-    shapes, counts = np.unique(codes % SHAPES, return_counts=True)
-    found = []
-    for shape, n in zip(shapes.tolist(), counts.tolist()):
-        found += _share_features(f"shape {shape}", n / len(words))
-    found += _share_features("repeat", sum(map(operator.eq, words[1:], words)) / len(words))
-    return np.unique(np.concatenate([codes // SHAPES, np.array(found, np.int64)]))
+    codes = np.frombuffer(b"".join(_CODES.get(words)), "<i4").reshape(len(words), -1).astype(np.int64)
+    shapes, counts = np.unique(codes[:, 0], return_counts=True)
+    found = _above(shapes, counts / len(words), SHARES)
+    numbers, counts = np.unique(codes[:, 1:], return_counts=True)
+    found += [np.unique(codes[:, 1]), *_above(numbers, counts / len(words), WORD_SHARES)]
+    repeats = np.array([sum(map(operator.eq, words[1:], words)) / len(words)])
+    found += _above(np.array([_number(3, "repeat")]), repeats, SHARES)
+    return np.unique(np.concatenate(found))
 
 
 @dataclass
@@ -91,7 +107,7 @@ def _related(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray) -> np.nd
     return (docs >= MIN_DOCS) & (np.abs(covariance / spread) >= max(LEAST_R, LEAST_Z / np.sqrt(n)))
 
 
-def fit(found: list[np.ndarray], grades: np.ndarray, steps: int = 1000, l2: float = 0.02, rate: float = 0.1) -> GradeModel:
+def fit(found: list[np.ndarray], grades: np.ndarray, steps: int = 1000, l2: float = 0.1, rate: float = 0.1) -> GradeModel:
     """Maximum likelihood with a ridge on the weights, by full-batch Adam from zero (no randomness)."""
     levels = int(grades.max()) if len(grades) else 0
     if not levels or len(np.unique(grades)) < 2:
