@@ -136,7 +136,8 @@ def shard_documents(
 
     keys = ["h1", "h2"]
     groups = base.groupBy(*keys).agg(F.sum("size").alias("group_size"), F.count(F.lit(1)).alias("n"), F.min("row").alias("hub"))
-    groups = groups.where("n > 1").select(*keys, "group_size", "hub")
+    # Written, so that the join shuffles both sides and adaptive execution can split a large group.
+    groups = written(groups.where("n > 1").select(*keys, "group_size", "hub"), "shard-groups")
     linked = written(base.select("row", "size", *keys).join(groups, keys).drop(*keys), "shard-linked")
     limit = F.lit(max(share / 2, 1.0))
     large = running_total(linked.where(F.col("group_size") > limit), "hub", "size", "before", buckets)
