@@ -32,7 +32,7 @@ WORD_SHARES = (0.005, 0.01, 0.03)
 BEGINNINGS = (4, 5, 6)
 _CODE = struct.Struct(f"<{2 + len(BEGINNINGS)}i")
 MIN_DOCS = 4  # a feature in fewer sampled documents has no weight
-LEAST_Z, LEAST_R = 5.0, 0.15  # a quarter of a million features are tried
+LEAST_Z, LEAST_R = 3.5, 0.15  # the first rules samples below some 500 documents
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()-]")
 _RUN = re.compile(r"(.)\1+")
