@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import array_of, shape_of, texture, voxels_of
 from voxelweave.functions.kernels import gaussian_weights, local_components
 from voxelweave.model import Shape
 from voxelweave.operators import blocks as bl
 from voxelweave.operators import components as cc
+from voxelweave.operators import tile_blocks as tb
+from voxelweave.operators import tiles as tl
 
 BLOCKS = [Shape(2, 4, 5), Shape(5, 3, 9)]
 
@@ -115,3 +118,33 @@ def test_otsu_separates_two_levels(spark):
 def test_chunk_rule():
     assert bl.safe_chunk_shape(Shape(100, 1000, 1000), 2, 50) == Shape(50, 1000, 1000)
     assert bl.safe_chunk_shape(Shape(100, 20000, 20000), 2, 50) == Shape(1, 20000, 20000)
+
+
+@pytest.mark.parametrize("method", ["max", "overwrite", "weighted_average"])
+def test_blends_of_sparse_tiles_equal_the_voxel_form(spark, method):
+    """Blocks left out as background count in statistics, overwrite with zeros and add weight."""
+    rng, size = np.random.default_rng(3), Shape(2, 8, 8)
+    rows = []
+    for tile in range(3):
+        image = rng.integers(1, 60_000, tuple(size))
+        if tile:  # half of the tile is background
+            image[:, :, 4:] = 0
+        rows += [(tile, "A", *map(int, at), int(image[at])) for at in zip(*np.nonzero(image))]
+    vox = spark.createDataFrame(rows, "tile bigint, channel string, z bigint, y bigint, x bigint, value bigint")
+    tiles = spark.createDataFrame(
+        [(t, 0, 3 * t, 3 * t, *size) for t in range(3)],
+        "tile bigint, oz bigint, oy bigint, ox bigint, dz bigint, dy bigint, dx bigint",
+    )
+    by_channel = tl.per_channel(tiles, ["A"])
+    stored = bl.to_blocks(vox.withColumn("round", F.col("tile").cast("string")).drop("tile"), size, Shape(2, 4, 4))
+    assert stored.count() < 12
+    whole = tb.dense_blocks(stored, tiles, Shape(2, 4, 4))
+    assert whole.count() == 12
+    want = {r["tile"]: r for r in tl.tile_stats(vox, by_channel).collect()}
+    for r in tb.tile_stats(whole).collect():
+        for c in ("p1", "p_hi", "mean", "std", "snr"):
+            np.testing.assert_allclose(r[c], want[r["tile"]][c])
+    got = bl.to_voxels(tb.blend(stored, tiles, Shape(2, 5, 5), Shape(2, 4, 4), method, True)).where("value > 0")
+    expected = tl.blend(vox.drop("channel"), tiles, method, True).where("value > 0")
+    key = ["z", "y", "x", "value"]
+    assert sorted(map(tuple, got.select(*key).collect())) == sorted((r[0], r[1], r[2], int(r[3])) for r in expected.select(*key).collect())

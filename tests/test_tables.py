@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import array_of, shape_of, texture, voxels_of
-from voxelweave.functions.sizing import shared
+from voxelweave.functions.sizing import settled, workspace
 from voxelweave.model import Shape
 from voxelweave.operators import blocks as bl
 from voxelweave.operators import objects as ob
@@ -46,6 +47,21 @@ def test_ingest_raw_slices(spark, tmp_path):
         volumes.ingest_all_rounds(spark, {}, shape_of(array))
 
 
+def test_ingest_slabs_of_unequal_height(spark, tmp_path):
+    """Numbers may start anywhere and skip; each slab starts where the one before it ends."""
+    array, cuts = texture((6, 4, 5)), {1: (0, 2), 2: (2, 3), 10: (3, 6)}
+    for number, (lo, hi) in cuts.items():
+        (tmp_path / f"slab{number}.raw").write_bytes(array[lo:hi].astype("<u2").tobytes())
+    read = lambda: volumes.ingest_round(spark, {"A": str(tmp_path)}, "r1", shape_of(array), Shape(4, 4, 4))
+    assert np.array_equal(array_of(bl.to_voxels(read()), array.shape), array)
+    for name, size in (("other10.raw", 40), ("nonumber.raw", 40), ("slab11.raw", 41)):
+        extra = tmp_path / name
+        extra.write_bytes(bytes(size))
+        with pytest.raises(Exception, match="slice"):
+            read().collect()
+        extra.rename(tmp_path.parent / name)
+
+
 def test_exported_strips_fill_missing_blocks(spark):
     array = np.zeros((2, 6, 4), dtype=int)
     array[1, 5, 3] = 9
@@ -173,8 +189,17 @@ def test_stream_applies_late_rows_in_several_batches(spark, tmp_path):
     assert {r["step_id"]: (r["status"], r["updates"]) for r in out.collect()} == {"s1": ("completed", 3), "s2": ("completed", 1)}
 
 
-def test_shared_is_checked(spark):
-    df = spark.range(100)
-    assert "BroadcastHashJoin" in df.join(shared(df, 1000), "id")._jdf.queryExecution().toString()
-    big = shared(df, 10)
-    assert big.count() == 100 and big is df
+def test_shared_folder_comes_from_the_session(spark):
+    def session(folder, master):
+        context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    assert workspace(session("file:///shared/x/", "spark://host:7077")) == "file:///shared/x"
+    with pytest.raises(ValueError):
+        workspace(session(None, "spark://host:7077"))
+    assert workspace(spark)
+
+
+def test_written_state_is_the_same_at_any_size(spark):
+    for n in (0, 3, 60_000):
+        assert settled(spark.range(n)).count() == n

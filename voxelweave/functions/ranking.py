@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxelweave.functions.sizing import cut_lineage, shared
+from voxelweave.functions.sizing import cut_lineage
 
 
 def global_rank(values: DataFrame, order: str, name: str) -> DataFrame:
@@ -17,7 +17,7 @@ def global_rank(values: DataFrame, order: str, name: str) -> DataFrame:
     parts = cut_lineage(values.repartitionByRange(F.col(order)).withColumn("part", F.spark_partition_id()))
     sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = shared(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = F.row_number().over(Window.partitionBy("part").orderBy(order))
     return (
         parts.withColumn("inside", inside)

@@ -1,4 +1,7 @@
-"""Size-checked sharing of small tables, and lineage cuts that survive executor loss."""
+"""Written tables in the shared folder, and lineage cuts that survive executor loss.
+
+Joins with small tables carry no hint: adaptive execution broadcasts a side whose measured size allows it.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +9,18 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MAX_SHARED_ROWS = 50_000
 
 
-def shared(df: DataFrame, max_rows: int = MAX_SHARED_ROWS) -> DataFrame:
-    """Evaluate a summary table once and mark it for broadcast if it is proven small.
+def workspace(spark: SparkSession) -> str:
+    """Shared folder for written tables: the cluster's ``spark.checkpoint.dir``.
 
-    At most ``max_rows + 1`` rows reach the driver. A larger table comes back unhinted, so
-    joins against it shuffle (with adaptive skew handling) and results stay the same.
+    A single-process session (``local[...]``, as in tests) without the setting gets a temporary
+    folder; any other session must name a folder that driver and executors share.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def workspace(spark: SparkSession) -> str:
-    """Shared folder for written tables: the cluster's checkpoint folder, or a new one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="voxelweave-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -47,12 +39,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settled(df: DataFrame, max_rows: int = MAX_SHARED_ROWS) -> DataFrame:
-    """State of an iterative operator: a local table when proven small, else checkpointed."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return cut_lineage(df)
-    return df.sparkSession.createDataFrame(rows, df.schema)
+def settled(df: DataFrame) -> DataFrame:
+    """State of an iterative operator, written once and read back, whatever its size."""
+    return written(df, "state")
 
 
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

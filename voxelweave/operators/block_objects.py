@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import half_up
 from voxelweave.functions.kernels import decode, encode
-from voxelweave.functions.sizing import shared
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, UINT16_MAX, Shape
 from voxelweave.operators.blocks import VOLUME, by_group
 from voxelweave.operators.pixel import MERGE_STRATEGIES
@@ -156,7 +155,7 @@ def _with_range(blocks: DataFrame, shape: Shape) -> DataFrame:
         F.when(partial, F.least(F.min("lo"), zero)).otherwise(F.min("lo")).alias("lo"),
         F.when(partial, F.greatest(F.max("hi"), zero)).otherwise(F.max("hi")).alias("hi"),
     )
-    return blocks.join(shared(ranges), VOLUME)
+    return blocks.join(ranges, VOLUME)
 
 
 def _stretch(array: np.ndarray, lo: float, hi: float, half_up_rounding: bool) -> np.ndarray:

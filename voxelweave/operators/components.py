@@ -159,7 +159,7 @@ def segment_blocks(
     if fn is None:
         smoothed = written(smoothed, "smoothed-blocks")
         level = otsu_threshold(block_values(smoothed), shape.size).first()[0]
-        halo = 1
+        halo = max(1, halo)
 
         def fn(array, level=level):
             return local_components(array > level)

@@ -17,7 +17,6 @@ from voxelweave.model import AXES, Shape
 from voxelweave.operators.blocks import neighbourhood
 
 CHUNK_ROWS = 2000
-SAMPLE_ROWS = 4096
 
 
 def blob_sigmas(sizes) -> tuple[float, float]:
@@ -186,10 +185,10 @@ def residual(matrix) -> Column:
 def ransac_affine(matches: DataFrame, n_iter: int = 500, tolerance: float = 2.0, seed: int = 0) -> tuple[np.ndarray, int]:
     """Affine with the most inliers among ``n_iter`` four-point hypotheses, refined on them.
 
-    Hypotheses come from a bounded hash-ordered draw of matches; their inliers are counted over
-    all matches in one distributed pass. Returns the matrix and its inlier count.
+    Hypotheses come from ``4 * n_iter`` matches drawn by hash, as many as they can use; their inliers
+    are counted over all matches in one distributed pass. Returns the matrix and its inlier count.
     """
-    draw = matches.orderBy(F.xxhash64(F.lit(seed), *P, *Q)).limit(min(SAMPLE_ROWS, 4 * n_iter)).select(*P, *Q)
+    draw = matches.orderBy(F.xxhash64(F.lit(seed), *P, *Q)).limit(4 * n_iter).select(*P, *Q)
     points = np.array(draw.collect(), dtype=float)
     if len(points) < 4:
         raise ValueError("at least four matches are needed")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import clip_uint16, f32, half_even, truncate, within
-from voxelweave.functions.sizing import shared
 from voxelweave.model import AXES, UINT16_MAX, Shape
 
 VOLUME = ["round", "channel"]
@@ -42,14 +41,14 @@ def scale_to_uint16(voxels: DataFrame, shape: Shape, bounds: tuple[float, float]
         lo, hi = (F.lit(float(b)) for b in bounds)
         out = voxels
     else:
-        out = voxels.join(shared(volume_range(voxels, shape)), VOLUME)
+        out = voxels.join(volume_range(voxels, shape), VOLUME)
         lo, hi = F.col("lo"), F.col("hi")
     value = F.when(hi > lo, truncate(clip_uint16(_scaled(lo, hi)) + f32(0.5))).otherwise(F.lit(0).cast("bigint"))
     return out.withColumn("value", value).select(*voxels.columns)
 
 
 def _scale_for_merge(voxels: DataFrame, shape: Shape) -> DataFrame:
-    out = voxels.join(shared(volume_range(voxels, shape)), VOLUME)
+    out = voxels.join(volume_range(voxels, shape), VOLUME)
     lo, hi = F.col("lo"), F.col("hi")
     value = F.when(hi > lo, half_even(clip_uint16(F.rint(_scaled(lo, hi))))).otherwise(F.lit(0).cast("bigint"))
     return out.withColumn("value", value).select(*voxels.columns)

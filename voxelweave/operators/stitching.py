@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelweave.functions.sizing import settled, shared, spread
+from voxelweave.functions.sizing import settled, spread
 from voxelweave.model import AXES
 from voxelweave.operators.components import connected_components
 from voxelweave.operators.tiles import link_residuals
@@ -16,7 +16,6 @@ PEAKS = 75
 MAX_REGION = 16_000_000
 # Error limits of the global placement.
 RELATIVE_ERROR, ABSOLUTE_ERROR = 2.5, 3.5
-DENSE_TILES, DENSE_LINKS = 1500, 20_000
 
 
 def _ncc(a: np.ndarray, b: np.ndarray, shift, min_overlap: int) -> float:
@@ -66,7 +65,7 @@ def _overlap_rows(pairs: DataFrame, voxels: DataFrame) -> DataFrame:
                 *[f"l{a}" for a in AXES], *[F.col(f"n_{a}").cast("int").alias(f"n{a}") for a in AXES],
             )
         )
-    boxes = shared(sides[0].unionByName(sides[1]))
+    boxes = sides[0].unionByName(sides[1])
     inside = F.lit(True)
     for a in AXES:
         inside = inside & (F.col(a) >= F.col(f"l{a}")) & (F.col(a) < F.col(f"l{a}") + F.col(f"n{a}"))
@@ -81,10 +80,10 @@ def phase_correlation(
 ) -> DataFrame:
     """Shift and correlation of every overlapping pair: ``tile_a, tile_b, sz, sy, sx, r``.
 
-    ``pairs`` comes from the overlap join (one small row per pair, shared when proven small); only
+    ``pairs`` comes from the overlap join (one small row per pair); only
     the voxels inside an overlap travel and channels are averaged. A group is one pair's overlap
     of at most ``max_region`` voxels: a larger one is first averaged into cubes by Spark, and the
-    shift found there is made exact by :func:`refine_shifts` on all voxels.
+    shift found there is made exact, to parts of a voxel, by :func:`refine_shifts` on all voxels.
     """
     if "channel" in voxels.columns:
         n_channels = voxels.select("channel").distinct().count()
@@ -96,8 +95,11 @@ def phase_correlation(
         rows.withColumn("cube", cube)
         .groupBy("tile_a", "tile_b", "side", "cube", *[F.floor(F.col(a) / F.col("cube")).cast("int").alias(a) for a in AXES],
                  *[F.ceil(F.col(f"n{a}") / F.col("cube")).cast("int").alias(f"n{a}") for a in AXES])
-        .agg((F.sum("value") / F.pow(F.first("cube").cast("double"), 3)).alias("value"))
+        .agg(F.sum("value").alias("value"), *[F.first(f"n{a}").alias(f"full_{a}") for a in AXES])
     )
+    # A cube on the border holds fewer voxels; voxels not stored are zeros.
+    held = [F.least(F.col("cube"), F.col(f"full_{a}") - F.col(a) * F.col("cube")) for a in AXES]
+    small = small.withColumn("value", F.col("value") / (held[0] * held[1] * held[2])).drop(*[f"full_{a}" for a in AXES])
 
     def correlate(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         extent = [int(part[f"n{a}"].iloc[0]) for a in AXES]
@@ -123,17 +125,18 @@ def phase_correlation(
 
 
 def refine_shifts(rows: DataFrame, coarse: DataFrame, min_overlap: int = 5) -> DataFrame:
-    """Best whole-voxel shift within one cube of a coarse one, from sums over all voxels.
+    """Best shift within one cube of a coarse one, from sums over all voxels.
 
     Every voxel of one side is moved by the candidate shifts of its pair and meets the other
     side on the voxel position; only sums leave the join, so regions of any size are spread out.
+    Parts of a voxel come from the parabola through the correlations next to the best one.
     """
-    reach = F.sequence(-F.col("cube"), F.col("cube"))
+    reach = F.sequence(-F.col("cube") - 1, F.col("cube") + 1)
     trial = coarse.select("tile_a", "tile_b", "cube", *[F.rint(f"s{a}").cast("int").alias(f"s{a}") for a in AXES])
     for a in AXES:
         trial = trial.withColumn("d", F.explode(reach)).withColumn(f"s{a}", F.col(f"s{a}") + F.col("d")).drop("d")
     left = rows.filter("side = 'a'").select("tile_a", "tile_b", *AXES, F.col("value").alias("u"))
-    right = rows.filter("side = 'b'").join(shared(trial.drop("cube")), ["tile_a", "tile_b"])
+    right = rows.filter("side = 'b'").join(trial.drop("cube"), ["tile_a", "tile_b"])
     for a in AXES:
         right = right.filter(F.abs(f"s{a}") <= F.col(f"n{a}") - F.least(F.lit(min_overlap), F.col(f"n{a}")))
     right = right.select(
@@ -147,10 +150,27 @@ def refine_shifts(rows: DataFrame, coarse: DataFrame, min_overlap: int = 5) -> D
         left.join(right, ["tile_a", "tile_b", *AXES]).groupBy("tile_a", "tile_b", *[f"s{a}" for a in AXES])
         .agg(F.coalesce(F.try_divide(top, bottom), F.lit(-1.0)).alias("r"))
     )
+    scored = settled(scored)
     best = F.max(F.struct(F.round("r", 9).alias("r"), *[f"s{a}" for a in AXES])).alias("m")
-    return scored.groupBy("tile_a", "tile_b").agg(best).select(
-        "tile_a", "tile_b", *[F.col(f"m.s{a}").cast("double").alias(f"s{a}") for a in AXES], F.col("m.r").alias("r")
+    top = scored.groupBy("tile_a", "tile_b").agg(best).select("tile_a", "tile_b", *[F.col(f"m.s{a}").alias(f"m{a}") for a in AXES])
+    near = scored.join(top, ["tile_a", "tile_b"])
+    steps = {a: F.col(f"s{a}") - F.col(f"m{a}") for a in AXES}
+
+    def score(axis: str, step: int) -> F.Column:
+        here = [steps[a] == (step if a == axis else 0) for a in AXES]
+        return F.max(F.when(here[0] & here[1] & here[2], F.col("r")))
+
+    found = near.groupBy("tile_a", "tile_b", *[f"m{a}" for a in AXES]).agg(
+        score("z", 0).alias("r"), *[score(a, s).alias(f"{n}{a}") for a in AXES for s, n in ((-1, "left_"), (1, "right_"))]
     )
+    out = ["tile_a", "tile_b"]
+    for a in AXES:
+        left, right = F.col(f"left_{a}"), F.col(f"right_{a}")
+        bend = left - 2 * F.col("r") + right
+        part = F.greatest(F.lit(-0.5), F.least(F.lit(0.5), 0.5 * (left - right) / bend))
+        usable = (left > -1) & (right > -1) & (bend < 0)
+        out.append((F.col(f"m{a}") + F.when(usable, part).otherwise(0.0)).alias(f"s{a}"))
+    return found.select(*out, "r")
 
 
 def measured_links(tiles: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -164,33 +184,14 @@ def measured_links(tiles: DataFrame, shifts: DataFrame) -> DataFrame:
     )
 
 
-def _solve(tiles: DataFrame, links: DataFrame, rounds: int) -> DataFrame:
-    """Least-squares positions: a dense solve when the tile graph is proven small, else :func:`_relax`."""
-    spots = tiles.select("tile", *[F.col(f"o{a}").cast("double") for a in AXES]).limit(DENSE_TILES + 1).collect()
-    ends = links.select("tile_a", "tile_b", *[f"m{a}" for a in AXES]).limit(DENSE_LINKS + 1).collect()
-    if len(spots) > DENSE_TILES or len(ends) > DENSE_LINKS:
-        return _relax(tiles, links, rounds, 1e-12)
-    at = {row[0]: i for i, row in enumerate(spots)}
-    start = np.array([row[1:] for row in spots], dtype=float)
-    graph, pull = np.zeros((len(spots), len(spots))), np.zeros_like(start)
-    for row in ends:
-        i, j, gap = at[row[0]], at[row[1]], np.array(row[2:], dtype=float)
-        graph[[i, j], [i, j]] += 1.0
-        graph[[i, j], [j, i]] -= 1.0
-        pull[i] -= gap
-        pull[j] += gap
-    # The minimum-norm correction keeps the mean position of every connected component.
-    solved = start + np.linalg.lstsq(graph, pull - graph @ start, rcond=None)[0]
-    rows = [(row[0], *map(float, p)) for row, p in zip(spots, solved)]
-    return tiles.sparkSession.createDataFrame(rows, "tile bigint, pz double, py double, px double")
-
-
-def _relax(tiles: DataFrame, links: DataFrame, rounds: int, tolerance: float) -> DataFrame:
+def _solve(tiles: DataFrame, links: DataFrame, tolerance: float = 1e-12) -> DataFrame:
     """Least-squares positions by conjugate gradients on the tile graph.
 
     Every product with the graph is one join of the (small) tile state with the links and one
     partially aggregated sum; three scalars per axis reach the driver. Steps start from the stage
-    positions, so unlinked tiles and free components keep them.
+    positions, so unlinked tiles and free components keep them. Stops when no axis has a squared
+    residual above ``tolerance`` of what it started from, and raises where that is not reached in
+    several times the steps that exact arithmetic needs.
     """
     both = links.select("tile_a", "tile_b", *[f"m{a}" for a in AXES]).unionByName(
         links.select(F.col("tile_b").alias("tile_a"), F.col("tile_a").alias("tile_b"), *[(-F.col(f"m{a}")).alias(f"m{a}") for a in AXES])
@@ -213,9 +214,12 @@ def _relax(tiles: DataFrame, links: DataFrame, rounds: int, tolerance: float) ->
     state = settled(start.select("tile", *[f"p{a}" for a in AXES], *[c for a in AXES for c in (
         F.coalesce(-F.col(f"g{a}"), zero).alias(f"r{a}"), F.coalesce(-F.col(f"g{a}"), zero).alias(f"d{a}"))]))
     norm = state.agg(*[F.sum(F.col(f"r{a}") * F.col(f"r{a}")) for a in AXES]).first()
-    for _ in range(rounds):
-        if max(norm) <= tolerance:
-            break
+    norm = [n or 0.0 for n in norm]
+    goal, turn, most = [tolerance * max(1.0, n) for n in norm], 0, 50 + 5 * tiles.count()
+    while any(n > g for n, g in zip(norm, goal)):
+        turn += 1
+        if turn > most:
+            raise RuntimeError(f"tile positions did not settle in {most} steps; squared residuals {norm}")
         step = settled(state.join(product(state, "d", False), "tile", "left").na.fill(0.0, [f"g{a}" for a in AXES]))
         curve = step.agg(*[F.sum(F.col(f"d{a}") * F.col(f"g{a}")) for a in AXES]).first()
         alpha = [n / c if c > 0 else 0.0 for n, c in zip(norm, curve)]
@@ -233,7 +237,7 @@ def _relax(tiles: DataFrame, links: DataFrame, rounds: int, tolerance: float) ->
 
 def optimize_positions(
     tiles: DataFrame, links: DataFrame, relative: float = RELATIVE_ERROR, absolute: float = ABSOLUTE_ERROR,
-    fixed_tile: int = 0, max_drops: int = 50, cg_rounds: int = 200,
+    fixed_tile: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Globally consistent tile positions and the links kept.
 
@@ -243,14 +247,14 @@ def optimize_positions(
     mean stage position.
     """
     links = settled(links)
-    positions = _solve(tiles, links, cg_rounds)
-    for _ in range(max_drops):
+    positions = _solve(tiles, links)
+    while True:
         scored = settled(link_residuals(positions, links))
         mean, worst = scored.agg(F.avg("residual"), F.max(F.struct("residual", "tile_a", "tile_b"))).first()
         if worst is None or worst[0] <= absolute or worst[0] <= relative * mean:
             break
         links = settled(links.filter(~((F.col("tile_a") == worst[1]) & (F.col("tile_b") == worst[2]))))
-        positions = _solve(tiles, links, cg_rounds)
+        positions = _solve(tiles, links)
     roots = connected_components(links.select(F.col("tile_a").alias("a"), F.col("tile_b").alias("b")))
     rows = positions.join(tiles.select("tile", *[f"o{a}" for a in AXES]), "tile")
     rows = rows.join(roots.withColumnRenamed("node", "tile"), "tile", "left").withColumn("root", F.coalesce("root", "tile"))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS
 from voxelweave.functions.kernels import block_range, decode, encode
-from voxelweave.functions.sizing import shared
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, UINT16_MAX, Shape
 from voxelweave.operators import tiles as tl
 from voxelweave.operators.block_objects import map_blocks
@@ -25,18 +24,41 @@ from voxelweave.operators.blocks import _columns, by_group
 _PART_SCHEMA = BLOCK_SCHEMA + ", tile bigint, weight double, lz bigint, ly bigint, lx bigint, dz bigint, dy bigint, dx bigint"
 
 
+def dense_blocks(blocks: DataFrame, tiles: DataFrame, tile_block: Shape) -> DataFrame:
+    """``blocks`` and a block of zeros for each one that was left out as background.
+
+    ``tile_block`` is the block shape of the tiles; ``tiles`` has their extents. Zero blocks are built
+    by expressions from the tile table, so only block keys are compared.
+    """
+    channels = [r[0] for r in blocks.select("channel").distinct().collect()]  # one name per channel
+    if not channels:
+        return blocks
+    grid = tl.per_channel(tiles.select(F.col("tile").cast("string").alias("round"), *[f"d{a}" for a in AXES]), channels)
+    for a, size in zip(AXES, tile_block):
+        last = F.ceil(F.col(f"d{a}") / size).cast("int") - 1
+        grid = grid.withColumn(f"b{a}", F.explode(F.sequence(F.lit(0), last)))
+        grid = grid.withColumn(f"{a}0", (F.col(f"b{a}") * size).cast("bigint"))
+        grid = grid.withColumn(f"n{a}", F.least(F.lit(size), F.col(f"d{a}") - F.col(f"{a}0")).cast("int"))
+    kinds = dict(blocks.dtypes)
+    zeros = grid.withColumn("dtype", F.lit("uint16")).withColumn("data", F.expr("unhex(repeat('0000', nz * ny * nx))"))
+    zeros = zeros.select(*[F.col(c).cast(kinds[c]).alias(c) for c in blocks.columns])
+    return blocks.unionByName(zeros.join(blocks, ["round", "channel", *BLOCK_KEY], "left_anti"))
+
+
 def tile_stats(blocks: DataFrame) -> DataFrame:
-    """Robust statistics per tile; one row per distinct value and block is shuffled."""
+    """Robust statistics per channel and tile of dense blocks; one row per distinct value and block is shuffled."""
 
     def count(row, array):
         values, n = np.unique(array, return_counts=True)
         return {
+            "channel": pa.repeat(pa.scalar(row.channel), len(values)),
             "tile": pa.repeat(pa.scalar(int(row.round)), len(values)), "value": pa.array(values.astype(np.int64)),
             "n": pa.array(n.astype(np.int64)),
         }
 
-    parts = map_blocks(blocks, count, "tile bigint, value bigint, n bigint")
-    return tl.stats_from_histogram(parts.groupBy("tile", "value").agg(F.sum("n").alias("n")), ["tile"])
+    parts = map_blocks(blocks, count, "channel string, tile bigint, value bigint, n bigint")
+    keys = ["channel", "tile"]
+    return tl.stats_from_histogram(parts.groupBy(*keys, "value").agg(F.sum("n").alias("n")), keys)
 
 
 def _normalize(array: np.ndarray, row) -> np.ndarray:
@@ -52,17 +74,18 @@ def _normalize(array: np.ndarray, row) -> np.ndarray:
 
 
 def blend(
-    blocks: DataFrame, tiles: DataFrame, block: Shape, method: str = "weighted_average", normalize: bool = True,
-    noise_threshold: float = 0.1, feather_pad: int = 16,
+    blocks: DataFrame, tiles: DataFrame, block: Shape, tile_block: Shape, method: str = "weighted_average",
+    normalize: bool = True, noise_threshold: float = 0.1, feather_pad: int = 16,
 ) -> DataFrame:
-    """Composite blocks of one channel of dense tiles; methods as in the voxel form."""
+    """Composite blocks of every channel; methods as in the voxel form. Blocks of ``tile_block`` left out count as zeros."""
     if method not in tl.BLEND_METHODS:
         raise ValueError(f"unknown blend method {method!r}; expected one of {tl.BLEND_METHODS}")
     placed = tl.place_tiles(tiles).select("tile", *[f"start_{a}" for a in AXES], *[F.col(f"d{a}").alias(f"d{a}") for a in AXES])
-    placed = shared(placed.join(tl.tile_quality(tile_stats(blocks), noise_threshold), "tile"))
+    blocks = dense_blocks(blocks, tiles, tile_block)
+    placed = placed.join(tl.tile_quality(tile_stats(blocks), noise_threshold), "tile")
     extent = tl.mosaic_extent(tiles).first()
     shape = Shape(*(int(extent[f"n{a}"]) for a in AXES))
-    rows = blocks.withColumn("tile", F.col("round").cast("bigint")).join(placed, "tile")
+    rows = blocks.withColumn("tile", F.col("round").cast("bigint")).join(placed, ["channel", "tile"])
 
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

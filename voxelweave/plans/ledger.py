@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxelweave.functions.sizing import settled, shared
+from voxelweave.functions.sizing import settled
 
 # Phase order, phase dependencies, statuses and step names of the run plan.
 PHASES = (
@@ -139,9 +139,7 @@ def current_status(plan: DataFrame, log: DataFrame) -> DataFrame:
 
     The log is read once; the result has one row per planned step.
     """
-    history = shared(step_history(log))
-    status = plan.join(history, "step_id", "left").withColumn("status", F.coalesce("status", F.lit(PENDING)))
-    return settled(status)
+    return plan.join(step_history(log), "step_id", "left").withColumn("status", F.coalesce("status", F.lit(PENDING)))
 
 
 def _done(status: DataFrame) -> DataFrame:
@@ -309,12 +307,12 @@ def steps_to_run(status: DataFrame, step: str, round_name: str | None, reference
             if not known.take(1):
                 raise ValueError(f"unknown round {round_name!r}")
             chosen = chosen.filter((F.col("round") == round_name) & (F.col("round") != reference))
-    needed = shared(chosen.select("step_id"))
-    links = shared(status.select("step_id", F.explode("deps").alias("dep")))
+    needed = settled(chosen.select("step_id"))
+    links = settled(status.select("step_id", F.explode("deps").alias("dep")))
     # One level of prerequisites per pass; the chain is never longer than the number of phases.
     for _ in PHASES:
         deeper = links.join(needed, "step_id", "left_semi").select(F.col("dep").alias("step_id"))
-        grown = shared(needed.union(deeper).distinct())
+        grown = settled(needed.union(deeper).distinct())
         if grown.count() == needed.count():
             break
         needed = grown

@@ -190,7 +190,7 @@ class Run:
         try:
             detail = action(step)
         except Exception as error:
-            self._log(step["step_id"], ld.FAILED, str(error)[:1000])
+            self._log(step["step_id"], ld.FAILED, str(error))
             raise
         self._append("runs", [(kind, step["round"] or self.config.reference_round, detail)], RUN_SCHEMA)
         self._append("outputs", [(path, 1) for path in step["expected_outputs"]], OUTPUT_SCHEMA)

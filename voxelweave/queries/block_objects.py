@@ -94,7 +94,7 @@ def reg_pair(spark, sf):
 def _tile_blend_blocks(spark, sf, method, normalize):
     vox = fx.tile_voxels(spark, sf).withColumns({"round": F.col("tile").cast("string"), "channel": F.lit("A")}).drop("tile")
     tile_blocks = bl.to_blocks(vox, fx.TILE_SHAPE, Shape(7, 8, 8))
-    out = tb.blend(tile_blocks, fx.tiles(spark, sf), Shape(4, 9, 11), method, normalize)
+    out = tb.blend(tile_blocks, fx.tiles(spark, sf), Shape(4, 9, 11), Shape(7, 8, 8), method, normalize)
     return bl.to_voxels(out).select("z", "y", "x", "value")
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,6 @@ from voxelweave.model import BLOCK_KEY, DEFAULT_COLOR, NUCLEAR_STAIN_COLOR, Shap
 from voxelweave.operators.blocks import DEFAULT_BLOCK, reblock
 
 VOLUME = ["round", "channel"]
-STRIP_BYTES = 16 * 1024 * 1024
 
 
 def raw_slices(
@@ -24,19 +23,36 @@ def raw_slices(
 ) -> DataFrame:
     """Uncompressed little-endian slice (or slab) files as block rows; no Python involved.
 
-    The number before the file extension orders the files; a file holds one or more slices.
+    The number before the file extension orders the files; a file holds one or more slices, and
+    each starts where the one before it ends. Two files of one number, a file without a number and
+    a file that is not made of whole slices are errors, raised when the rows are read.
     """
     plane = ny * nx * np.dtype(dtype).itemsize
     number = F.regexp_extract("path", r"(\d+)\.[^./]*$", 1)
     files = spark.read.format("binaryFile").load(path).select(
-        F.coalesce(number.try_cast("bigint"), F.lit(0)).alias("i"),
+        "path",
+        number.try_cast("bigint").alias("i"),
+        "length",
         F.floor(F.col("length") / plane).cast("int").alias("nz"),
         F.col("content").alias("data"),
     )
+    # Places come from the file listing alone (the window never sees the contents).
+    order = Window.orderBy("i")
+    listed = files.select("path", "i", "length", "nz").select(
+        "path",
+        (F.row_number().over(order) - 1).cast("int").alias("bz"),
+        F.coalesce(F.sum("nz").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint").alias("z0"),
+        F.when(F.col("i").isNull(), F.concat(F.lit("no slice number in "), "path"))
+        .when(F.col("length") % plane != 0, F.concat(F.lit("not whole slices: "), "path"))
+        .when(F.lag("i").over(order) == F.col("i"), F.concat(F.lit("slice number used twice: "), "path"))
+        .alias("problem"),
+    )
+    placed = files.drop("i").join(listed, "path")
+    z0 = F.when(F.col("problem").isNull(), F.col("z0")).otherwise(F.raise_error(F.col("problem")).cast("bigint")).alias("z0")
     zero = F.lit(0)
-    return files.select(
-        F.lit(round_name).alias("round"), F.lit(channel).alias("channel"), F.col("i").cast("int").alias("bz"),
-        zero.alias("by"), zero.alias("bx"), (F.col("i") * F.col("nz")).cast("bigint").alias("z0"),
+    return placed.select(
+        F.lit(round_name).alias("round"), F.lit(channel).alias("channel"), "bz",
+        zero.alias("by"), zero.alias("bx"), z0,
         zero.cast("bigint").alias("y0"), zero.cast("bigint").alias("x0"), "nz", F.lit(ny).alias("ny"),
         F.lit(nx).alias("nx"), F.lit(dtype).alias("dtype"), "data",
     )
@@ -92,11 +108,10 @@ def read_volume(
     fields = [T.StructField(f.name, T.StringType() if f.name in names else f.dataType) for f in stored.schema.fields]
     stored = spark.read.schema(T.StructType(fields)).parquet(path)
     if "array_key" in stored.columns:
-        keys = sorted(str(r[0]) for r in stored.select("array_key").distinct().limit(1000).collect())
-        if key is None:
-            raise KeyError(f"a key is required; available: {keys}")
-        if key not in keys:
-            raise KeyError(f"key {key!r} not found; available: {keys}")
+        if key is None or stored.filter(F.col("array_key") == key).isEmpty():
+            problem = "a key is required" if key is None else f"key {key!r} not found"
+            first = [r[0] for r in stored.select("array_key").distinct().orderBy("array_key").limit(20).collect()]
+            raise KeyError(f"{problem}; the first keys are: {first}")
         stored = stored.filter(F.col("array_key") == key).drop("array_key")
     elif key is not None:
         warnings.warn(f"key {key!r} ignored: {path} holds a single array", stacklevel=2)
@@ -150,15 +165,13 @@ def crop(voxels: DataFrame, shape: Shape) -> DataFrame:
     return voxels.filter(within(shape))
 
 
-def export_slices(blocks: DataFrame, shape: Shape, strip_rows: int | None = None, dtype: str = "uint16") -> DataFrame:
-    """Ordered image strips ``round, channel, z, y0, h, w, data``; whole slices when they are small.
+def export_slices(blocks: DataFrame, shape: Shape, strip_rows: int, dtype: str = "uint16") -> DataFrame:
+    """Ordered image strips ``round, channel, z, y0, h, w, data`` of ``strip_rows`` rows each (the last may be lower).
 
-    A slice larger than ``STRIP_BYTES`` is cut into strips, so no task holds more than one strip;
-    strips without any stored block are filled with zeros.
+    ``strip_rows = shape.ny`` gives whole slices. A task holds one strip at a time; strips without
+    any stored block are filled with zeros.
     """
     itemsize = np.dtype(dtype).itemsize
-    if strip_rows is None:
-        strip_rows = max(1, min(shape.ny, STRIP_BYTES // (shape.nx * itemsize)))
     strips = reblock(blocks, shape, Shape(1, strip_rows, shape.nx)).select(
         *VOLUME, F.col("z0").alias("z"), "y0", "data"
     )
