@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -81,6 +82,16 @@ def test_run_all_resumes_and_completes(run):
     assert report["pipeline_summary"]["total_registrations"] == 1
 
 
+def test_deleted_outputs_are_reported(run):
+    tracked, _ = run
+    kept = Path(f"{tracked.root}/aligned/r2/channel=640")
+    aside = kept.rename(Path(tracked.root).parent / "channel=640-aside")
+    found = [tuple(r) for r in tracked.missing_outputs().collect()]
+    aside.rename(kept)
+    assert found == [("align_channels_r2", "aligned/r2/r2_640_aligned.zarr")]
+    assert tracked.missing_outputs().count() == 0
+
+
 def test_reset_phase_reopens_its_steps(run):
     tracked, _ = run
     tracked.reset("channel_alignment")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Callable
 from dataclasses import asdict
 
@@ -28,7 +29,6 @@ from voxelweave.sources import reports, volumes
 
 LOG_SCHEMA = "step_id string, status string, ts timestamp, event_id bigint, note string"
 RUN_SCHEMA = "kind string, name string, detail string"
-OUTPUT_SCHEMA = "path string, bytes bigint"
 
 
 def segment_volume(
@@ -49,6 +49,17 @@ def segment_volume(
     return labels
 
 
+# Folder of a planned output by the end of its name; those of a registration lie in its round's folder.
+FOLDERS = {
+    "_affine_matrix.txt": "matrix",
+    "_deformation_field.zarr": "field",
+    "_final_aligned.zarr": "aligned",
+    "_summary.json": "summary",
+    "pipeline_state.json": "state",
+    "processing_report.json": "report",
+}
+
+
 class Run:
     """One tracked run in ``config.working_directory``."""
 
@@ -193,7 +204,6 @@ class Run:
             self._log(step["step_id"], ld.FAILED, str(error))
             raise
         self._append("runs", [(kind, step["round"] or self.config.reference_round, detail)], RUN_SCHEMA)
-        self._append("outputs", [(path, 1) for path in step["expected_outputs"]], OUTPUT_SCHEMA)
         self._log(step["step_id"], ld.COMPLETED)
 
     def _execute_all(self, steps: DataFrame) -> None:
@@ -212,9 +222,34 @@ class Run:
         self._execute_all(self.plan.join(done, "step_id", "left_anti"))
         return ld.final_results(self.status())
 
+    def stored_outputs(self) -> DataFrame:
+        """``path, bytes`` of the planned outputs that storage holds now, from a listing of the run's folder."""
+        planned = self.plan.select("round", F.explode("expected_outputs").alias("path"))
+        volume = [F.regexp_extract("path", r"^(?:zarr_volumes|aligned)/([^/]+)/\1_(.*?)(?:_aligned)?\.zarr$", i) for i in (1, 2)]
+        folder = (
+            F.when(F.col("path").startswith("zarr_volumes/"), F.concat(F.lit("volumes/round="), volume[0], F.lit("/channel="), volume[1]))
+            .when(F.col("path").startswith("aligned/"), F.concat(F.lit("aligned/"), volume[0], F.lit("/channel="), volume[1]))
+            .when(F.col("path").startswith("segmentation/"), F.lit("segmentation/labels"))
+        )
+        for tail, part in FOLDERS.items():
+            inside = F.col("path").startswith("registration/")
+            here = F.concat(F.lit("registration/"), "round", F.lit(f"/{part}")) if tail.startswith("_") else F.lit(part)
+            folder = folder.when(F.col("path").endswith(tail) & (inside == F.lit(tail.startswith("_"))), here)
+        try:
+            files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.root)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], "path string, bytes bigint")
+        name = re.escape(self.root.rstrip("/").rsplit("/", 1)[-1])
+        inner = F.regexp_extract("path", rf"^.*?/{name}/(.*)/[^/]*$", 1).alias("folder")
+        sizes = files.select(inner, "length").groupBy("folder").agg(F.sum("length").alias("bytes"))
+        return planned.withColumn("folder", folder).join(sizes, "folder").select("path", "bytes")
+
     def missing_outputs(self) -> DataFrame:
+        """Outputs of completed steps that are not in storage (any more)."""
         done = self.status().filter(F.col("status") == ld.COMPLETED)
-        return ld.missing_outputs(done, self._read("outputs", OUTPUT_SCHEMA).distinct())
+        return ld.missing_outputs(done, self.stored_outputs())
 
 
 def run_workflow(spark: SparkSession, config: RunConfig, shape: Shape, dtype: str = "uint16", **options) -> DataFrame:
