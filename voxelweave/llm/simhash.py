@@ -169,7 +169,8 @@ def near_duplicates(
     roots = connected_components(near_links(distinct.select("fp"), max_bits))
     placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     placed = written(placed.select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
-    ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that the join shuffles both sides and a very large component can be split.
+    ids = written(placed.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     named = written(placed.join(ids, "root").select("fp", "component_id"), "components")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(named, "fp").select("doc_id", hexed, "component_id")
