@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from voxelweave.llm.common import texts_of, written
 from voxelweave.llm.piece_model import UnitCache
 
-GROUP_ROWS = 16_384
+GROUP_ROWS = 4_096
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _PIECE_NAMES = [c.split()[0] for c in PIECE.split(", ")]
 
