@@ -227,7 +227,6 @@ def _solve(tiles: DataFrame, links: DataFrame, tolerance: float = 1e-12) -> Data
             **{f"p{a}": F.col(f"p{a}") + F.lit(k) * F.col(f"d{a}") for a, k in zip(AXES, alpha)},
             **{f"r{a}": F.col(f"r{a}") - F.lit(k) * F.col(f"g{a}") for a, k in zip(AXES, alpha)},
         })
-        moved = settled(moved)
         new = moved.agg(*[F.sum(F.col(f"r{a}") * F.col(f"r{a}")) for a in AXES]).first()
         beta = [b / n if n > 0 else 0.0 for b, n in zip(new, norm)]
         state = settled(moved.withColumns({f"d{a}": F.col(f"r{a}") + F.lit(k) * F.col(f"d{a}") for a, k in zip(AXES, beta)}).drop(*[f"g{a}" for a in AXES]))
