@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 
 from tests.helpers import texture
-from voxelweave.functions.sizing import new_path
 from voxelweave.model import Shape
 from voxelweave.operators.blocks import to_voxels
 from voxelweave.plans.config import validate_config

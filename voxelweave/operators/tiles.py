@@ -6,11 +6,12 @@ column is optional everywhere and makes each channel an independent mosaic in th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxelweave.functions.columns import clip, clip_uint16, f32, f32_divide, half_even, truncate
+from voxelweave.functions.columns import clip_uint16, f32, f32_divide, half_even, truncate
 from voxelweave.functions.histograms import dense_histogram, percentiles
+from voxelweave.functions.ranking import global_rank
 from voxelweave.functions.sizing import settled
 from voxelweave.model import AXES, UINT16_MAX
 
@@ -26,13 +27,13 @@ def tile_offsets(manifest: DataFrame, overlap: float = 0.05) -> DataFrame:
     """Offsets from stage positions ``tile, x, y, z``.
 
     Positions are shifted to start at 0; x and y then advance by ``(1 - overlap) * 2048`` per
-    distinct position. Only the distinct coordinates (grid columns and rows) are ranked.
+    distinct position. Only the distinct coordinates (grid columns and rows) are ranked, range by range,
+    so a stage whose every tile has a position of its own is no single task's work.
     """
     step = (1 - overlap) * NOMINAL_TILE_WIDTH
     out = manifest
     for axis in ("x", "y"):
-        ranks = manifest.select(axis).distinct()
-        ranks = ranks.withColumn("rank", F.row_number().over(Window.orderBy(axis)) - 1)
+        ranks = global_rank(manifest.select(axis).distinct(), axis, "rank").withColumn("rank", F.col("rank") - 1)
         first = manifest.agg(F.min(axis)).scalar()
         out = out.join(ranks, axis).withColumn(f"o{axis}", F.col(axis) - first + F.col("rank") * step).drop("rank")
     return out.withColumn("oz", F.col("z") - manifest.agg(F.min("z")).scalar()).select("tile", "ox", "oy", "oz")
