@@ -156,7 +156,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
-    edited = F.concat(F.expr("substring(text, 1, char_length(text) - int(floor(char_length(text) / 2)))"), F.substring("next_text", F.lit(1), half))
+    edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring("next_text", F.lit(1), half))
     rows = successors(docs, id_col, text_col).withColumn("edited", edited)
     rows = written(
         rows.select(

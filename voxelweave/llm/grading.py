@@ -4,9 +4,9 @@ Ratings are grades 0..G. One weight vector over hashed features is shared by all
 score minus threshold j, thresholds rising. A document gets its expected grade and the probability of the top grade, by
 which documents are selected.
 
-Features of a whole text: which words occur (letters only, lower case); which words, beginnings of words and word shapes make up more
-than certain shares of it; and how often a word follows itself. The model is fitted on at most ``SAMPLE`` rated documents, chosen by hash of the id: their
-features, not their texts, come to the driver. Scoring is one map over all documents.
+Features of a whole text: which words occur (letters only, lower case); which words, beginnings of words and word shapes
+make up more than certain shares of it; and how often a word follows itself. The model is fitted on at most ``SAMPLE`` rated
+documents, chosen by hash of the id: their features, not their texts, come to the driver. Scoring is one map over all documents.
 """
 
 from __future__ import annotations
@@ -214,9 +214,7 @@ def grade_documents(
     return rows.select("doc_id", "g.*", F.coalesce(F.col("g.p_top") >= least, F.lit(True)).alias("keep"))
 
 
-def keep_good(
-    docs: DataFrame, model: GradeModel, text_col: str = "text", least: float = 0.5
-) -> DataFrame:
+def keep_good(docs: DataFrame, model: GradeModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
     return docs.where(F.coalesce(grade_of(model, F.col(text_col))["p_top"] >= least, F.lit(True)))
 
