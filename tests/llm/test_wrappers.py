@@ -70,6 +70,19 @@ def test_deep_and_long_pages():
     assert text_of(long_page).count("\n") == 19_999
 
 
+def test_every_template_of_a_host_keeps_its_text(spark):
+    kinds = [
+        "<body><article class='post category-news'><p>{}</p></article></body>",
+        "<body><article class='post category-sport'><p>{}</p></article></body>",
+        "<body class='page sport'><div class='box'><article class='post category-news'><p>{}</p></article></div></body>",
+        "<body class='plain'><nav>menu</nav><div class='story'><p>{}</p></div><footer>end</footer></body>",
+    ]
+    rows = [(i, f"http://h.example/{i}" if i % 2 else None, kinds[i % 7 % 4].format(f"text number {i} of the site")) for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(40)
+    found = {r["page_id"]: r["text"] for r in wrappers.main_text(pages).collect()}
+    assert found == {i: f"text number {i} of the site" for i in range(100)}
+
+
 def test_query_over_the_table(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = all_queries()["op5_main_text"](spark, sf_dir).collect()

@@ -9,7 +9,8 @@ with a third of all pages is spread over all tasks.
 
 Elements that hold menus, headers, footers, adverts and the like are known by tag, role or class. The main part of a
 wrapper is its article (or main) element with most text, else the smallest element with nearly all unlinked text. Each page is
-then matched with its host's wrapper, and the texts in the main part are given out block by block.
+then matched with its host's wrapper, and the texts in the main part are given out block by block; a page that has nothing
+there (another template of the host) is matched with its own wrapper.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ NOISE_WORDS = set(
     "related recommended widget toolbar pagination pager skip alert copyright".split()
 )
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+GROUP = 16  # parts of a host's wrapper aligned in one go
 MAX_DEPTH = 150  # deeper elements are read as siblings; their text stays
 
 _TAG = re.compile(
@@ -124,7 +126,8 @@ def parse(page: str) -> Element:
             if tag == "body" and stack[-1].tag == "head":
                 stack.pop()
         name = re.sub(r"\d+", "", (attributes.get("class", "") or attributes.get("id", "")).strip().lower())
-        element = Element(tag, f"{tag}.{name}" if name else tag, noise)
+        # Classes of these name the page's topic or template, of which a host has many.
+        element = Element(tag, f"{tag}.{name}" if name and tag not in ("html", "body", "main") else tag, noise)
         stack[-1].children.append(element)
         if len(stack) < MAX_DEPTH:
             stack.append(element)
@@ -274,7 +277,14 @@ def _flat(children: list) -> list:
 
 
 def extract(page: Element, wrapper: list) -> str:
-    """Texts of the page's main part: one line per block."""
+    """Texts of the page's main part: one line per block.
+
+    A page that has nothing in the main part of its host's wrapper follows another template: its own wrapper counts.
+    """
+    return _texts(page, wrapper) or _texts(page, mark_main(wrapper_of(page)))
+
+
+def _texts(page: Element, wrapper: list) -> str:
     blocks: list[str] = []
     current: list[str] = []
 
@@ -356,10 +366,14 @@ def _extract_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def host_wrappers(pages: DataFrame) -> DataFrame:
     """``(host, wrapper)`` with the main part marked, from ``pages (host, html)``."""
     schema = "host string, wrapper string"
-    parts = pages.select("host", "html").mapInArrow(_infer_task, schema)
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(16)))
-    some = salted.groupBy("host", "salt").applyInArrow(_merge_group(False), schema)
-    return some.groupBy("host").applyInArrow(_merge_group(True), schema)
+    parts = written(pages.select("host", "html").mapInArrow(_infer_task, schema), "wrapper-parts")
+    while True:  # a tree: about GROUP parts of a host meet at a time
+        counts = parts.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
+        if (counts.agg(F.max("groups")).first()[0] or 1) == 1:
+            return parts.groupBy("host").applyInArrow(_merge_group(True), schema)
+        salted = parts.join(counts, "host").withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.col("groups")))
+        some = salted.select("host", "salt", "wrapper").groupBy("host", "salt").applyInArrow(_merge_group(False), schema)
+        parts = written(some, "wrapper-parts")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
