@@ -46,6 +46,50 @@ def test_one_of_each_near_duplicate_group(stages):
     assert {r["doc_id"] for r in stages[2].select("doc_id").collect()} == set(named)
 
 
+def shingle_sets(rows):
+    split = [t.encode().lower().split() for _, t in rows]
+    return [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
+
+
+def test_near_duplicates_by_brute_force(spark):
+    """Raw documents of sf0.01 against all pairs at a Jaccard likeness of 0.8 over five-word shingles."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("doc_id is not null and text is not null")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    sets, name = shingle_sets(rows), {}
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    links = {i: set() for i in range(len(rows))}
+    for i, s in enumerate(sets):
+        for j in {j for x in s for j in holders[x] if j < i}:
+            if len(s & sets[j]) >= 0.8 * len(s | sets[j]):
+                links[i].add(j)
+                links[j].add(i)
+    for i in range(len(rows)):
+        todo = [i]
+        while todo:
+            at = todo.pop()
+            if at not in name:
+                name[at] = rows[i][0]
+                todo += links[at]
+    kept = corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(name.values()))
+
+
+def test_near_duplicates_beyond_the_lowest_and_ids_with_two_texts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    base = [f"w{i}" for i in range(200)]
+    steps = [base[:], base[:176] + [f"x{i}" for i in range(24)], base[:152] + [f"x{i}" for i in range(24)] + [f"y{i}" for i in range(24)]]
+    rows = [(i + 1, " ".join(t), "en", "s", 1) for i, t in enumerate(steps)]
+    rows += [(9, "one text of an id", "en", "s", 1), (9, "quite another text with the same id", "en", "s", 1)]
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, docs.schema), sf_dir).collect()
+    sets = shingle_sets([r[:2] for r in rows])
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(2)]
+    want = [1] + [i + 2 for i in range(2) if alike[i] < 0.8]
+    assert sorted(r["doc_id"] for r in kept) == want + [9, 9]
+
+
 def test_run_equals_the_stages(spark, sf_dir, stages):
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     run = {tuple(r) for r in all_queries()["pipeline"](spark, sf_dir).select("doc_id", "doc_tokens").collect()}
