@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voxelweave.llm import encoding, fingerprints, grading, neighbours, packing, passages, sharding, simhash, token_counts, wrappers
+from voxelweave.llm import decontamination, encoding, fingerprints, grading, neighbours, packing, passages, sharding, simhash
+from voxelweave.llm import token_counts, wrappers
 from voxelweave.llm.common import table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -58,6 +59,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -69,8 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passages": op8_passages,
     "op9_neighbours": op9_neighbours,
     "op10_fingerprints": op10_fingerprints,
+    "op12_decontamination": op12_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_decontamination": decontamination.ORACLE}
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
