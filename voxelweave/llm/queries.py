@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from voxelweave.llm import decontamination, encoding, fingerprints, grading, neighbours, packing, passages, sharding, simhash
-from voxelweave.llm import token_counts, wrappers
+from voxelweave.llm import token_counts, whitening, wrappers
 from voxelweave.llm.common import table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -63,6 +63,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_fingerprints": op10_fingerprints,
     "op12_decontamination": op12_decontamination,
+    "op13_whitening": op13_whitening,
 }
 ORACLES: dict[str, str] = {"op12_decontamination": decontamination.ORACLE}
 
