@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voxelweave.llm import decontamination, encoding, fingerprints, grading, neighbours, packing, passages, sharding, simhash
-from voxelweave.llm import token_counts, whitening, wrappers
+from voxelweave.llm import alignment, decontamination, encoding, fingerprints, grading, neighbours, packing, passages, sharding
+from voxelweave.llm import simhash, token_counts, whitening, wrappers
 from voxelweave.llm.common import table
 
-PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
+PIECES, WORDS, BYTES = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTES), public_tokenizers.path(PIECES)
+    return alignment.align_documents(table(spark, sf_dir, "documents"), *paths, outputs=("groups_sha256",))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passages": op8_passages,
     "op9_neighbours": op9_neighbours,
     "op10_fingerprints": op10_fingerprints,
+    "op11_alignment": op11_alignment,
     "op12_decontamination": op12_decontamination,
     "op13_whitening": op13_whitening,
 }
