@@ -115,6 +115,32 @@ def test_odd_rows(spark):
     assert empty.count() == 0 and "groups" in empty.columns
 
 
+def test_small_parts_and_other_tokenizer_paths(corpus, monkeypatch):
+    """Parts of any size, the library in place of ranks, and long groups give the same groups and links."""
+    texts = [*list(corpus.values())[:40], *(t or "" for t in ODD_TEXTS), "=" * 3000 + "a"]
+    aligner = alignment.Aligner(*PATHS)
+    assert aligner.a.fast is not None and aligner.cuts
+    for size, short, fast in ((1 << 18, 1 << 10, True), (50, 4, True), (2000, 1 << 10, False)):
+        monkeypatch.setattr(alignment, "SLICE", size)
+        monkeypatch.setattr(alignment, "SHORT", short)
+        if not fast:
+            aligner.a.fast = None
+        got = {}
+        for lo, hi, found in aligner.batches(texts):
+            for row in range(lo, hi):
+                links = Counter()
+                for x in found:
+                    own = x.docs == row - lo
+                    for pair, n in zip(x.pairs[own].tolist(), x.times[own].tolist()):
+                        links[divmod(pair, aligner.pieces)] += n
+                got[row] = b"".join(x.groups[row - lo] for x in found).decode()[:-1], links
+        assert sorted(got) == list(range(len(texts)))
+        for row, text in enumerate(texts):
+            groups = groups_of(text) or []
+            want = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+            assert got[row] == (want, Counter((x, y) for a, b in groups for x in a for y in b)), text[:50]
+
+
 def test_pair_counts(spark, corpus, monkeypatch):
     """Many buckets and several levels of the tree."""
     rows = list(corpus.items())[:80]
@@ -127,7 +153,7 @@ def test_pair_counts(spark, corpus, monkeypatch):
     most = {}
     for (a, _), n in counts.items():
         most[a] = max(most.get(a, 0), n)
-    assert all(r["best"] == (r["docs"] == most[r["a"]]) and r["pair"] == r["a"] << 32 | r["b"] for r in got)
+    assert all(r["best"] == (r["docs"] == most[r["a"]]) and r["pair"] == r["a"] * B.get_piece_size() + r["b"] for r in got)
     others = alignment.align_documents(docs.limit(5), *PATHS, counts=alignment.pair_counts(docs.where(F.col("doc_id") > 10), *PATHS))
     assert others.count() == 5
 

@@ -6,7 +6,7 @@ hash, each key verified, which are summed in a tree. Pass two aligns the documen
 most frequent pairs (at most ``HOT``, a fixed bound) in a table that every worker holds, hashed the same way; the rare
 rest, whatever its size, by a join.
 
-Texts are cut into units that neither tokenizer's tokens can cross, so each unit is aligned once per worker.
+Long texts are aligned in parts cut where tokens of neither side reach across, so memory is bounded by a part.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +36,18 @@ HOT = 1 << 19
 FAN = 16
 PART_ROWS = 1 << 18
 LEVELS = 4  # steps of a doubling in which the least count of the hot table is chosen
-UNIT_CHUNK = 20_000
-CACHE_BYTES = 96 << 20
+SLICE = 1 << 18  # characters aligned at once
+SHORT = 1 << 10  # links of a group that are listed one by one
 FLUSH = 2_000_000
-_SHORT = 1 << 12
 #: White space in any reading, and marks that some readings count as such: never next to a cut.
 _BLANK = r"\s\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff"
 _CUT = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
+#: Scripts whose letters, digits and marks every Unicode version in use classes alike.
+_SETTLED = re.compile(
+    r"[\x00-\u0233\u0250-\u036f\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u0513\u05d0-\u05ea\u0621-\u063a\u0641-\u0652"
+    r"\u2010-\u2027\u2030-\u2052\u20a0-\u20ac\u3001-\u3020\u3041-\u3094\u30a1-\u30fe\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e]*"
+)
+_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def _byte_values() -> dict[str, int]:
@@ -50,122 +57,190 @@ def _byte_values() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-class Aligner:
-    """Aligned units of a worker: numbers of tokens, groups and links, the groups as text, the linked pairs."""
+class ByteTokenizer:
+    """A byte-level tokenizer file: ids of texts, and the bytes of every id."""
 
-    def __init__(self, byte_path: str, piece_path: str):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_path)
-        self.a.encode_special_tokens = True
-        with open(byte_path, encoding="utf-8") as f:
-            before = json.load(f)["pre_tokenizer"] or {}
-        values = _byte_values()
-        self.a_bytes = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            known = all(c in values for c in token)
-            self.a_bytes[i] = bytes(values[c] for c in token) if known else token.encode()
-        self.b = open_model(piece_path)
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        values, self.bytes = _byte_values(), {}
+        for token, i in self.whole.get_vocab(with_added_tokens=True).items():
+            self.bytes[i] = bytes(values[c] for c in token) if all(c in values for c in token) else token.encode()
+        before, model = spec["pre_tokenizer"] or {}, spec["model"]
+        self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        self.fast = self._ranked(spec, model, values) if self.cuts else None
+
+    @staticmethod
+    def _ranked(spec: dict, model: dict, values: dict[str, int]):
+        """The same tokenizer by ranks, where the file's merges are in the order of their ids and nothing else acts."""
+        import tiktoken
+
+        merges = [m if isinstance(m, str) else " ".join(m) for m in model.get("merges", [])]
+        vocab = model["vocab"]
+        ids = [vocab.get(m.replace(" ", "", 1)) for m in merges]
+        options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        plain = model.get("type") == "BPE" and not spec["normalizer"] and not any(model.get(o) for o in options)
+        if not plain or None in ids or ids != sorted(set(ids)) or any(c not in vocab for c in values):
+            return None
+        tokens = set(values) | {m.replace(" ", "", 1) for m in merges}
+        if max(vocab[c] for c in values) >= min(ids, default=1 << 40):
+            return None
+        ranks = {bytes(values[c] for c in token): vocab[token] for token in tokens}
+        return tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        if self.fast is None:
+            return [x.ids for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return [
+            self.fast.encode_ordinary(t)
+            if len(t) <= 4 * SLICE and _SETTLED.fullmatch(t)
+            else self.whole.encode(t, add_special_tokens=False).ids
+            for t in texts
+        ]
+
+
+@dataclass
+class Aligned:
+    """Some documents aligned: counts by document; links as pair codes with occurrences and documents; groups in order."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+    docs: np.ndarray
+    groups: list[bytes]
+
+
+class Aligner:
+    """Both tokenizers of a worker. The code of a pair of ids is ``a * pieces + b``."""
+
+    def __init__(self, byte_path: str, piece_path: str):
+        self.a, self.b = ByteTokenizer(byte_path), open_model(piece_path)
         model = self.b.whole
+        self.pieces = model.get_piece_size()
         self.b_bytes = []
-        for i in range(model.get_piece_size()):
+        for i in range(self.pieces):
             piece = model.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(SPACE, " ").encode())
-        # Units need the usual split of byte-level text, at spaces, and pieces that hold a space mark at their begin only.
-        self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex") and self.b.unit_pattern.pattern != r"[\s\S]+"
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.held = 0
-        self.stats = np.empty((1024, 4), np.int64)
-        self.groups: list[bytes] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.extra: list = []
-
-    def units(self, text: str) -> list[str] | None:
-        """Parts of space + text that are tokenised apart; nothing for texts without tokens."""
+        size = max(self.a.bytes) + 1
+        self.a_bytes = [self.a.bytes.get(i, b"") for i in range(size)]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.codes = size * self.pieces
+        ids = [b"%d" % i for i in range(max(size, self.pieces))]
+        self.words = [i + end for i in ids for end in (b",", b"|", b";")]
+        # Texts may be cut where tokens of neither side reach across: byte-level words begin at a space after a mark that is
+        # not blank, and pieces hold a space mark at their begin only.
+        self.cuts = self.a.cuts and self.b.unit_pattern.pattern != r"[\s\S]+"
+
+    def parts(self, text: str) -> list[str] | None:
+        """Space + text in parts of about ``SLICE`` characters; nothing for texts without tokens."""
+        mark = SPACE if self.b.escape else " "
         if not text or SPACE in text:  # a space mark in the text comes back as a space
             return None
-        if normalise(self.b, text, False)[0] != (SPACE if self.b.escape else " ") + text.replace(" ", SPACE if self.b.escape else " "):
+        if normalise(self.b, text, False)[0] != mark + text.replace(" ", mark):
             return None
-        if not self.cuts:
-            return [" " + text]
-        if "  " in text or text[0] == " " or _odd_space(text):
-            first, *rest = _CUT.split(" " + text)
-            return [first, *(" " + u for u in rest)]
-        return [" " + u for u in text.split(" ")]
-
-    def numbers(self, units: list[str]) -> np.ndarray:
-        """Places of the units in the tables; new ones are aligned."""
-        if self.held > CACHE_BYTES:
-            self.clear()
-        index = self.index
-        new = [u for u in dict.fromkeys(units) if u not in index]
-        if new:
-            a = self.a.encode_batch_fast(new, add_special_tokens=False)
-            mark = SPACE if self.b.escape else " "
-            b = self.b.plain.encode([u.replace(" ", mark) for u in new], num_threads=1)
-            for unit, x, y in zip(new, a, b):
-                self._add(unit, x.ids, y)
-        return np.fromiter(map(index.__getitem__, units), np.int64, len(units))
-
-    def _add(self, unit: str, a: list[int], b: list[int]) -> None:
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        data, at = unit.encode(), len(self.groups)
-        stats, groups = (-1, 0, 0, 0), b""
-        pairs, times = np.empty(0, np.int64), np.empty(0, np.int64)
-        if b"".join(a_parts) == data and b"".join(b_parts) == data:
-            cut = _groups(a, list(map(len, a_parts)), b, list(map(len, b_parts)))
-            groups = b";".join(b"%s|%s" % (b",".join(b"%d" % i for i in x), b",".join(b"%d" % i for i in y)) for x, y in cut)
-            pairs, times = _linked(cut)
-            stats = (len(a), len(b), len(cut), sum(len(x) * len(y) for x, y in cut))
-        if at == len(self.stats):
-            self.stats = np.concatenate([self.stats, np.empty_like(self.stats)])
-        self.index[unit] = at
-        self.stats[at] = stats
-        self.groups.append(groups)
-        self.pairs.append(pairs)
-        self.times.append(times)
-        self.held += 400 + 2 * len(data) + len(groups) + 16 * len(pairs)
-
-
-def _odd_space(text: str) -> bool:
-    """Whether a space has another blank beside it."""
-    return _ODD_SPACE.search(text) is not None or text[-1] == " "
-
-
-_ODD_SPACE = re.compile(f" [{_BLANK}]|[{_BLANK}] ")
-
-
-def _groups(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Ids of both sides between the byte offsets where tokens of both end."""
-    out, i, j = [], 0, 0
-    while i < len(a):
-        lo_a, lo_b, end_a, end_b = i, j, a_sizes[i], b_sizes[j]
-        i, j = i + 1, j + 1
-        while end_a != end_b:
-            if end_a < end_b:
-                end_a, i = end_a + a_sizes[i], i + 1
-            else:
-                end_b, j = end_b + b_sizes[j], j + 1
-        out.append((a[lo_a:i], b[lo_b:j]))
-    return out
-
-
-def _linked(cut: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs and their occurrences; a long group goes by its distinct ids and how often each occurs there."""
-    pairs, times = [x << 32 | y for a, b in cut if len(a) * len(b) <= _SHORT for x in a for y in b], []
-    found = [np.array(pairs, np.int64)]
-    times.append(np.ones(len(pairs), np.int64))
-    for a, b in cut:
-        if len(a) * len(b) > _SHORT:
-            (x, nx), (y, ny) = (np.unique(np.array(ids, np.int64), return_counts=True) for ids in (a, b))
-            found.append((x[:, None] << 32 | y).ravel())
-            times.append((nx[:, None] * ny).ravel())
-    return _summed(np.concatenate(found), np.concatenate(times))
+        text, parts = " " + text, []
+        while self.cuts and len(text) > SLICE:
+            cut = _CUT.search(text, SLICE)
+            if cut is None:
+                break
+            parts.append(text[: cut.start()])
+            text = text[cut.start() :]
+        return [*parts, text]
+
+    def encode(self, parts: list[str]) -> tuple[list, list]:
+        mark = SPACE if self.b.escape else " "
+        return self.a.ids(parts), self.b.plain.encode([p.replace(" ", mark) for p in parts], num_threads=1)
+
+    def align(self, parts: list[str], docs: list[int], n: int) -> tuple[Aligned, set[int]]:
+        """Parts of documents ``docs`` (rising, of ``n``) aligned; documents whose tokens do not give the text back are left out and named."""
+        a, b = self.encode(parts)
+        data = [p.encode() for p in parts]
+        bad: set[int] = set()
+        a_text, b_text = (b"".join([t[i] for x in side for i in x]) for side, t in ((a, self.a_bytes), (b, self.b_bytes)))
+        whole = b"".join(data)
+        if a_text != whole or b_text != whole:
+            for doc, text, x, y in zip(docs, data, a, b):
+                if b"".join([self.a_bytes[i] for i in x]) != text or b"".join([self.b_bytes[i] for i in y]) != text:
+                    bad.add(doc)
+            kept = [i for i, doc in enumerate(docs) if doc not in bad]
+            a, b, data, docs = ([side[i] for i in kept] for side in (a, b, data, docs))
+        ends = np.cumsum([0, *map(len, data)])[1:]
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (a, b))
+        return self._aligned(a, b, ends, np.array(docs, np.int64), n), bad
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray, docs: np.ndarray, n: int) -> Aligned:
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        at = np.searchsorted(a_end, b_end)
+        b_last = a_end[at] == b_end if len(a_end) else np.empty(0, bool)
+        a_last = np.zeros(len(a), bool)
+        a_last[at[b_last]] = True
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        count = int(a_last.sum())
+        a_n, b_n = np.bincount(a_group, minlength=count), np.bincount(b_group, minlength=count)
+        a_to, b_to = np.cumsum(a_n), np.cumsum(b_n)
+        doc = docs[np.searchsorted(ends, b_end[b_last])] if count else np.empty(0, np.int64)  # of each group
+
+        long = a_n * b_n > SHORT
+        reps = np.where(long, 0, b_n)[a_group]
+        first = np.cumsum(reps) - reps
+        place = np.arange(int(reps.sum())) + np.repeat((b_to - b_n)[a_group] - first, reps)
+        pairs, of = np.repeat(a * self.pieces, reps) + b[place], np.repeat(doc[a_group], reps)
+        times = np.ones(len(pairs), np.int64)
+        if long.any():
+            found = [(pairs, times, of)]
+            for g in np.flatnonzero(long).tolist():
+                x, nx = np.unique(a[a_to[g] - a_n[g] : a_to[g]], return_counts=True)
+                y, ny = np.unique(b[b_to[g] - b_n[g] : b_to[g]], return_counts=True)
+                codes = (x[:, None] * self.pieces + y).ravel()
+                found.append((codes, (nx[:, None] * ny).ravel(), np.full(len(codes), doc[g])))
+            pairs, times, of = map(np.concatenate, zip(*found))
+            order = np.argsort(of, kind="stable")
+            pairs, times, of = pairs[order], times[order], of[order]
+
+        # Tokens in the order of the groups' text, each with what follows it.
+        written_as = np.empty(len(a) + len(b), np.int64)
+        written_as[np.arange(len(a)) + (b_to - b_n)[a_group]] = a * 3 + a_last
+        written_as[np.arange(len(b)) + a_to[b_group]] = b * 3 + 2 * b_last
+        pieces = [self.words[i] for i in written_as.tolist()]
+        tokens = np.bincount(doc, weights=a_n + b_n, minlength=n).astype(np.int64)
+        stops = np.cumsum(tokens).tolist()
+        groups = [b"".join(pieces[stop - size : stop]) for stop, size in zip(stops, tokens.tolist())]
+        by_doc = [np.bincount(doc, weights=w, minlength=n).astype(np.int64) for w in (a_n, b_n)]
+        return Aligned(*by_doc, np.bincount(doc, minlength=n), pairs, times, of, groups)
+
+    def batches(self, texts: list[str]) -> Iterator[tuple[int, int, list[Aligned]]]:
+        """Row ranges and their alignments: one for several rows, or several, one after the other, for one long row."""
+        lo, parts, docs, size = 0, [], [], 0
+        for row, text in enumerate(texts):
+            own = self.parts(text) or []
+            if size and size + len(text) > SLICE:
+                yield lo, row, [self.align(parts, docs, row - lo)[0]]
+                lo, parts, docs, size = row, [], [], 0
+            if len(own) > 1:
+                if row > lo:
+                    yield lo, row, [self.align(parts, docs, row - lo)[0]] if parts else []
+                done: list[Aligned] = []
+                for part in own:
+                    aligned, bad = self.align([part], [0], 1)
+                    if bad:
+                        done = []
+                        break
+                    done.append(aligned)
+                yield row, row + 1, done
+                lo, parts, docs, size = row + 1, [], [], 0
+            elif own:
+                parts += own
+                docs.append(row - lo)
+                size += len(text)
+        if len(texts) > lo:
+            yield lo, len(texts), [self.align(parts, docs, len(texts) - lo)[0]] if parts else []
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,9 +269,8 @@ class _Counter:
         self.size += len(pairs)
 
     def settle(self) -> None:
-        keys = np.concatenate([self.keys, *self.waiting])
-        values = np.concatenate([self.values, np.ones(self.size, np.int64)])
-        self.keys, self.values = _summed(keys, values)
+        own, counts = np.unique(np.concatenate([np.empty(0, np.int64), *self.waiting]), return_counts=True)
+        self.keys, self.values = _summed(np.concatenate([self.keys, own]), np.concatenate([self.values, counts]))
         self.waiting, self.size = [], 0
 
     def table(self, task: int) -> pa.RecordBatch:
@@ -205,29 +279,16 @@ class _Counter:
         return pa.RecordBatch.from_arrays(out, names=["pair", "docs", "task"])
 
 
-def _chunks(aligner: Aligner, text: str) -> Iterator[np.ndarray] | None:
-    """Places of a text's units, a bounded number at a time; nothing if the tokens do not give the text back."""
-    units = aligner.units(text)
-    if units is None:
-        return
-    for lo in range(0, len(units), UNIT_CHUNK):
-        yield aligner.numbers(units[lo : lo + UNIT_CHUNK])
-
-
 def _pair_task(byte_path: str, piece_path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, counter, number = _aligner(byte_path, piece_path), _Counter(), TaskContext.get().partitionId()
         for batch in batches:
-            for text in batch.column(1):
-                found = []
-                for at in _chunks(aligner, text.as_py()):
-                    own = np.unique(at)
-                    if (aligner.stats[own, 0] < 0).any():
-                        found = []
-                        break
-                    found.append(np.unique(np.concatenate([aligner.pairs[i] for i in own.tolist()])))
-                if found:
-                    counter.add(found[0] if len(found) == 1 else np.unique(np.concatenate(found)))
+            for _, _, found in aligner.batches(batch.column(1).to_pylist()):
+                once = [np.unique(x.docs * aligner.codes + x.pairs) for x in found]
+                if len(once) > 1:
+                    once = [np.unique(np.concatenate(once))]
+                for keys in once:
+                    counter.add(keys % aligner.codes)
                 if counter.size > FLUSH:
                     counter.settle()
                     if len(counter.keys) > FLUSH:
@@ -283,7 +344,7 @@ def pair_counts(
 ) -> DataFrame:
     """``pair, a, b, docs, best`` of all linked id pairs: documents that hold it, and whether no other pair of ``a`` has more.
 
-    ``pair`` is ``a * 2^32 + b``. Documents (rows) without tokens (see :func:`align_documents`) hold no pair.
+    ``pair`` is ``a * pieces + b`` with the number of the model's pieces. Documents (rows) without tokens (see :func:`align_documents`) hold no pair.
     """
     rows = texts_of(docs, id_col, text_col)
     partials = rows.mapInArrow(_pair_task(byte_path, piece_path), "pair long, docs long, task int")
@@ -305,9 +366,10 @@ def pair_counts(
         upper = F.floor(F.col("part") / FAN).cast("int").alias("part")
         vectors = vectors.select("bucket", upper, "counts").groupBy("bucket", "part").applyInArrow(_sum_group, schema)
     opened = hashes.join(vectors, "bucket").select("pairs", "counts").mapInArrow(_open_vectors, "pair long, docs long")
-    counts = written(opened.withColumn("a", F.shiftright("pair", 32).cast("int")), "dense-counts")
+    pieces = open_model(piece_path).whole.get_piece_size()
+    counts = written(opened.withColumn("a", F.floor(F.expr(f"pair div {pieces}")).cast("int")), "dense-counts")
     most = counts.groupBy("a").agg(F.max("docs").alias("most"))
-    b = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b")
+    b = F.pmod("pair", F.lit(pieces)).cast("int").alias("b")
     return written(counts.join(most, "a").select("pair", "a", b, "docs", (F.col("docs") == F.col("most")).alias("best")), "pair-counts")
 
 
@@ -333,56 +395,45 @@ OUTPUTS = {"groups_sha256": "string", "groups": "string"}
 def _lookup_task(byte_path: str, piece_path: str, shared, outputs: tuple[str, ...]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, hot = _aligner(byte_path, piece_path), shared.value
-        aligner.clear()
-
-        def look_up(places: np.ndarray) -> None:
-            """Sums of counts and best links by unit, and what the hot table lacks, of units that are new."""
-            for i in range(len(aligner.extra), len(aligner.groups)):
-                pairs, times = aligner.pairs[i], aligner.times[i]
-                at, known = hot.find(pairs)
-                docs, best = (v[at[known]] for v in hot.values)
-                cold = None if known.all() else (pairs[~known], times[~known])
-                aligner.extra.append((int((times[known] * docs).sum()), int((times[known] * best).sum()), cold))
+        kinds = [pa.binary()] + [pa.int64()] * 6 + [COLD] + [pa.string()] * len(outputs)
+        names = ["doc_id", "node", "n_a", "n_b", "n_groups", "n_links", "count_sum", "n_best", "cold", *outputs]
+
+        def looked_up(found: Aligned, n: int) -> tuple[np.ndarray, dict[int, list]]:
+            """Links, sum of counts and best links by document, and the pairs that the hot table lacks."""
+            at, known = hot.find(found.pairs)
+            docs, best = (np.where(known, v[at] if len(v) else 0, 0) for v in hot.values)
+            sums = np.zeros((3, n), np.int64)
+            if len(found.docs):
+                first = np.flatnonzero(np.concatenate([[True], found.docs[1:] != found.docs[:-1]]))
+                for row, values in zip(sums, (found.times, found.times * docs, found.times * best)):
+                    row[found.docs[first]] = np.add.reduceat(values, first)
+            keys, times = _summed((found.docs * aligner.codes + found.pairs)[~known], found.times[~known])
+            rest: dict[int, list] = {}
+            for key, t in zip(keys.tolist(), times.tolist()):
+                rest.setdefault(key // aligner.codes, []).append((key % aligner.codes, t))
+            return sums, rest
 
         for batch in batches:
-            out: list[tuple] = []
-            for text in batch.column(1):
-                text = text.as_py()
-                stats, pieces, score, cold, fine = np.zeros(4, np.int64), [], [0, 0], [], False
-                digest = hashlib.sha256()
-                for at in _chunks(aligner, text):
-                    own, times = np.unique(at, return_counts=True)
-                    fine = not (aligner.stats[own, 0] < 0).any()
-                    if not fine:
-                        break
-                    look_up(own)
-                    joined = b";".join([aligner.groups[i] for i in at.tolist()])
-                    if stats[2]:
-                        joined = b";" + joined
-                    digest.update(joined)
-                    if "groups" in outputs:
-                        pieces.append(joined)
-                    stats += times @ aligner.stats[own]
-                    for i, n in zip(own.tolist(), times.tolist()):
-                        docs, best, rest = aligner.extra[i]
-                        score[0] += n * docs
-                        score[1] += n * best
-                        if rest is not None:
-                            cold.append((rest[0], rest[1] * n))
-                if not fine:
-                    out.append((None, 0, 0, 0, 0, 0, 0, None, *("" for _ in outputs)))
-                    continue
-                node, rest = None, None
-                if cold:
-                    pairs, n = _summed(np.concatenate([p for p, _ in cold]), np.concatenate([n for _, n in cold]))
-                    rest = [{"pair": p, "times": t} for p, t in zip(pairs.tolist(), n.tolist())]
-                    node = xxhash.xxh3_128_digest(text.encode())
-                texts = {"groups_sha256": digest.hexdigest(), "groups": b"".join(pieces).decode()}
-                out.append((node, *stats.tolist(), *score, rest, *(texts[o] for o in outputs)))
-            kinds = [pa.binary()] + [pa.int64()] * 6 + [COLD] + [pa.string()] * len(outputs)
-            arrays = [pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * len(kinds), kinds)]
-            names = ["doc_id", "node", "n_a", "n_b", "n_groups", "n_links", "count_sum", "n_best", "cold", *outputs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
+            texts = batch.column(1).to_pylist()
+            for lo, hi, found in aligner.batches(texts):
+                n = hi - lo
+                stats, joined, rest = np.zeros((6, n), np.int64), [b""] * n, {}
+                for x in found:
+                    sums, more = looked_up(x, n)
+                    stats += np.vstack([x.n_a, x.n_b, x.n_groups, sums])
+                    joined = [a + b for a, b in zip(joined, x.groups)] if len(found) > 1 else x.groups
+                    for doc, pairs in more.items():
+                        rest.setdefault(doc, []).extend(pairs)
+                nodes, cold = [None] * n, [None] * n
+                for doc, pairs in rest.items():
+                    both = _summed(*(np.array(c, np.int64) for c in zip(*pairs)))
+                    cold[doc] = [{"pair": p, "times": t} for p, t in zip(*(c.tolist() for c in both))]
+                    nodes[doc] = xxhash.xxh3_128_digest(texts[lo + doc].encode())
+                joined = [g[:-1] for g in joined]
+                made = {"groups_sha256": lambda g: hashlib.sha256(g).hexdigest() if g else "", "groups": bytes.decode}
+                columns = [nodes, *stats, cold, *([made[o](g) for g in joined] for o in outputs)]
+                arrays = [batch.column(0).slice(lo, n), *(pa.array(c, k) for c, k in zip(columns, kinds))]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return task
 
