@@ -123,17 +123,20 @@ def test_small_parts_and_other_tokenizer_paths(corpus, monkeypatch):
     for size, short, fast in ((1 << 18, 1 << 10, True), (50, 4, True), (2000, 1 << 10, False)):
         monkeypatch.setattr(alignment, "SLICE", size)
         monkeypatch.setattr(alignment, "SHORT", short)
+        monkeypatch.setattr(alignment, "STORE", 96 << 20 if fast and size > 50 else 4000)
         if not fast:
             aligner.a.fast = None
-        got = {}
-        for lo, hi, found in aligner.batches(texts):
-            for row in range(lo, hi):
-                links = Counter()
-                for x in found:
-                    own = x.docs == row - lo
-                    for pair, n in zip(x.pairs[own].tolist(), x.times[own].tolist()):
-                        links[divmod(pair, aligner.pieces)] += n
-                got[row] = b"".join(x.groups[row - lo] for x in found).decode()[:-1], links
+        aligner.clear()
+        got = {row: [b"", Counter(), False] for row in range(len(texts))}
+        for lo, hi, _, docs, units in aligner.slices(texts):
+            bad = aligner.failed(docs, units, hi - lo)
+            pairs, times, of = aligner.links(units)
+            for doc, unit in zip(docs.tolist(), units.tolist()):
+                got[lo + doc][0] += aligner.groups[unit]
+                got[lo + doc][2] |= bool(bad[doc])
+            for pair, n, at in zip(pairs.tolist(), times.tolist(), of.tolist()):
+                got[lo + docs[at]][1][divmod(pair, aligner.pieces)] += n
+        got = {row: ("", Counter()) if failed else (shown.decode()[:-1], links) for row, (shown, links, failed) in got.items()}
         assert sorted(got) == list(range(len(texts)))
         for row, text in enumerate(texts):
             groups = groups_of(text) or []

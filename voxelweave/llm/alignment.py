@@ -6,7 +6,8 @@ hash, each key verified, which are summed in a tree. Pass two aligns the documen
 most frequent pairs (at most ``HOT``, a fixed bound) in a table that every worker holds, hashed the same way; the rare
 rest, whatever its size, by a join.
 
-Long texts are aligned in parts cut where tokens of neither side reach across, so memory is bounded by a part.
+Texts are cut into units that tokens of neither side reach across, and each unit is aligned once per worker (while its bounded
+store holds it). New units are joined to one text and aligned by column operations; long texts go part by part.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -39,9 +39,12 @@ LEVELS = 4  # steps of a doubling in which the least count of the hot table is c
 SLICE = 1 << 18  # characters aligned at once
 SHORT = 1 << 10  # links of a group that are listed one by one
 FLUSH = 2_000_000
+STORE = 96 << 20  # bytes of aligned units that a worker keeps
 #: White space in any reading, and marks that some readings count as such: never next to a cut.
 _BLANK = r"\s\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff"
 _CUT = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
+_REGULAR = re.compile(f"[^{_BLANK}](?:.*[^{_BLANK}])?", re.DOTALL)
+_ODD_SPACE = re.compile(f" [{_BLANK}]|[{_BLANK}] ")
 #: Scripts whose letters, digits and marks every Unicode version in use classes alike.
 _SETTLED = re.compile(
     r"[\x00-\u0233\u0250-\u036f\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u0513\u05d0-\u05ea\u0621-\u063a\u0641-\u0652"
@@ -104,25 +107,37 @@ class ByteTokenizer:
         ]
 
 
-@dataclass
-class Aligned:
-    """Some documents aligned: counts by document; links as pair codes with occurrences and documents; groups in order."""
+class Column:
+    """A growing array."""
 
-    n_a: np.ndarray
-    n_b: np.ndarray
-    n_groups: np.ndarray
-    pairs: np.ndarray
-    times: np.ndarray
-    docs: np.ndarray
-    groups: list[bytes]
+    def __init__(self, dtype):
+        self.room, self.size = np.empty(1024, dtype), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.room):
+            grown = np.empty(max(need, 2 * len(self.room)), self.room.dtype)
+            grown[: self.size] = self.room[: self.size]
+            self.room = grown
+        self.room[self.size : need] = values
+        self.size = need
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
 
 
 class Aligner:
-    """Both tokenizers of a worker. The code of a pair of ids is ``a * pieces + b``."""
+    """Both tokenizers of a worker and the units aligned so far. The code of a pair of ids is ``a * pieces + b``.
+
+    Per unit: ``n_a``, ``n_b``, ``n_groups`` and ``n_links`` (columns of ``stats``; -1 where the tokens of a side do not give
+    the unit back), ``groups`` as text, and the linked ``pairs`` with their ``times`` from ``first`` to the next unit's.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = ByteTokenizer(byte_path), open_model(piece_path)
         model = self.b.whole
+        self.mark = SPACE if self.b.escape else " "
         self.pieces = model.get_piece_size()
         self.b_bytes = []
         for i in range(self.pieces):
@@ -134,17 +149,24 @@ class Aligner:
         self.codes = size * self.pieces
         ids = [b"%d" % i for i in range(max(size, self.pieces))]
         self.words = [i + end for i in ids for end in (b",", b"|", b";")]
-        # Texts may be cut where tokens of neither side reach across: byte-level words begin at a space after a mark that is
-        # not blank, and pieces hold a space mark at their begin only.
+        # Byte-level words begin at a space after a mark that is not blank, and pieces hold a space mark at their begin only.
         self.cuts = self.a.cuts and self.b.unit_pattern.pattern != r"[\s\S]+"
-
-    def parts(self, text: str) -> list[str] | None:
-        """Space + text in parts of about ``SLICE`` characters; nothing for texts without tokens."""
-        mark = SPACE if self.b.escape else " "
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.groups: list[bytes] = []
+        self.held = 0
+        self.stats = [Column(np.int64) for _ in range(4)]
+        self.first, self.pairs, self.times = Column(np.int64), Column(np.int64), Column(np.int64)
+        self.first.extend(np.zeros(1, np.int64))
+
+    def parts(self, text: str) -> list[str]:
+        """Space + text in parts of about ``SLICE`` characters; none for texts without tokens."""
         if not text or SPACE in text:  # a space mark in the text comes back as a space
-            return None
-        if normalise(self.b, text, False)[0] != mark + text.replace(" ", mark):
-            return None
+            return []
+        if normalise(self.b, text, False)[0] != self.mark + text.replace(" ", self.mark):
+            return []
         text, parts = " " + text, []
         while self.cuts and len(text) > SLICE:
             cut = _CUT.search(text, SLICE)
@@ -154,28 +176,45 @@ class Aligner:
             text = text[cut.start() :]
         return [*parts, text]
 
-    def encode(self, parts: list[str]) -> tuple[list, list]:
-        mark = SPACE if self.b.escape else " "
-        return self.a.ids(parts), self.b.plain.encode([p.replace(" ", mark) for p in parts], num_threads=1)
-
-    def align(self, parts: list[str], docs: list[int], n: int) -> tuple[Aligned, set[int]]:
-        """Parts of documents ``docs`` (rising, of ``n``) aligned; documents whose tokens do not give the text back are left out and named."""
-        a, b = self.encode(parts)
-        data = [p.encode() for p in parts]
-        bad: set[int] = set()
-        a_text, b_text = (b"".join([t[i] for x in side for i in x]) for side, t in ((a, self.a_bytes), (b, self.b_bytes)))
-        whole = b"".join(data)
-        if a_text != whole or b_text != whole:
-            for doc, text, x, y in zip(docs, data, a, b):
-                if b"".join([self.a_bytes[i] for i in x]) != text or b"".join([self.b_bytes[i] for i in y]) != text:
-                    bad.add(doc)
-            kept = [i for i, doc in enumerate(docs) if doc not in bad]
-            a, b, data, docs = ([side[i] for i in kept] for side in (a, b, data, docs))
-        ends = np.cumsum([0, *map(len, data)])[1:]
+    def units(self, part: str) -> list[str]:
+        """Units of a part, each without the space it begins with."""
+        text = part[1:]
+        if not self.cuts:
+            return [text]
+        if text[0] == " " or text[-1] == " " or _ODD_SPACE.search(text):
+            first, *rest = _CUT.split(part)
+            return [first[1:], *rest]
+        return text.split(" ")
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """Places of units in the store; new ones are aligned."""
+        index = self.index
+        new = [u for u in dict.fromkeys(units) if u not in index]
+        if new:
+            new.sort(key=lambda u: _REGULAR.fullmatch(u) is None)
+            plain = sum(_REGULAR.fullmatch(u) is not None for u in new) if self.cuts else 0
+            self._add(new, plain)
+        return np.fromiter(map(index.__getitem__, units), np.int64, len(units))
+
+    def _add(self, units: list[str], plain: int) -> None:
+        """Align new units; the first ``plain`` ones may stand side by side in one text."""
+        data = [b" " + u.encode() for u in units]
+        texts = ([" " + " ".join(units[:plain])] if plain else []) + [" " + u for u in units[plain:]]
+        a, b = self.a.ids(texts), self.b.plain.encode([t.replace(" ", self.mark) for t in texts], num_threads=1)
+        whole, good = b"".join(data), range(len(units))
+        if any(b"".join([t[i] for x in side for i in x]) != whole for side, t in ((a, self.a_bytes), (b, self.b_bytes))):
+            a = self.a.ids([" " + u for u in units])
+            b = self.b.plain.encode([self.mark + u.replace(" ", self.mark) for u in units], num_threads=1)
+            same = (b"".join([self.a_bytes[i] for i in x]) == d == b"".join([self.b_bytes[i] for i in y]) for d, x, y in zip(data, a, b))
+            good = [i for i, fine in enumerate(same) if fine]
+            a, b = ([side[i] for i in good] for side in (a, b))
+        ends = np.cumsum([0, *(len(data[i]) for i in good)])[1:]
         a, b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (a, b))
-        return self._aligned(a, b, ends, np.array(docs, np.int64), n), bad
+        self._store(units, np.array(good, np.int64), ends, a, b)
 
-    def _aligned(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray, docs: np.ndarray, n: int) -> Aligned:
+    def _store(self, units: list[str], good: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Groups and links of the tokens ``a`` and ``b`` of the units ``good``, which end at the bytes ``ends``."""
+        n = len(units)
         a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         at = np.searchsorted(a_end, b_end)
         b_last = a_end[at] == b_end if len(a_end) else np.empty(0, bool)
@@ -185,62 +224,96 @@ class Aligner:
         count = int(a_last.sum())
         a_n, b_n = np.bincount(a_group, minlength=count), np.bincount(b_group, minlength=count)
         a_to, b_to = np.cumsum(a_n), np.cumsum(b_n)
-        doc = docs[np.searchsorted(ends, b_end[b_last])] if count else np.empty(0, np.int64)  # of each group
+        unit = good[np.searchsorted(ends, b_end[b_last])] if count else np.empty(0, np.int64)  # of each group
 
         long = a_n * b_n > SHORT
         reps = np.where(long, 0, b_n)[a_group]
-        first = np.cumsum(reps) - reps
-        place = np.arange(int(reps.sum())) + np.repeat((b_to - b_n)[a_group] - first, reps)
-        pairs, of = np.repeat(a * self.pieces, reps) + b[place], np.repeat(doc[a_group], reps)
-        times = np.ones(len(pairs), np.int64)
-        if long.any():
-            found = [(pairs, times, of)]
-            for g in np.flatnonzero(long).tolist():
-                x, nx = np.unique(a[a_to[g] - a_n[g] : a_to[g]], return_counts=True)
-                y, ny = np.unique(b[b_to[g] - b_n[g] : b_to[g]], return_counts=True)
-                codes = (x[:, None] * self.pieces + y).ravel()
-                found.append((codes, (nx[:, None] * ny).ravel(), np.full(len(codes), doc[g])))
-            pairs, times, of = map(np.concatenate, zip(*found))
-            order = np.argsort(of, kind="stable")
-            pairs, times, of = pairs[order], times[order], of[order]
+        place = np.arange(int(reps.sum())) + np.repeat((b_to - b_n)[a_group] - (np.cumsum(reps) - reps), reps)
+        pairs, of = np.repeat(a * self.pieces, reps) + b[place], np.repeat(unit[a_group], reps)
+        found = [(pairs, np.ones(len(pairs), np.int64), of)]
+        for g in np.flatnonzero(long).tolist():  # by distinct ids and how often each occurs
+            x, nx = np.unique(a[a_to[g] - a_n[g] : a_to[g]], return_counts=True)
+            y, ny = np.unique(b[b_to[g] - b_n[g] : b_to[g]], return_counts=True)
+            codes = (x[:, None] * self.pieces + y).ravel()
+            found.append((codes, (nx[:, None] * ny).ravel(), np.full(len(codes), unit[g])))
+        pairs, times, of = map(np.concatenate, zip(*found))
+        order = np.argsort(of, kind="stable")
 
         # Tokens in the order of the groups' text, each with what follows it.
-        written_as = np.empty(len(a) + len(b), np.int64)
-        written_as[np.arange(len(a)) + (b_to - b_n)[a_group]] = a * 3 + a_last
-        written_as[np.arange(len(b)) + a_to[b_group]] = b * 3 + 2 * b_last
-        pieces = [self.words[i] for i in written_as.tolist()]
-        tokens = np.bincount(doc, weights=a_n + b_n, minlength=n).astype(np.int64)
-        stops = np.cumsum(tokens).tolist()
-        groups = [b"".join(pieces[stop - size : stop]) for stop, size in zip(stops, tokens.tolist())]
-        by_doc = [np.bincount(doc, weights=w, minlength=n).astype(np.int64) for w in (a_n, b_n)]
-        return Aligned(*by_doc, np.bincount(doc, minlength=n), pairs, times, of, groups)
-
-    def batches(self, texts: list[str]) -> Iterator[tuple[int, int, list[Aligned]]]:
-        """Row ranges and their alignments: one for several rows, or several, one after the other, for one long row."""
-        lo, parts, docs, size = 0, [], [], 0
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + (b_to - b_n)[a_group]] = a * 3 + a_last
+        shown[np.arange(len(b)) + a_to[b_group]] = b * 3 + 2 * b_last
+        shown = [self.words[i] for i in shown.tolist()]
+        stats = [np.zeros(n, np.int64) for _ in range(4)]
+        for out, values in zip(stats, (a_n, b_n, np.ones(count, np.int64), a_n * b_n)):
+            np.add.at(out, unit, values)
+        sizes = stats[0] + stats[1]
+        groups = [b"".join(shown[stop - size : stop]) for stop, size in zip(np.cumsum(sizes).tolist(), sizes.tolist())]
+        bad = np.ones(n, bool)
+        bad[good] = False
+        self.index.update(zip(units, range(len(self.groups), len(self.groups) + n)))
+        self.groups += groups
+        for column, out in zip(self.stats, stats):
+            column.extend(np.where(bad, -1, out))
+        self.first.extend(self.first.values[-1] + np.cumsum(np.bincount(of, minlength=n)))
+        self.pairs.extend(pairs[order])
+        self.times.extend(times[order])
+        self.held += 300 * n + 3 * int(ends[-1] if len(ends) else 0) + sum(map(len, groups)) + 16 * len(pairs)
+
+    def links(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs and times of all links of ``units``, and the place in ``units`` that each belongs to."""
+        first = self.first.values
+        sizes = first[units + 1] - first[units]
+        of = np.repeat(np.arange(len(units)), sizes)
+        at = np.arange(len(of)) + np.repeat(first[units] - (np.cumsum(sizes) - sizes), sizes)
+        return self.pairs.values[at], self.times.values[at], of
+
+    def slices(self, texts: list[str]) -> Iterator[tuple[int, int, bool, np.ndarray, np.ndarray]]:
+        """Row ranges with, for each of their units in order, its row within the range and its place in the store.
+
+        A long row comes alone and part by part; the flag marks its last (or only) part. Places hold until the next slice.
+        """
+        lo, units, docs, size = 0, [], [], 0
         for row, text in enumerate(texts):
-            own = self.parts(text) or []
-            if size and size + len(text) > SLICE:
-                yield lo, row, [self.align(parts, docs, row - lo)[0]]
-                lo, parts, docs, size = row, [], [], 0
-            if len(own) > 1:
+            parts = self.parts(text)
+            if row > lo and size + len(text) > SLICE:
+                yield lo, row, True, *self._placed(units, docs)
+                lo, units, docs, size = row, [], [], 0
+            if len(parts) > 1:
                 if row > lo:
-                    yield lo, row, [self.align(parts, docs, row - lo)[0]] if parts else []
-                done: list[Aligned] = []
-                for part in own:
-                    aligned, bad = self.align([part], [0], 1)
-                    if bad:
-                        done = []
-                        break
-                    done.append(aligned)
-                yield row, row + 1, done
-                lo, parts, docs, size = row + 1, [], [], 0
-            elif own:
-                parts += own
-                docs.append(row - lo)
+                    yield lo, row, True, *self._placed(units, docs)
+                for i, part in enumerate(parts):
+                    own = self.units(part)
+                    yield row, row + 1, i == len(parts) - 1, *self._placed(own, [0] * len(own))
+                lo, units, docs, size = row + 1, [], [], 0
+            else:
+                for part in parts:
+                    own = self.units(part)
+                    units += own
+                    docs += [row - lo] * len(own)
                 size += len(text)
         if len(texts) > lo:
-            yield lo, len(texts), [self.align(parts, docs, len(texts) - lo)[0]] if parts else []
+            yield lo, len(texts), True, *self._placed(units, docs)
+
+    def _placed(self, units: list[str], docs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        if self.held > STORE:
+            self.clear()
+        return np.array(docs, np.int64), self.numbers(units)
+
+    def failed(self, docs: np.ndarray, units: np.ndarray, n: int) -> np.ndarray:
+        """Whether a row has a unit that its tokens do not give back."""
+        out = np.zeros(n, bool)
+        out[docs[self.stats[0].values[units] < 0]] = True
+        return out
+
+
+def _row_sums(docs: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+    """Sums by row, ``docs`` rising."""
+    out = np.zeros(n, np.int64)
+    if len(docs):
+        first = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
+        out[docs[first]] = np.add.reduceat(values, first)
+    return out
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,12 +356,21 @@ def _pair_task(byte_path: str, piece_path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, counter, number = _aligner(byte_path, piece_path), _Counter(), TaskContext.get().partitionId()
         for batch in batches:
-            for _, _, found in aligner.batches(batch.column(1).to_pylist()):
-                once = [np.unique(x.docs * aligner.codes + x.pairs) for x in found]
-                if len(once) > 1:
-                    once = [np.unique(np.concatenate(once))]
-                for keys in once:
-                    counter.add(keys % aligner.codes)
+            held: list[np.ndarray] = []  # of a long row
+            failed = False
+            for lo, hi, last, docs, units in aligner.slices(batch.column(1).to_pylist()):
+                bad = aligner.failed(docs, units, hi - lo)
+                failed |= bool(bad.all())
+                store = len(aligner.groups)
+                once = np.unique((docs * store + units)[~bad[docs]])
+                pairs, _, of = aligner.links(once % store if store else once)
+                held.append(np.unique((once // max(store, 1))[of] * aligner.codes + pairs))
+                if last:
+                    if len(held) > 1:
+                        held = [] if failed else [np.unique(np.concatenate(held))]
+                    for keys in held:
+                        counter.add(keys % aligner.codes)
+                    held, failed = [], False
                 if counter.size > FLUSH:
                     counter.settle()
                     if len(counter.keys) > FLUSH:
@@ -392,48 +474,77 @@ COLD = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))
 OUTPUTS = {"groups_sha256": "string", "groups": "string"}
 
 
+class _Scores:
+    """Per unit of the store: sum of its links' counts and its best links by the hot table, and the links that lacks."""
+
+    def __init__(self, aligner: Aligner, hot: HashedTable):
+        self.aligner, self.hot = aligner, hot
+        self.clear()
+
+    def clear(self) -> None:
+        self.columns = [Column(np.int64) for _ in range(2)]
+        self.rare = Column(bool)
+        self.index = self.aligner.index
+
+    def of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.index is not self.aligner.index:  # the store began anew
+            self.clear()
+        new = np.arange(self.rare.size, len(self.aligner.groups))
+        if len(new):
+            pairs, times, of = self.aligner.links(new)
+            at, known = self.hot.find(pairs)
+            for column, values in zip(self.columns, self.hot.values):
+                column.extend(_row_sums(of, len(new), times * np.where(known, values[at] if len(values) else 0, 0)))
+            self.rare.extend(_row_sums(of, len(new), (~known).astype(np.int64)) > 0)
+        return *(c.values[units] for c in self.columns), self.rare.values[units]
+
+    def rest(self, docs: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links that the hot table lacks: row and pair as one key, and occurrences."""
+        pairs, times, of = self.aligner.links(units)
+        _, known = self.hot.find(pairs)
+        return _summed((docs[of] * self.aligner.codes + pairs)[~known], times[~known])
+
+
 def _lookup_task(byte_path: str, piece_path: str, shared, outputs: tuple[str, ...]):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, hot = _aligner(byte_path, piece_path), shared.value
-        kinds = [pa.binary()] + [pa.int64()] * 6 + [COLD] + [pa.string()] * len(outputs)
-        names = ["doc_id", "node", "n_a", "n_b", "n_groups", "n_links", "count_sum", "n_best", "cold", *outputs]
-
-        def looked_up(found: Aligned, n: int) -> tuple[np.ndarray, dict[int, list]]:
-            """Links, sum of counts and best links by document, and the pairs that the hot table lacks."""
-            at, known = hot.find(found.pairs)
-            docs, best = (np.where(known, v[at] if len(v) else 0, 0) for v in hot.values)
-            sums = np.zeros((3, n), np.int64)
-            if len(found.docs):
-                first = np.flatnonzero(np.concatenate([[True], found.docs[1:] != found.docs[:-1]]))
-                for row, values in zip(sums, (found.times, found.times * docs, found.times * best)):
-                    row[found.docs[first]] = np.add.reduceat(values, first)
-            keys, times = _summed((found.docs * aligner.codes + found.pairs)[~known], found.times[~known])
-            rest: dict[int, list] = {}
-            for key, t in zip(keys.tolist(), times.tolist()):
-                rest.setdefault(key // aligner.codes, []).append((key % aligner.codes, t))
-            return sums, rest
+    kinds = [pa.binary()] + [pa.int64()] * 6 + [COLD] + [pa.string()] * len(outputs)
+    names = ["doc_id", "node", "n_a", "n_b", "n_groups", "n_links", "count_sum", "n_best", "cold", *outputs]
+    made = {"groups_sha256": lambda g: hashlib.sha256(g).hexdigest() if g else "", "groups": bytes.decode}
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = _aligner(byte_path, piece_path)
+        scores = _Scores(aligner, shared.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for lo, hi, found in aligner.batches(texts):
+            stats, joined, rest, failed = None, None, {}, None
+            for lo, hi, last, docs, units in aligner.slices(texts):
                 n = hi - lo
-                stats, joined, rest = np.zeros((6, n), np.int64), [b""] * n, {}
-                for x in found:
-                    sums, more = looked_up(x, n)
-                    stats += np.vstack([x.n_a, x.n_b, x.n_groups, sums])
-                    joined = [a + b for a, b in zip(joined, x.groups)] if len(found) > 1 else x.groups
-                    for doc, pairs in more.items():
-                        rest.setdefault(doc, []).extend(pairs)
+                if stats is None:
+                    stats, joined, failed = np.zeros((6, n), np.int64), [[] for _ in range(n)], np.zeros(n, bool)
+                failed |= aligner.failed(docs, units, n)
+                docs_sum, best, rare = scores.of(units)
+                for row, values in zip(stats, (*(c.values[units] for c in aligner.stats), docs_sum, best)):
+                    row += _row_sums(docs, n, values)
+                stops = np.searchsorted(docs, np.arange(n + 1)).tolist()
+                shown = [aligner.groups[i] for i in units.tolist()]
+                for out, start, stop in zip(joined, stops, stops[1:]):
+                    out.append(b"".join(shown[start:stop]))
+                if rare.any():
+                    for key, t in zip(*(c.tolist() for c in scores.rest(docs[rare], units[rare]))):
+                        of = rest.setdefault(key // aligner.codes, {})
+                        of[key % aligner.codes] = of.get(key % aligner.codes, 0) + t
+                if not last:
+                    continue
+                stats[:, failed] = 0
+                whole = [b"" if bad else b"".join(g)[:-1] for g, bad in zip(joined, failed)]
                 nodes, cold = [None] * n, [None] * n
                 for doc, pairs in rest.items():
-                    both = _summed(*(np.array(c, np.int64) for c in zip(*pairs)))
-                    cold[doc] = [{"pair": p, "times": t} for p, t in zip(*(c.tolist() for c in both))]
-                    nodes[doc] = xxhash.xxh3_128_digest(texts[lo + doc].encode())
-                joined = [g[:-1] for g in joined]
-                made = {"groups_sha256": lambda g: hashlib.sha256(g).hexdigest() if g else "", "groups": bytes.decode}
-                columns = [nodes, *stats, cold, *([made[o](g) for g in joined] for o in outputs)]
+                    if not failed[doc]:
+                        cold[doc] = [{"pair": p, "times": t} for p, t in pairs.items()]
+                        nodes[doc] = xxhash.xxh3_128_digest(texts[lo + doc].encode())
+                columns = [nodes, *stats, cold, *([made[o](g) for g in whole] for o in outputs)]
                 arrays = [batch.column(0).slice(lo, n), *(pa.array(c, k) for c, k in zip(columns, kinds))]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+                stats, joined, rest, failed = None, None, {}, None
 
     return task
 
