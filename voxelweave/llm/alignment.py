@@ -39,11 +39,11 @@ LEVELS = 4  # steps of a doubling in which the least count of the hot table is c
 SLICE = 1 << 18  # characters aligned at once
 SHORT = 1 << 10  # links of a group that are listed one by one
 FLUSH = 2_000_000
-STORE = 96 << 20  # bytes of aligned units that a worker keeps
+STORE = 224 << 20  # bytes of aligned units that a worker keeps
 #: White space in any reading, and marks that some readings count as such: never next to a cut.
 _BLANK = r"\s\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff"
 _CUT = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
-_REGULAR = re.compile(f"[^{_BLANK}](?:.*[^{_BLANK}])?", re.DOTALL)
+_BLANKS = {chr(i) for i in range(0x10000) if re.match(f"[{_BLANK}]", chr(i))}
 _ODD_SPACE = re.compile(f" [{_BLANK}]|[{_BLANK}] ")
 #: Scripts whose letters, digits and marks every Unicode version in use classes alike.
 _SETTLED = re.compile(
@@ -191,9 +191,11 @@ class Aligner:
         index = self.index
         new = [u for u in dict.fromkeys(units) if u not in index]
         if new:
-            new.sort(key=lambda u: _REGULAR.fullmatch(u) is None)
-            plain = sum(_REGULAR.fullmatch(u) is not None for u in new) if self.cuts else 0
-            self._add(new, plain)
+            apart = [u for u in new if not self.cuts or not u or u[0] in _BLANKS or u[-1] in _BLANKS]
+            if apart:
+                index.update(dict.fromkeys(apart, -1))
+                new = [u for u in new if u not in index]
+            self._add(new + apart, len(new))
         return np.fromiter(map(index.__getitem__, units), np.int64, len(units))
 
     def _add(self, units: list[str], plain: int) -> None:
@@ -237,16 +239,16 @@ class Aligner:
             codes = (x[:, None] * self.pieces + y).ravel()
             found.append((codes, (nx[:, None] * ny).ravel(), np.full(len(codes), unit[g])))
         pairs, times, of = map(np.concatenate, zip(*found))
-        order = np.argsort(of, kind="stable")
+        if len(found) > 1:
+            order = np.argsort(of, kind="stable")
+            pairs, times, of = pairs[order], times[order], of[order]
 
         # Tokens in the order of the groups' text, each with what follows it.
         shown = np.empty(len(a) + len(b), np.int64)
         shown[np.arange(len(a)) + (b_to - b_n)[a_group]] = a * 3 + a_last
         shown[np.arange(len(b)) + a_to[b_group]] = b * 3 + 2 * b_last
         shown = [self.words[i] for i in shown.tolist()]
-        stats = [np.zeros(n, np.int64) for _ in range(4)]
-        for out, values in zip(stats, (a_n, b_n, np.ones(count, np.int64), a_n * b_n)):
-            np.add.at(out, unit, values)
+        stats = [_row_sums(unit, n, values) for values in (a_n, b_n, np.ones(count, np.int64), a_n * b_n)]
         sizes = stats[0] + stats[1]
         groups = [b"".join(shown[stop - size : stop]) for stop, size in zip(np.cumsum(sizes).tolist(), sizes.tolist())]
         bad = np.ones(n, bool)
@@ -256,8 +258,8 @@ class Aligner:
         for column, out in zip(self.stats, stats):
             column.extend(np.where(bad, -1, out))
         self.first.extend(self.first.values[-1] + np.cumsum(np.bincount(of, minlength=n)))
-        self.pairs.extend(pairs[order])
-        self.times.extend(times[order])
+        self.pairs.extend(pairs)
+        self.times.extend(times)
         self.held += 300 * n + 3 * int(ends[-1] if len(ends) else 0) + sum(map(len, groups)) + 16 * len(pairs)
 
     def links(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
