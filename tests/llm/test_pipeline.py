@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import random
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.test_simhash import components, plain_fingerprint
-from voxelweave.llm.common import shared_folder, table, written
+from voxelweave.llm import jaccard
+from voxelweave.llm.common import scratch, shared_folder, table, written
 from voxelweave.llm.queries import all_oracles, all_queries
 
 
@@ -40,23 +41,14 @@ def test_clean_documents_are_kept(spark, sf_dir, stages):
     assert labels.where("quality = 0").join(stages[1], "doc_id", "left_semi").count() <= 0.2 * labels.where("quality = 0").count()
 
 
-def test_one_of_each_near_duplicate_group(stages):
-    rows = [(r["doc_id"], r["text"]) for r in stages[1].select("doc_id", "text").collect()]
-    named = components([i for i, _ in rows], [plain_fingerprint(t) for _, t in rows])
-    assert {r["doc_id"] for r in stages[2].select("doc_id").collect()} == set(named)
-
-
 def shingle_sets(rows):
     split = [t.encode().lower().split() for _, t in rows]
     return [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
 
 
-def test_near_duplicates_by_brute_force(spark):
-    """Raw documents of sf0.01 against all pairs at a Jaccard likeness of 0.8 over five-word shingles."""
-    docs = table(spark, "/root/testdata/sf0.01", "documents").where("doc_id is not null and text is not null")
-    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
-    sets, name = shingle_sets(rows), {}
-    holders = {}
+def first_ids(rows):
+    """Lowest ids of the groups that pairs at a Jaccard likeness of 0.8 make; ``rows`` are (id, text), in order."""
+    sets, name, holders = shingle_sets(rows), {}, {}
     for i, s in enumerate(sets):
         for x in s:
             holders.setdefault(x, []).append(i)
@@ -73,8 +65,67 @@ def test_near_duplicates_by_brute_force(spark):
             if at not in name:
                 name[at] = rows[i][0]
                 todo += links[at]
+    return set(name.values())
+
+
+def test_one_of_each_near_duplicate_group(stages):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in stages[1].select("doc_id", "text").collect())
+    assert {r["doc_id"] for r in stages[2].select("doc_id").collect()} == first_ids(rows)
+
+
+def test_near_duplicates_by_brute_force(spark):
+    """Raw documents of sf0.01 against all pairs at a Jaccard likeness of 0.8 over five-word shingles."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("doc_id is not null and text is not null")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    kept = corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(first_ids(rows))
+
+
+def test_long_runs_are_dealt_in_blocks(spark, monkeypatch):
+    """A large group of near copies, most of them under 0.8 to each other, in runs of a few rows."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4])):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(jaccard, "RUN_LIMIT", 10)
+    schema = table(spark, "/root/testdata/sf0.001", "documents").schema
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema)
     kept = corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()
-    assert sorted(r["doc_id"] for r in kept) == sorted(set(name.values()))
+    assert sorted(r["doc_id"] for r in kept) == sorted(first_ids(rows))
+
+
+def test_scratch_tables_go(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("doc_id < 40")
+    with scratch(spark) as keep:
+        inner = written(docs.select("doc_id"), "inner")
+        outer = keep(inner, "outer")
+        assert inner.count() == 40
+    assert outer.count() == 40
+    with pytest.raises(Exception):
+        inner.count()
+
+
+def test_one_id_with_two_texts_and_clashing_names(spark, sf_dir):
+    """Each text of an id is cut by its own passages, whatever the order of rows and the names of other columns."""
+    docs = table(spark, sf_dir, "documents")
+    shared = [f"s{i}" for i in range(70)]
+    texts = [(1, shared), (5, ["a", "b", *shared]), (5, [f"t{i}" for i in range(90)]), (5, ["c"]), (6, [f"t{i}" for i in range(80)])]
+    rows = [(i, " ".join(w), "en", "s", 1) for i, w in texts]
+    for order in (rows, rows[::-1]):
+        odd = spark.createDataFrame(order, docs.schema)
+        for name in ("_text_node", "_node", "_First", "_spans", "_text_hash", "doc", "root", "row"):
+            odd = odd.withColumn(name, F.lit("clash"))
+        once = corpus_pipeline.near_dedup(spark, odd, sf_dir)
+        assert once.columns == odd.columns
+        cut = corpus_pipeline.passage_dedup(spark, written(odd, "odd"), sf_dir)
+        got = sorted((r["doc_id"], r["text"]) for r in cut.collect())
+        assert cut.columns == odd.columns and len(got) == 5
+        assert (1, " ".join(shared)) in got and (5, "a b ") in got and (5, "c") in got
+        assert sum("t79" in t for _, t in got) == 1
 
 
 def test_near_duplicates_beyond_the_lowest_and_ids_with_two_texts(spark, sf_dir):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +30,45 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Folders, below the shared one, of the scopes that are open.
+_scopes: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back.
 
-    The stored table outlives any executor, so later jobs never recompute what came before.
+    The stored table outlives any executor, so later jobs never recompute what came before. Inside :func:`scratch` it is
+    removed at the end of the scope.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/corpus/{name}-{uuid.uuid4().hex}"
+    return _stored(df, name, _scopes[-1] if _scopes else f"{shared_folder(df.sparkSession)}/corpus")
+
+
+def _stored(df: DataFrame, name: str, folder: str) -> DataFrame:
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables written inside the scope go when it ends; the function given stores a table that stays."""
+    outer = _scopes[-1] if _scopes else f"{shared_folder(spark)}/corpus"
+    own = f"{outer}/scratch-{uuid.uuid4().hex}"
+    _scopes.append(own)
+    try:
+        yield lambda df, name: _stored(df, name, outer)
+    finally:
+        _scopes.remove(own)
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` with as many marks added as make it differ, in any case of letters, from all columns of ``frames``."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def texts_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
