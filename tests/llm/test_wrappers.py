@@ -54,7 +54,7 @@ def test_alignment_finds_slots_options_and_repeats():
     assert merged[4] and merged[4][0][0] == "body"
     div, footer = merged[4][0][4]
     assert [(n[0], n[1], n[2]) for n in div[4]] == [("h2", False, False), ("blockquote", True, False), ("p", False, True)]
-    assert div[4][0][4][0][3] is None and footer[4][0][3] == "same"
+    assert div[4][0][4][0][3] is None and footer[4][0][3] == wrappers._digest("same")
 
 
 def test_repeated_groups_fold():
@@ -101,3 +101,51 @@ def test_odd_rows(spark):
     assert {r["text"] for r in found if r["page_id"] in (2, 3)} == {""}
     assert len({r["text"] for r in found if r["page_id"] in (1, None)}) == 1
     assert wrappers.main_text(pages.limit(0)).count() == 0
+
+
+def hosted(spark, pages):
+    rows = [(i, f"http://h.example/{i}", page) for i, page in enumerate(pages)]
+    out = wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(out, key=lambda r: r["page_id"])]
+
+
+def test_a_hidden_sibling_takes_nothing_else_along(spark):
+    pages = [f"<article><h1>t{i}</h1><p>first {i}</p><p>second {i}</p></article>" for i in range(6)]
+    pages[3] = "<article><h1>t3</h1><p hidden>secret</p><p>first 3</p><p style='display: none'>x</p><p>second 3</p></article>"
+    assert hosted(spark, pages) == [f"t{i}\nfirst {i}\nsecond {i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("depth", [100, 200, 5000])
+def test_deep_pages(depth):
+    inner = "<div>" * depth + "<p>inner</p><nav>MENU</nav><p>more</p>" + "</div>" * depth
+    assert text_of(f"<body><article><p>before</p>{inner}<p>after</p></article><footer>z</footer>") == "before\ninner\nmore\nafter"
+
+
+def test_subjects_are_not_noise():
+    names = ["related-work", "share-price", "article-header", "skip-list", "sidebar-theory"]
+    sections = "".join(f'<section class="{n}"><p>{n} text</p></section>' for n in names)
+    noise = "".join(f'<div class="{n}">GONE</div>' for n in ["related-posts", "share-buttons", "comments", "ad-slot", "newsletterSignup"])
+    kept = "<math>x+1</math><svg><text>drawn</text></svg><object>fallback</object>"
+    got = text_of(f"<body><article>{sections}{noise}<div>{kept}</div></article>")
+    assert got == "\n".join([*(f"{n} text" for n in names), "x+1", "drawn", "fallback"])
+
+
+def test_the_host_decides_what_is_constant(spark):
+    """A notice without a telling name is seen by its repetition only: the page alone keeps it, its host's wrapper drops it."""
+    notice = "<p>All rights belong to the editors of this page.</p>"
+    pages = [f"<article><h1>t{i}</h1><p>body {i}</p>{notice}<p>end {i % 3}</p></article>" for i in range(20)]
+    assert text_of(pages[0]) == "t0\nbody 0\nAll rights belong to the editors of this page.\nend 0"
+    assert hosted(spark, pages) == [f"t{i}\nbody {i}\nend {i % 3}" for i in range(20)]
+    few = pages[: wrappers.PAGES - 1]
+    assert all("rights" in text for text in hosted(spark, few))
+    same = ["<article><h1>copy</h1><p>one text on all pages</p></article>"] * 10
+    assert hosted(spark, same) == ["copy\none text on all pages"] * 10
+
+
+def test_the_main_part_comes_from_the_host(spark):
+    """On one page the by-line has most text; the host shows where the text of its pages is."""
+    page = "<body><div class=a><p>{0}</p></div><div class=b><p>{1}</p></div></body>"
+    pages = [page.format(f"a long text of page {i} that goes on and on " * 4, f"extra {i}") for i in range(30)]
+    pages.append(page.format("short one", "a very long by-line that only this page has in its second part " * 2))
+    assert text_of(pages[30]).startswith("a very long")
+    assert hosted(spark, pages)[30] == "short one"
