@@ -72,6 +72,31 @@ def test_block_shift_and_deformation_follow_a_displacement(spark):
         rg.register_deformation(bf, bm, shape, block, use_chunk_alignment=True)
 
 
+@pytest.mark.parametrize("true", [(0, 5, 0), (0, -5, 4), (1, 3, -5), (0, 0, 0)])
+def test_pyramid_finds_a_third_of_a_block(spark, true):
+    shape, block = Shape(8, 48, 48), Shape(8, 16, 16)
+    base = texture((20, 80, 80), 21)
+    fixed = base[6:14, 16:64, 16:64]
+    moving = base[tuple(slice(o - d, o - d + n) for o, d, n in zip((6, 16, 16), true, shape))]
+    pair = [bl.to_blocks(voxels_of(spark, v), shape, block) for v in (fixed, moving)]
+    rows = {(r["by"], r["bx"]): (r["dz"], r["dy"], r["dx"]) for r in rg.block_shifts(*pair, shape, block).collect()}
+    assert rows[1, 1] == true  # the block in the middle sees all of its displaced window
+    assert set(rows.values()) == {tuple(map(float, true))}
+
+
+def test_noise_and_displacements_beyond_reach_give_no_row(spark):
+    shape, block = Shape(8, 48, 48), Shape(8, 16, 16)
+    rng = np.random.default_rng(3)
+    noise = [bl.to_blocks(voxels_of(spark, rng.integers(0, 60000, tuple(shape))), shape, block) for _ in range(2)]
+    assert rg.block_shifts(*noise, shape, block).count() == 0
+    base = texture((8, 120, 48), 22)
+    far = [bl.to_blocks(voxels_of(spark, base[:, o : o + 48]), shape, block) for o in (8, 28)]
+    rows = rg.block_shifts(*far, shape, block).collect()
+    assert all(r["ncc"] < 0.6 for r in rows) and len(rows) <= 2
+    with pytest.raises(rg.NotConverged):
+        rg.refine_affine(*(bl.to_voxels(v) for v in far), shape, (1.0, 1.0, 1.0), shrink_factors=(1,), iterations=30)
+
+
 def test_chunk_alignment_gives_physical_vectors(spark):
     shape, block = Shape(2, 24, 24), Shape(2, 12, 12)
     base = texture((2, 40, 40), 8)

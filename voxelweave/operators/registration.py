@@ -51,15 +51,21 @@ def score_candidates(fixed: DataFrame, moving: DataFrame, shape: Shape, spacing,
     return tf.mutual_information(pairs, shape.size, keys=["candidate"])
 
 
+class NotConverged(RuntimeError):
+    """An iterative estimate used up its budget before its steps became small."""
+
+
 def refine_affine(
     fixed: DataFrame, moving: DataFrame, shape: Shape, spacing, start=None, shrink_factors=(4, 2, 1),
-    iterations: int = 900, generations: int = 8, linear_step: float = 0.02,
+    iterations: int = 900, generations: int | None = None, linear_step: float = 0.02, halvings: int = 2,
 ) -> np.ndarray:
     """Coarse-to-fine search of the matrix with the highest mutual information.
 
     Each generation scores the current matrix and both directions of all twelve parameters in
-    one job, moves to the best, and halves the steps when nothing improves; ``iterations``
-    bounds the matrices scored, ``generations`` the jobs per level.
+    one job, moves to the best, and halves the steps when nothing improves. A level is done when
+    nothing improves after ``halvings`` halvings; where ``iterations`` matrices do not bring all
+    levels there, :class:`NotConverged` is raised. ``generations`` asks for that many jobs per
+    level instead, whatever they reach.
     """
     best = tf.full_matrix(np.eye(4) if start is None else start)
     scored = 0
@@ -69,7 +75,8 @@ def refine_affine(
         f, m = (written(rs.downsample(v, shape, factors) if shrink > 1 else v, "pyramid") for v in (fixed, moving))
         level = [s * (n - 1) / (k - 1) if k > 1 else s for s, n, k in zip(spacing, shape, small)]
         shift, linear = np.array(level, dtype=float), linear_step * shrink
-        for _ in range(generations):
+        done = halved = 0
+        while (halved <= halvings) if generations is None else (done < generations):
             trials = [best]
             for r in range(3):
                 for c in range(4):
@@ -78,13 +85,13 @@ def refine_affine(
                         trial[r, c] += sign * (shift[r] if c == 3 else linear)
                         trials.append(trial)
             if scored + len(trials) > iterations:
-                break
+                raise NotConverged(f"{scored} matrices scored, the level of factor {shrink} still improves")
             scored += len(trials)
             scores = {r["candidate"]: round(r["mi"], 9) for r in score_candidates(f, m, small, level, trials).collect()}
             winner = max(scores, key=lambda i: (scores[i], -i))
             if winner == 0:
-                shift, linear = shift / 2, linear / 2
-            best = trials[winner]
+                shift, linear, halved = shift / 2, linear / 2, halved + 1
+            best, done = trials[winner], done + 1
     return best
 
 
@@ -135,23 +142,95 @@ def _ransac_step(fixed: DataFrame, moving: DataFrame, shape: Shape, spacing, blo
 # ---------------------------------------------------------------- piecewise deformation
 
 
+LEAST_NCC = 0.3  # correlation below which two windows do not count as the same structure
+KEPT = 8  # displacements handed down from the coarsest level; half as many from each further one, two at least
+
+
+def _ncc(f: np.ndarray, m: np.ndarray) -> float:
+    """Correlation of two windows; -2 without signal."""
+    u, v = f - f.mean(), m - m.mean()
+    scale = np.sqrt((u * u).sum() * (v * v).sum())
+    return round(float((u * v).sum() / scale), 6) if scale > 1e-9 else -2.0
+
+
+def _pooled(array: np.ndarray, factors: tuple[int, ...]) -> np.ndarray:
+    """Means of whole cells; what does not fill one is left out."""
+    n = [s // f for s, f in zip(array.shape, factors)]
+    cells = array[tuple(slice(0, k * f) for k, f in zip(n, factors))]
+    return cells.reshape(n[0], factors[0], n[1], factors[1], n[2], factors[2]).mean(axis=(1, 3, 5))
+
+
+def _ranked(f: np.ndarray, m: np.ndarray, zero, offsets, inside) -> list[tuple[float, tuple[int, ...]]]:
+    """Displacements by correlation, shorter ones first on ties; those without signal are left out.
+
+    Only the part of the displaced window in ``inside``, ranges of ``m``, is compared; it has to be half of the window.
+    """
+    found = []
+    for d in offsets:
+        at = [z + i for z, i in zip(zero, d)]
+        lo = [max(a, i) for a, (i, _) in zip(at, inside)]
+        hi = [min(a + n, i) for a, n, (_, i) in zip(at, f.shape, inside)]
+        size = np.prod([max(0, h - l) for l, h in zip(lo, hi)])
+        if 2 * size >= f.size:
+            own = f[tuple(slice(l - a, h - a) for l, h, a in zip(lo, hi, at))]
+            found.append((_ncc(own, m[tuple(map(slice, lo, hi))]), tuple(d)))
+    return sorted((x for x in found if x[0] > -2.0), key=lambda x: (-x[0], sum(i * i for i in x[1]), x[1]))
+
+
+def _reach(shape: Shape, block: Shape) -> tuple[list[int], list[int]]:
+    """Largest displacement looked at per axis, a voxel more than a third of the block, and the halvings of the axis."""
+    reach = [min(-(-b // 3) + 1, n - 1) for b, n in zip(block, shape)]
+    halvings = [max(k for k in range(8) if k == 0 or (b >> k >= 6 and r >> k >= 1)) for b, r in zip(block, reach)]
+    return reach, halvings
+
+
+def _descend(f: np.ndarray, m: np.ndarray, zero, reach, halvings, inside) -> tuple[float, tuple[int, ...]] | None:
+    """Best displacement from the coarsest level down; ``m`` holds ``f`` displaced by nothing at ``zero``.
+
+    ``inside`` are the ranges of ``m`` that the volume fills.
+    """
+    kept: list[tuple[int, ...]] = []
+    for level in range(max(halvings), -1, -1):
+        factors = tuple(1 << min(level, h) for h in halvings)
+        small_f, small_m = _pooled(f, factors), _pooled(m, factors)
+        start = [z // q for z, q in zip(zero, factors)]
+        if not kept:
+            spans = [range(-n, n + 1) for n in (-(-r // q) for r, q in zip(reach, factors))]
+            offsets = [(i, j, k) for i in spans[0] for j in spans[1] for k in spans[2]]
+        else:
+            grown = [2 if level < h else 1 for h in halvings]
+            offsets = sorted({tuple(c * g + i - 1 for c, g, i in zip(d, grown, step)) for d in kept for step in np.ndindex(3, 3, 3)})
+        filled = [(-(-lo // q), hi // q) for (lo, hi), q in zip(inside, factors)]
+        ranked = _ranked(small_f, small_m, start, offsets, filled)
+        if not ranked:
+            return None
+        kept = [d for _, d in ranked[: max(2, KEPT >> (max(halvings) - level))]]
+    return ranked[0]
+
+
 def block_shifts(
     fixed: DataFrame, moving: DataFrame, shape: Shape, block: Shape, overlap: float = DEFAULT_OVERLAP,
-    search=(1, 2, 2), min_ncc: float = 0.0,
+    search=None, min_ncc: float = LEAST_NCC,
 ) -> DataFrame:
     """Displacement of every overlapping block, ``bz, by, bx, dz, dy, dx, ncc`` (voxels).
 
-    For each whole-voxel displacement within ``search`` the correlation of the fixed window with
-    the displaced moving window is taken; the highest wins (shortest displacement on ties).
-    Windows without signal or below ``min_ncc`` give no row.
+    Every block has a pyramid of its fixed window and of the moving one, which is wider by a third of the
+    block. On the coarsest level all displacements are correlated; the best are handed down, doubled, and
+    corrected by a voxel on each level. A winner on the edge of what was looked at may be the flank of a
+    better one beyond: it gives no row, nor do windows without signal or below ``min_ncc``. What lies outside
+    the moving volume is not compared.
+
+    ``search`` asks for all whole-voxel displacements within a given window instead, background beyond the
+    volume; the highest correlation wins, edge or not (shortest displacement on ties).
     """
     halo = Shape(*(int(overlap * b) for b in block))
-    wide = Shape(*(h + s for h, s in zip(halo, search)))
+    reach, halvings = (list(search), [0, 0, 0]) if search else _reach(shape, block)
+    # The moving window begins whole cells before the fixed one on every level.
+    before = [-(-r // (1 << h)) * (1 << h) for r, h in zip(reach, halvings)]
+    wide = Shape(*(h + b for h, b in zip(halo, before)))
     tagged = fixed.withColumn("channel", F.lit("fixed")).unionByName(moving.withColumn("channel", F.lit("moving")))
-    shifts = sorted(
-        np.ndindex(*(2 * s + 1 for s in search)),
-        key=lambda d: (sum((i - s) ** 2 for i, s in zip(d, search)), d),
-    )
+    window = [d for d in np.ndindex(*(2 * r + 1 for r in reach))] if search else []
+    window = [tuple(i - r for i, r in zip(d, reach)) for d in window]
 
     def best(key: tuple, rows: list) -> list[tuple]:
         parts = {c: [r for r in rows if r.channel == c] for c in ("fixed", "moving")}
@@ -160,21 +239,21 @@ def block_shifts(
         at, f = _assemble(key, parts["fixed"], shape, block, halo)
         origin, m = _assemble(key, parts["moving"], shape, block, wide)
         f = f.astype(np.float64)
-        pad = [(max(0, o - (a - s)), s + s + n) for o, a, s, n in zip(origin, at, search, f.shape)]
+        pad = [
+            (max(0, o - (a - b)), max(0, (a + n + b) - (o + k)))
+            for o, a, b, n, k in zip(origin, at, before, f.shape, m.shape)
+        ]
+        inside = [(p, p + n) for (p, _), n in zip(pad, m.shape)]
         m = np.pad(m.astype(np.float64), pad)
-        u = f - f.mean()
-        power = (u * u).sum()
-        found = None
-        for d in shifts:
-            v = m[tuple(slice(i, i + n) for i, n in zip(d, f.shape))]
-            v = v - v.mean()
-            scale = np.sqrt(power * (v * v).sum())
-            r = round(float((u * v).sum() / scale), 6) if scale > 1e-9 else -2.0
-            if r > -2.0 and (found is None or r > found[1]):
-                found = (d, r)
-        if found is None or found[1] < min_ncc:
+        if search:
+            found = next(iter(_ranked(f, m, before, window, [(0, n) for n in m.shape])), None)
+        else:
+            found = _descend(f, m, before, reach, halvings, inside)
+            if found and any(abs(d) >= r for d, r in zip(found[1], reach) if r):
+                return []
+        if found is None or found[0] < min_ncc:
             return []
-        return [(*key, *[float(i - s) for i, s in zip(found[0], search)], found[1])]
+        return [(*key, *map(float, found[1]), found[0])]
 
     schema = "bz int, by int, bx int, dz double, dy double, dx double, ncc double"
     return by_group(_pieces(tagged, shape, block, wide), list(BLOCK_KEY), best, schema)
@@ -225,7 +304,7 @@ def field_rows(blocks: DataFrame) -> DataFrame:
 
 def piecewise_field(
     fixed: DataFrame, moving: DataFrame, shape: Shape, block: Shape, spacing=(1.0, 1.0, 1.0),
-    overlap: float = DEFAULT_OVERLAP, search=(1, 2, 2), min_ncc: float = 0.0,
+    overlap: float = DEFAULT_OVERLAP, search=None, min_ncc: float = LEAST_NCC,
 ) -> DataFrame:
     """Displacement field (blocks) aligning ``moving`` to ``fixed``: block shifts, then the blend."""
     shifts = settled(block_shifts(fixed, moving, shape, block, overlap, search, min_ncc))

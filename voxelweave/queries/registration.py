@@ -180,6 +180,37 @@ def reg_block_shifts(spark, sf):
     return out.select(*[F.col(k).cast("bigint").alias(k) for k in ("bz", "by", "bx")], "dz", "dy", "dx", F.round("ncc", 6).alias("ncc"))
 
 
+PYRAMID, PLANTED_SHIFT = Shape(7, 8, 8), (0, 3, -3)  # more than a third of a block
+
+
+def _planted_sql() -> str:
+    """Blocks whose displaced window lies inside the volume, each with the displacement planted."""
+    h = [int(0.3 * b) for b in PYRAMID]
+    side = "(SELECT side FROM fx_dim)"
+    return with_views(
+        "fx_dim",
+        f'SELECT 0::BIGINT AS bz, "by", bx, 0.0::DOUBLE AS dz, {PLANTED_SHIFT[1]}.0::DOUBLE AS dy, {PLANTED_SHIFT[2]}.0::DOUBLE AS dx FROM '
+        f'range(({side}-1)//{PYRAMID.ny}+1) b("by"), range(({side}-1)//{PYRAMID.nx}+1) c(bx) WHERE least(("by"+1)*{PYRAMID.ny}+{h[1]}, {side})+{PLANTED_SHIFT[1]} <= {side} '
+        f"AND greatest(bx*{PYRAMID.nx}-{h[2]}, 0)+({PLANTED_SHIFT[2]}) >= 0",
+    )
+
+
+@query("reg_pyramid_shifts", _planted_sql())
+def reg_pyramid_shifts(spark, sf):
+    """A displaced copy by pyramid matching; every block that sees all of its displaced window finds the displacement."""
+    ext = shape(spark, sf)
+    fixed = bl.block_values(bl.gaussian_smooth(bl.to_blocks(one_volume(spark, sf), ext, BLOCK), ext, BLOCK, 1.0))
+    fixed = fixed.withColumn("value", F.round("value").cast("bigint"))
+    moved = fixed.withColumns({"y": F.col("y") + PLANTED_SHIFT[1], "x": F.col("x") + PLANTED_SHIFT[2]})
+    moved = moved.filter((F.col("y") < ext.ny) & (F.col("x") >= 0))
+    pair = [bl.to_blocks(v.filter("value > 0"), ext, PYRAMID) for v in (fixed, moved)]
+    halo = Shape(*(int(0.3 * b) for b in PYRAMID))
+    high = F.least((F.col("by") + 1) * PYRAMID.ny + halo.ny, F.lit(ext.ny)) + PLANTED_SHIFT[1]
+    low = F.greatest(F.col("bx") * PYRAMID.nx - halo.nx, F.lit(0)) + PLANTED_SHIFT[2]
+    found = rg.block_shifts(*pair, ext, PYRAMID).filter((high <= ext.ny) & (low >= 0))
+    return found.select(*[F.col(k).cast("bigint").alias(k) for k in ("bz", "by", "bx")], "dz", "dy", "dx")
+
+
 _CONTROL_KEEP = "(bz+by+bx) % 3 <> 1"
 
 
@@ -216,7 +247,7 @@ def reg_deformation(spark, sf):
     """Deformable registration of a displaced copy; correlation before and after."""
     fixed, moved, ext = _fixed_moving(spark, sf)
     blocks = [bl.to_blocks(v, ext, BLOCK) for v in (fixed, moved)]
-    _, aligned = rg.register_deformation(*blocks, ext, BLOCK, matrix=None, search=SEARCH)
+    _, aligned = rg.register_deformation(*blocks, ext, BLOCK, matrix=None)
     quality = tf.registration_quality(fixed, moved, bl.to_voxels(aligned), ext)
     return quality.select("stage", F.round("ncc", 6).alias("ncc"), F.round("mi", 6).alias("mi"))
 
@@ -224,7 +255,7 @@ def reg_deformation(spark, sf):
 @query("reg_chunk_alignment")
 def reg_chunk_alignment(spark, sf):
     fixed, moved, ext = _fixed_moving(spark, sf)
-    return rg.chunk_alignment(fixed, moved, ext, BLOCK, factors=(1, 2, 2), search=SEARCH)
+    return rg.chunk_alignment(fixed, moved, ext, BLOCK, factors=(1, 2, 2))
 
 
 @query("reg_affine")
