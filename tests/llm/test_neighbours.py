@@ -74,3 +74,14 @@ def test_odd_rows(spark):
     found = neighbours.search(df, F.col("vec_id") % 100 == 0, 10).orderBy("rank").collect()
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in found] == [(0, 7, 0.0), (0, 8, 0.0), (0, 9, 1.0), (0, 9, 1.0)]
     assert neighbours.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_huge_finite_vectors_lose_no_candidate():
+    """Squares of such components overflow; every candidate is still ranked by its distance."""
+    import pyarrow as pa
+
+    vectors = {1: [1e200, 0.0], 2: [3e200, 0.0], 3: [1e200, 1e190], 4: [0.5, 0.25], 5: [-1e308, 1e308]}
+    rows = pa.table({"vec_id": pa.array(list(vectors)), "vector": pa.array(list(vectors.values()), pa.list_(pa.float64()))})
+    out = neighbours._rank_block(10)(rows.slice(0, 1), rows).to_pylist()
+    assert [r["vec_id"] for r in sorted(out, key=lambda r: r["score"])] == [3, 4, 2, 5]
+    assert {r["vec_id"]: r["score"] for r in out}[2] == 2e200

@@ -25,6 +25,7 @@ from voxelweave.llm.common import written
 SAMPLE = 8_192
 PART_ROWS = 2_000
 MAX_PARTS = 128
+HUGE = 1e150
 GRAPH_DEGREE = 10
 TARGET = 0.95
 QUERY_BLOCK = 4_096
@@ -198,6 +199,20 @@ def _route(router: Router, sizes: list[int] | None, k: int):
     return task
 
 
+def _distances(c: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances; rows whose squares overflow are scaled first."""
+    with np.errstate(over="ignore"):
+        gap = c - q
+        out = np.sqrt((gap**2).sum(1))
+    at = np.flatnonzero(np.isinf(out))
+    if len(at):
+        most = np.abs(gap[at]).max(1)
+        with np.errstate(invalid="ignore"):
+            out[at] = most * np.sqrt(((gap[at] / most[:, None]) ** 2).sum(1))
+        out[np.isnan(out)] = np.inf  # a difference beyond the largest double
+    return out
+
+
 def _rank_block(k: int):
     """Best ``k`` candidates of one block for each query of one query block."""
 
@@ -205,15 +220,19 @@ def _rank_block(k: int):
         found: list[tuple] = []
         if len(queries) and len(candidates):
             c, ids = _matrix(candidates["vector"]), candidates["vec_id"].to_numpy()
-            norms = (c * c).sum(1)
+            with np.errstate(over="ignore"):
+                norms = (c * c).sum(1)
             q_all, q_ids = _matrix(queries["vector"]), queries["vec_id"].to_numpy()
+            safe = max(np.abs(c).max(), np.abs(q_all).max()) < HUGE  # else squares overflow: all are ranked exactly
             for q, q_id in zip(q_all, q_ids):
-                rough = norms - 2 * (c @ q)
-                rough[ids == q_id] = np.inf
-                bound = np.partition(rough, k - 1)[k - 1] if len(rough) > k else np.inf
-                # Rounding of the shortcut is far below this margin; what it leaves is ranked exactly.
-                keep = np.flatnonzero((rough <= bound + 1e-9 * (norms.max() + q @ q)) & (ids != q_id))
-                exact = np.sqrt(((c[keep] - q) ** 2).sum(1))
+                keep = np.flatnonzero(ids != q_id)
+                if safe:
+                    rough = norms - 2 * (c @ q)
+                    rough[ids == q_id] = np.inf
+                    bound = np.partition(rough, k - 1)[k - 1] if len(rough) > k else np.inf
+                    # Rounding of the shortcut is far below this margin; what it leaves is ranked exactly.
+                    keep = np.flatnonzero((rough <= bound + 1e-9 * (norms.max() + q @ q)) & (ids != q_id))
+                exact = _distances(c[keep], q)
                 best = np.lexsort((ids[keep], exact))[:k]
                 found += zip([int(q_id)] * len(best), ids[keep][best].tolist(), exact[best].tolist())
         columns = list(zip(*found)) if found else [()] * 3
