@@ -51,7 +51,7 @@ class RunConfig:
 def _require(section: dict, keys, where: str = "") -> None:
     for key in keys:
         if key not in section:
-            raise ValueError(f"Required parameter '{where}{key}' missing from configuration")
+            raise ValueError(f"configuration lacks {where}{key}")
 
 
 def validate_config(config: dict) -> RunConfig:
@@ -68,7 +68,7 @@ def validate_config(config: dict) -> RunConfig:
         registration = segmentation = tuple(factors)
     data = config["data"]
     if data["reference_round"] not in data["rounds"]:
-        raise ValueError(f"Reference round '{data['reference_round']}' not found in data.rounds")
+        raise ValueError(f"data.rounds has no {data['reference_round']!r}, the reference round")
     seg_cluster = config.get("segmentation_cluster_config")
     if seg_cluster is None:
         seg_cluster = dict(config["cluster_config"])

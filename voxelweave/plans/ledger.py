@@ -244,7 +244,7 @@ def reset_phase(plan: DataFrame, phase: str, ts: Column, first_event_id: int) ->
     if phase not in PHASES:
         raise ValueError(f"unknown phase {phase!r}")
     steps = plan.filter(F.col("phase") == phase).select("step_id", F.lit(None).cast("string").alias("note"), F.col("ord") + 1)
-    head = plan.sparkSession.createDataFrame([(phase, "Main step reset to pending", 0)], "step_id string, note string, ord bigint")
+    head = plan.sparkSession.createDataFrame([(phase, "phase set back: its steps run again", 0)], "step_id string, note string, ord bigint")
     rows = head.union(steps)
     return rows.select(
         "step_id", F.lit(PENDING).alias("status"), ts.alias("ts"), (F.lit(first_event_id) + F.col("ord")).alias("event_id"), "note"
@@ -266,20 +266,27 @@ def has_previous_progress(status: DataFrame) -> bool:
     return bool(_done(status).take(1))
 
 
+#: What the outputs of a step are, by phase and by their place in the plan; further places are as the last one named.
+OUTPUT_KINDS = {
+    PHASES[0]: ("channel",),
+    PHASES[1]: ("affine_transforms", "deformation_field", "other"),
+    PHASES[2]: ("segmentation",),
+}
+
+
 def completed_outputs(status: DataFrame) -> DataFrame:
-    """Outputs of completed steps mapped back to a channel (ingest steps) or a kind by name."""
-    out = _done(status).select("step_id", F.explode("expected_outputs").alias("path"))
-    name = F.lower("path")
-    is_ingest = F.col("step_id").contains("tiff_to_zarr")
-    kind = (
-        F.when(is_ingest, "channel")
-        .when(name.contains("deformation_field"), "deformation_field")
-        .when(name.contains("affine") & name.rlike(r"\.(npy|json|txt|yaml|yml)$"), "affine_transforms")
-        .when(name.contains("mask") | name.contains("labels"), "masks")
-        .when(name.contains("segmentation"), "segmentation")
-        .otherwise("other")
-    )
-    channel = F.when(is_ingest, F.regexp_extract("path", r"_([^_/]+)\.zarr$", 1))
+    """Outputs of completed steps, ``step_id, path, kind, channel``, as the plan placed them.
+
+    The channel of an ingested volume is the last part of its file name.
+    """
+    out = _done(status).select("step_id", "phase", F.posexplode("expected_outputs").alias("place", "path"))
+    places = {phase: F.array(*map(F.lit, kinds)) for phase, kinds in OUTPUT_KINDS.items()}
+    kind = F.lit("other")
+    for phase, kinds in places.items():
+        named = F.element_at(kinds, F.least(F.col("place") + 1, F.size(kinds)))
+        kind = F.when(F.col("phase") == phase, named).otherwise(kind)
+    own = F.regexp_replace(F.substring_index("path", "_", -1), r"\.zarr$", "")
+    channel = F.when(F.col("phase") == PHASES[0], own)
     return out.select("step_id", "path", kind.alias("kind"), channel.alias("channel"))
 
 

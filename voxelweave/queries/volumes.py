@@ -181,7 +181,7 @@ def vol_tile_views(spark, sf):
     with_views("fx_voxels", "SELECT DISTINCT round, channel, 7::BIGINT AS size_z, side AS size_y, side AS size_x, 'uint16' AS dtype FROM fx_voxels CROSS JOIN fx_dim"),
 )
 def vol_catalog(spark, sf):
-    return volumes.catalog(as_blocks(spark, sf, Shape(7, 100000, 100000))).drop("blocks")
+    return volumes.catalog(as_blocks(spark, sf, BLOCK)).drop("blocks")
 
 
 @query(
