@@ -100,13 +100,33 @@ def with_using_key(views: str, body: str, extra) -> str:
     with_views("fx_voxels", "SELECT round, channel, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM fx_voxels WHERE value>0 GROUP BY 1, 2"),
 )
 def vol_ingest_all_rounds(spark, sf):
-    """Voxels of both rounds are cut to blocks, stored partitioned and read back."""
+    """Raw slabs of all rounds are written, ingested by byte ranges, stored partitioned and read back."""
     path = new_path(spark, "rounds")
-    volumes.write_volume(as_blocks(spark, sf), path)
+    volumes.write_volume(ingested(spark, sf), path)
     vox = bl.to_voxels(volumes.read_volume(spark, path))
     return vox.groupBy("round", "channel").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
+def ingested(spark, sf):
+    """Blocks ingested from raw slabs of three slices, which do not line up with the blocks."""
+    ext, folder = shape(spark, sf), new_path(spark, "slabs")
+    listed = volumes.write_raw_slabs(as_blocks(spark, sf, OTHER), ext, folder, 3, strip_rows=10)
+    rounds: dict[str, dict[str, str]] = {}
+    for r, c in listed.select("round", "channel").distinct().collect():
+        rounds.setdefault(r, {})[c] = f"{folder}/{r}/{c}"
+    return volumes.ingest_all_rounds(spark, rounds, ext, BLOCK)
+
+
+@query(
+    "vol_ingest_range",
+    with_views("fx_voxels", "SELECT round, channel, z, y, x, value FROM fx_voxels WHERE value>0 AND round='F' AND channel IN ('A','R') AND z>=4"),
+)
+def vol_ingest_range(spark, sf):
+    """Filters on volume and place choose the byte ranges that are read."""
+    chosen = ingested(spark, sf).filter("round = 'F' AND channel IN ('A', 'R') AND z0 >= 4")
+    return bl.to_voxels(chosen)
+
+
 @query(
     "vol_read_pruned",
     with_views("fx_voxels", "SELECT z, y, x, value FROM fx_voxels WHERE round='F' AND channel='R'"),

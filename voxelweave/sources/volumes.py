@@ -1,63 +1,24 @@
-"""Volume tables: ingestion of raw slices, partitioned storage, catalog, cropping, slice export."""
+"""Volume tables: ingestion of raw slabs, partitioned storage, catalog, cropping, slice export."""
 
 from __future__ import annotations
 
 import warnings
-from functools import reduce
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxelweave.functions.columns import within
+from voxelweave.functions.sizing import written
 from voxelweave.model import BLOCK_KEY, DEFAULT_COLOR, NUCLEAR_STAIN_COLOR, Shape
 from voxelweave.operators.blocks import DEFAULT_BLOCK, reblock
+from voxelweave.sources import slabs
 
 VOLUME = ["round", "channel"]
 
 
-def raw_slices(
-    spark: SparkSession, path: str, round_name: str, channel: str, ny: int, nx: int, dtype: str = "uint16"
-) -> DataFrame:
-    """Uncompressed little-endian slice (or slab) files as block rows; no Python involved.
-
-    The number before the file extension orders the files; a file holds one or more slices, and
-    each starts where the one before it ends. Two files of one number, a file without a number and
-    a file that is not made of whole slices are errors, raised when the rows are read.
-    """
-    plane = ny * nx * np.dtype(dtype).itemsize
-    number = F.regexp_extract("path", r"(\d+)\.[^./]*$", 1)
-    files = spark.read.format("binaryFile").load(path).select(
-        "path",
-        number.try_cast("bigint").alias("i"),
-        "length",
-        F.floor(F.col("length") / plane).cast("int").alias("nz"),
-        F.col("content").alias("data"),
-    )
-    # Places come from the file listing alone (the window never sees the contents).
-    order = Window.orderBy("i")
-    listed = files.select("path", "i", "length", "nz").select(
-        "path",
-        (F.row_number().over(order) - 1).cast("int").alias("bz"),
-        F.coalesce(F.sum("nz").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint").alias("z0"),
-        F.when(F.col("i").isNull(), F.concat(F.lit("no slice number in "), "path"))
-        .when(F.col("length") % plane != 0, F.concat(F.lit("not whole slices: "), "path"))
-        .when(F.lag("i").over(order) == F.col("i"), F.concat(F.lit("slice number used twice: "), "path"))
-        .alias("problem"),
-    )
-    placed = files.drop("i").join(listed, "path")
-    z0 = F.when(F.col("problem").isNull(), F.col("z0")).otherwise(F.raise_error(F.col("problem")).cast("bigint")).alias("z0")
-    zero = F.lit(0)
-    return placed.select(
-        F.lit(round_name).alias("round"), F.lit(channel).alias("channel"), "bz",
-        zero.alias("by"), zero.alias("bx"), z0,
-        zero.cast("bigint").alias("y0"), zero.cast("bigint").alias("x0"), "nz", F.lit(ny).alias("ny"),
-        F.lit(nx).alias("nx"), F.lit(dtype).alias("dtype"), "data",
-    )
-
-
 def ingest_round(
     spark: SparkSession, files: dict[str, str], round_name: str, shape: Shape, block: Shape = DEFAULT_BLOCK,
     dtype: str = "uint16",
@@ -70,13 +31,27 @@ def ingest_all_rounds(
     spark: SparkSession, rounds: dict[str, dict[str, str]], shape: Shape, block: Shape = DEFAULT_BLOCK,
     dtype: str = "uint16",
 ) -> DataFrame:
-    """Blocks of all rounds and channels in one job (round and channel are columns)."""
-    slices = [
-        raw_slices(spark, path, r, c, shape.ny, shape.nx, dtype) for r, files in rounds.items() for c, path in files.items()
-    ]
-    if not slices:
+    """Blocks of all rounds and channels in one scan (round and channel are columns).
+
+    Files are listed here (see :func:`slabs.list_slabs` for their order and for what is an error); their bytes are read by ranges, block
+    layer by block layer, and filters on round, channel and ``z0`` decide which.
+    """
+    plane = shape.ny * shape.nx * np.dtype(dtype).itemsize
+    found = [(r, c, slabs.list_slabs(spark, path, plane)) for r, files in rounds.items() for c, path in files.items()]
+    if not found:
         raise ValueError("no rounds to ingest")
-    return reblock(reduce(DataFrame.unionByName, slices), shape, block)
+    return slabs.read_slabs(spark, found, shape, block, dtype)
+
+
+def write_raw_slabs(blocks: DataFrame, shape: Shape, folder: str, slab_nz: int, strip_rows: int = 64, dtype: str = "uint16") -> DataFrame:
+    """Files ``folder/round/channel/slab_N.raw`` of ``slab_nz`` slices each (the last may be lower); returns their list.
+
+    A slab is streamed strip by strip, so a task holds one strip whatever the size of the file.
+    """
+    strips = _strips(blocks, shape, strip_rows, dtype).withColumn("slab", F.floor(F.col("z") / slab_nz).cast("bigint"))
+    placed = strips.repartition(*VOLUME, "slab").sortWithinPartitions(*VOLUME, "slab", "z", "y0").select(*VOLUME, "slab", "data")
+    listed = "round string, channel string, slab bigint, path string, length bigint, dtype string"
+    return written(placed.mapInArrow(slabs.slab_writer(folder, dtype), listed), "raw-slabs")
 
 
 def write_volume(volume: DataFrame, path: str, mode: str = "overwrite", key: str | None = None) -> None:
@@ -171,6 +146,11 @@ def export_slices(blocks: DataFrame, shape: Shape, strip_rows: int, dtype: str =
     ``strip_rows = shape.ny`` gives whole slices. A task holds one strip at a time; strips without
     any stored block are filled with zeros.
     """
+    full = _strips(blocks, shape, strip_rows, dtype)
+    return full.repartitionByRange(*VOLUME, "z", "y0").sortWithinPartitions(*VOLUME, "z", "y0")
+
+
+def _strips(blocks: DataFrame, shape: Shape, strip_rows: int, dtype: str) -> DataFrame:
     itemsize = np.dtype(dtype).itemsize
     strips = reblock(blocks, shape, Shape(1, strip_rows, shape.nx)).select(
         *VOLUME, F.col("z0").alias("z"), "y0", "data"
@@ -185,8 +165,4 @@ def export_slices(blocks: DataFrame, shape: Shape, strip_rows: int, dtype: str =
     )
     empty = F.expr(f"unhex(repeat('00', CAST(h AS INT) * {shape.nx * itemsize}))")
     full = index.join(strips, [*VOLUME, "z", "y0"], "left")
-    return (
-        full.select(*VOLUME, "z", "y0", "h", F.lit(shape.nx).alias("w"), F.coalesce("data", empty).alias("data"))
-        .repartitionByRange(*VOLUME, "z", "y0")
-        .sortWithinPartitions(*VOLUME, "z", "y0")
-    )
+    return full.select(*VOLUME, "z", "y0", "h", F.lit(shape.nx).alias("w"), F.coalesce("data", empty).alias("data"))
