@@ -238,14 +238,7 @@ def run_step_list(spark, sf):
 def _stream(spark, sf):
     path = f"{sf}/events*.parquet"
     schema = spark.read.parquet(path).schema
-    events = st.read_log_stream(spark, path, schema)
-    state = (
-        F.when(F.col("event_type") == "view", "pending").when(F.col("event_type") == "click", "in_progress")
-        .when(F.col("event_type") == "purchase", "completed").when(F.col("event_type") == "error", "failed")
-    )
-    return events.filter("event_type <> 'signup'").select(
-        "event_id", "ts", F.concat(F.lit("step_"), F.col("user_id")).alias("step_id"), state.alias("status")
-    )
+    return fx.log_rows(st.read_log_stream(spark, path, schema))
 
 
 @query(

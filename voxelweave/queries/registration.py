@@ -279,13 +279,13 @@ _TRUE = {"oz": 0, "oy": 1, "ox": -2}
 @query(
     "tile_optimize_positions",
     with_views(
-        "fx_tiles",
-        "SELECT tile, oz::DOUBLE AS pz, round(oy+0.5e0*(tile%3),4) AS py, round(ox-0.25e0*floor(tile/3),4) AS px FROM fx_tiles",
+        "fx_nation_tiles",
+        "SELECT tile, oz::DOUBLE AS pz, round(oy+0.5e0*(tile%3),4) AS py, round(ox-0.25e0*floor(tile/3),4) AS px FROM fx_nation_tiles",
     ),
 )
 def tile_optimize_positions(spark, sf):
     """Links measured from displaced tiles, one of them wrong: the wrong one is dropped."""
-    tiles = fx.tiles(spark, sf)
+    tiles = fx.nation_tiles(spark, sf)
     true = tiles.select(
         "tile", (F.col("oy") + 0.5 * (F.col("tile") % 3)).alias("ty"), (F.col("ox") - 0.25 * F.floor(F.col("tile") / 3)).alias("tx")
     )

@@ -120,14 +120,14 @@ def tile_filter_links(spark, sf):
     "tile_link_residuals",
     with_views(
         "fx_tiles",
-        "SELECT a.tile AS tile_a, b.tile AS tile_b, round(sqrt(power(b.oy-a.oy-11,2)+power(b.ox-a.ox-2,2)),6) AS residual FROM fx_tiles a JOIN fx_tiles b ON b.tile=a.tile+3",
+        "SELECT a.tile AS tile_a, b.tile AS tile_b, round(sqrt(power(b.oy-a.oy-11,2)+power(b.ox-a.ox-2,2)),6) AS residual FROM fx_tiles a JOIN fx_tiles b ON b.tile=a.tile+5",
     ),
 )
 def tile_link_residuals(spark, sf):
     t = tiles(spark, sf)
     positions = t.select("tile", *[F.col(f"o{a}").cast("double").alias(f"p{a}") for a in "zyx"])
-    links = t.filter("tile < 6").select(
-        F.col("tile").alias("tile_a"), (F.col("tile") + 3).alias("tile_b"),
+    links = t.select(
+        F.col("tile").alias("tile_a"), (F.col("tile") + 5).alias("tile_b"),
         F.lit(0.0).alias("mz"), F.lit(11.0).alias("my"), F.lit(2.0).alias("mx"),
     )
     out = tl.link_residuals(positions, links)
@@ -222,7 +222,7 @@ def tile_blend_weighted(spark, sf):
     "tile_blend_channels",
     with_views(
         "fx_tiles",
-        "SELECT channel, z, y+oy AS y, x+ox AS x, max(value) AS value FROM (SELECT l_returnflag AS channel, l_suppkey % 9 AS tile, CAST(l_linenumber-1 AS BIGINT) AS z, "
+        "SELECT channel, z, y+oy AS y, x+ox AS x, max(value) AS value FROM (SELECT l_returnflag AS channel, l_suppkey AS tile, CAST(l_linenumber-1 AS BIGINT) AS z, "
         "l_orderkey % 16 AS y, l_partkey % 16 AS x, CAST(floor(l_extendedprice) AS BIGINT) % 65536 AS value FROM lineitem) JOIN fx_tiles USING (tile) GROUP BY ALL",
     ),
 )

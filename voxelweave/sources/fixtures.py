@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelweave.model import Shape
@@ -60,14 +60,19 @@ VIEWS = {
     ),
     "fx_tiles": (
         (),
-        "SELECT CAST(n_nationkey AS BIGINT) AS tile, CAST(n_nationkey % 3 AS BIGINT)*12 AS ox, "
-        "CAST(floor(n_nationkey / 3) AS BIGINT)*12 AS oy, CAST(0 AS BIGINT) AS oz FROM nation WHERE n_nationkey < 9",
+        "SELECT CAST(s_suppkey AS BIGINT) AS tile, CAST(s_suppkey % 5 AS BIGINT)*12 AS ox, "
+        "CAST(floor(s_suppkey / 5) AS BIGINT)*12 AS oy, CAST(0 AS BIGINT) AS oz FROM supplier",
+    ),
+    "fx_nation_tiles": (
+        (),
+        "SELECT CAST(n_nationkey AS BIGINT) AS tile, CAST(n_nationkey % 5 AS BIGINT)*12 AS ox, "
+        "CAST(floor(n_nationkey / 5) AS BIGINT)*12 AS oy, CAST(0 AS BIGINT) AS oz FROM nation",
     ),
     "fx_tile_voxels": (
         (),
-        "SELECT l_suppkey % 9 AS tile, CAST(l_linenumber-1 AS BIGINT) AS z, l_orderkey % 16 AS y, "
+        "SELECT CAST(l_suppkey AS BIGINT) AS tile, CAST(l_linenumber-1 AS BIGINT) AS z, l_orderkey % 16 AS y, "
         "l_partkey % 16 AS x, CAST(max(CAST(floor(l_extendedprice) AS BIGINT) % 65536) AS BIGINT) AS value "
-        "FROM lineitem GROUP BY l_suppkey % 9, l_linenumber, l_orderkey % 16, l_partkey % 16",
+        "FROM lineitem GROUP BY l_suppkey, l_linenumber, l_orderkey % 16, l_partkey % 16",
     ),
     "fx_tile_dense": (
         ("fx_tiles", "fx_tile_voxels"),
@@ -77,8 +82,8 @@ VIEWS = {
     "fx_ledger": (
         (),
         "SELECT event_id, ts, concat('step_', CAST(user_id AS VARCHAR(20))) AS step_id, CASE event_type "
-        "WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'completed' "
-        "WHEN 'error' THEN 'failed' END AS status FROM events WHERE event_type <> 'signup'",
+        "WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'completed' "
+        "WHEN 'error' THEN 'failed' END AS status FROM events",
     ),
     "fx_points": (
         (),
@@ -160,24 +165,31 @@ def labels(spark: SparkSession, sf_dir: str, shape: Shape | None = None) -> Data
     return out.select("label", "z", "y", "x")
 
 
-def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "nation")
-        .filter("n_nationkey < 9")
-        .select(
-            F.col("n_nationkey").cast("bigint").alias("tile"),
-            ((F.col("n_nationkey") % 3) * 12).cast("bigint").alias("ox"),
-            (F.floor(F.col("n_nationkey") / 3) * 12).cast("bigint").alias("oy"),
-            F.lit(0).cast("bigint").alias("oz"),
-            *[F.lit(n).cast("bigint").alias(f"d{a}") for a, n in zip("zyx", TILE_SHAPE)],
-        )
+def _grid(rows: DataFrame, key: str) -> DataFrame:
+    """Overlapping tiles in rows of five."""
+    return rows.select(
+        F.col(key).cast("bigint").alias("tile"),
+        ((F.col(key) % 5) * 12).cast("bigint").alias("ox"),
+        (F.floor(F.col(key) / 5) * 12).cast("bigint").alias("oy"),
+        F.lit(0).cast("bigint").alias("oz"),
+        *[F.lit(n).cast("bigint").alias(f"d{a}") for a, n in zip("zyx", TILE_SHAPE)],
     )
 
 
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tile per supplier; its voxels are the line items of that supplier."""
+    return _grid(table(spark, sf_dir, "supplier"), "s_suppkey")
+
+
+def nation_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tile per nation, for placement."""
+    return _grid(table(spark, sf_dir, "nation"), "n_nationkey")
+
+
 def tile_voxels(spark: SparkSession, sf_dir: str, channel: bool = False) -> DataFrame:
     keys = ["tile", "z", "y", "x"]
     li = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_suppkey") % 9).alias("tile"),
+        F.col("l_suppkey").cast("bigint").alias("tile"),
         (F.col("l_linenumber") - 1).cast("bigint").alias("z"),
         (F.col("l_orderkey") % 16).alias("y"),
         (F.col("l_partkey") % 16).alias("x"),
@@ -187,20 +199,26 @@ def tile_voxels(spark: SparkSession, sf_dir: str, channel: bool = False) -> Data
     return li.groupBy(*(["channel"] if channel else []), *keys).agg(F.max("value").alias("value"))
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = (
-        F.when(F.col("event_type") == "view", "pending")
-        .when(F.col("event_type") == "click", "in_progress")
-        .when(F.col("event_type") == "purchase", "completed")
-        .when(F.col("event_type") == "error", "failed")
-    )
+def event_status() -> Column:
+    """Status of a step that an event of the test tables stands for."""
+    kind = F.col("event_type")
     return (
-        table(spark, sf_dir, "events")
-        .filter(F.col("event_type") != "signup")
-        .select("event_id", "ts", F.concat(F.lit("step_"), F.col("user_id")).alias("step_id"), status.alias("status"))
+        F.when(kind.isin("signup", "view"), "pending")
+        .when(kind == "click", "in_progress")
+        .when(kind == "purchase", "completed")
+        .when(kind == "error", "failed")
     )
 
 
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_rows(table(spark, sf_dir, "events"))
+
+
+def log_rows(events: DataFrame) -> DataFrame:
+    step = F.concat(F.lit("step_"), F.col("user_id"))
+    return events.select("event_id", "ts", step.alias("step_id"), event_status().alias("status"))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("pid"),
