@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,11 +13,13 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS
 from voxelweave.functions.kernels import gaussian_weights, smooth
-from voxelweave.functions.sizing import spread
+from voxelweave.functions.sizing import spread, written
 from voxelweave.model import AXES, Shape
 from voxelweave.operators.blocks import neighbourhood
 
 CHUNK_ROWS = 2000
+#: Pivots and rings around each of them at most; larger tables have larger cells, which are dealt in shares.
+PIVOTS, RINGS = 128, 16
 
 
 def blob_sigmas(sizes) -> tuple[float, float]:
@@ -66,43 +69,151 @@ def detect_blobs(
     return neighbourhood(blocks, shape, block, Shape(reach, reach, reach), kernel, schema)
 
 
-def _nearest_in_chunks(a: DataFrame, b: DataFrame, chunk_rows: int) -> DataFrame:
-    """Best partner of every row on both sides, ``side, id, other, distance``, partial per chunk pair.
+@dataclass
+class Cells:
+    """Rows by nearest pivot and ring of distance to it.
 
-    Rows are hashed to chunks of about ``chunk_rows``; every chunk pair is one matrix product, so
-    no pair of rows is ever emitted and no group outgrows its chunk.
+    ``pivots`` and the limits ``table`` (pivot, lowest and highest distance to it, rows of each cell) are at most ``PIVOTS`` vectors and
+    ``PIVOTS * RINGS`` lines, whatever the number of rows; ``rows`` is the table ``id, vec, cell``.
     """
-    ka = max(1, -(-a.count() // chunk_rows))
-    kb = max(1, -(-b.count() // chunk_rows))
 
-    def chunked(df: DataFrame, own: str, k: int, other: str, copies: int) -> DataFrame:
-        every = F.sequence(F.lit(0), F.lit(copies - 1))
-        return df.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(k)).cast("int").alias(own), F.explode(every).alias(other))
+    pivots: np.ndarray
+    table: np.ndarray
+    rows: DataFrame
 
-    left, right = chunked(a, "ca", ka, "cb", kb), chunked(b, "cb", kb, "ca", ka)
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
+def _gaps(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances to the pivots from differences, so that equal vectors are at exactly 0."""
+    return np.stack([np.sqrt(((vectors - p) ** 2).sum(1)) for p in pivots], axis=1)
+
+
+def metric_cells(rows: DataFrame, chunk_rows: int) -> Cells | None:
+    """Cells of ``id, vec``; None without rows. Pivots are the rows of lowest hash."""
+    n = rows.count()
+    if n == 0:
+        return None
+    k = min(PIVOTS, -(-n // chunk_rows))
+    first = rows.orderBy(F.xxhash64("id"), "id").limit(k).select("vec").collect()
+    pivots = np.array([r[0] for r in first], dtype=np.float64)
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                gaps = _gaps(_matrix(frame["vec"]), pivots)
+                near = gaps.argmin(1)
+                yield frame.assign(pivot=near.astype(np.int32), gap=gaps[np.arange(len(near)), near])
+
+    placed = written(rows.select("id", "vec").mapInPandas(place, "id bigint, vec array<double>, pivot int, gap double"), "pivot-rows")
+    steps = [(i + 1) / RINGS for i in range(RINGS - 1)]
+    edges = {}
+    for pivot, count, marks in placed.groupBy("pivot").agg(F.count(F.lit(1)), F.percentile_approx("gap", steps, 1000)).collect():
+        rings = min(RINGS, -(-count // chunk_rows))
+        edges[pivot] = np.array([marks[i * RINGS // rings - 1] for i in range(1, rings)])
+
+    @F.pandas_udf("int")
+    def ring(pivot: pd.Series, gap: pd.Series) -> pd.Series:
+        return pd.Series([p * RINGS + int(edges[p].searchsorted(g)) for p, g in zip(pivot, gap)], dtype="int32")
+
+    ringed = written(placed.select("id", "vec", ring("pivot", "gap").alias("cell"), "gap"), "ring-rows")
+    limits = ringed.groupBy("cell").agg(F.min("gap"), F.max("gap"), F.count(F.lit(1))).collect()
+    table = np.array(sorted((c, lo, hi, m) for c, lo, hi, m in limits), dtype=np.float64)
+    return Cells(pivots, table, ringed.select("id", "vec", "cell"))
+
+
+def _least(vectors: np.ndarray, pivots: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Lower bound of the distance of each vector to the rows of each cell.
+
+    From the triangle inequality: over the ring's limits, and because a row of a cell is no farther from its pivot than from the
+    pivot that is nearest to the vector.
+    """
+    gaps = _gaps(vectors, pivots)
+    at = gaps[:, (table[:, 0] // RINGS).astype(int)]
+    ring = np.maximum(table[:, 1] - at, at - table[:, 2])
+    return np.maximum(np.maximum(ring, (at - gaps.min(1)[:, None]) / 2), 0.0)
+
+
+def open_cells(queries: DataFrame, cells: Cells) -> DataFrame:
+    """``id, vec, cell``: the cells that may hold a row as near as ``bound``; without that column the most promising one."""
+    bounded, pivots, table = "bound" in queries.columns, cells.pivots, cells.table
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = table[:, 0].astype(np.int32)
+        for frame in frames:
+            if not len(frame):
+                continue
+            vectors = _matrix(frame["vec"])
+            least = _least(vectors, pivots, table)
+            if bounded:
+                # Room for the rounding of distances that come from a matrix product.
+                bound = frame["bound"].to_numpy()
+                room = 1e-6 * (1.0 + 2.0 * np.sqrt((vectors * vectors).sum(1)) + bound)
+                chosen = [names[row] for row in least <= (bound + room)[:, None]]
+            else:
+                chosen = list(names[least.argmin(1)][:, None])
+            yield frame[["id", "vec"]].assign(cells=chosen)
+
+    found = queries.mapInPandas(choose, "id bigint, vec array<double>, cells array<int>")
+    return found.select("id", "vec", F.explode("cells").alias("cell"))
+
+
+def _best_in_cells(visits: DataFrame, cells: Cells, chunk_rows: int, whole: bool) -> DataFrame:
+    """Nearest row of each visited cell, ``id, other, distance``; of one part of the cell unless ``whole``.
+
+    Rows of a cell and its visitors are both dealt by hash into shares of about ``chunk_rows``; a pair of shares is one matrix product, so no
+    pair of rows is ever emitted and no group outgrows its share, however many rows are alike.
+    """
+    spark = visits.sparkSession
+    visitors = dict(visits.groupBy("cell").count().collect())
+    sizes = []
+    for cell, n in cells.table[:, [0, 3]].astype(int).tolist():
+        parts = -(-n // chunk_rows)
+        sizes.append((cell, parts, max(1, -(-visitors.get(cell, 0) // (chunk_rows * (1 if whole else parts))))))
+    dealt = F.broadcast(spark.createDataFrame(sizes, "cell int, parts int, shares int"))  # at most PIVOTS * RINGS rows
+
+    def copies(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(n: str, salt: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+
+    part = copies("parts") if whole else own("parts", 2)
+    left = visits.join(dealt, "cell").select("id", "vec", "cell", own("shares", 1).alias("share"), part.alias("part"))
+    right = cells.rows.join(dealt, "cell").select("id", "vec", "cell", own("parts", 3).alias("part"), copies("shares").alias("share"))
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left, right = left.sort_values("id"), right.sort_values("id")
         if left.empty or right.empty:
-            return pd.DataFrame(columns=["side", "id", "other", "distance"])
-        u, v = (np.stack(s["vec"].to_numpy()).astype(np.float64) for s in (left, right))
+            return pd.DataFrame(columns=["id", "other", "distance"])
+        right = right.sort_values("id")
+        u, v = _matrix(left["vec"]), _matrix(right["vec"])
         square = (u * u).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2.0 * (u @ v.T)
         dist = np.sqrt(np.maximum(np.round(square, 12), 0.0))
-        ids_a, ids_b = left["id"].to_numpy(), right["id"].to_numpy()
-        i, j = dist.argmin(1), dist.argmin(0)
-        return pd.DataFrame(
-            {
-                "side": ["a"] * len(ids_a) + ["b"] * len(ids_b),
-                "id": np.concatenate([ids_a, ids_b]),
-                "other": np.concatenate([ids_b[i], ids_a[j]]),
-                "distance": np.concatenate([dist[np.arange(len(ids_a)), i], dist[j, np.arange(len(ids_b))]]),
-            }
-        )
-
-    sides = [spread(s, "ca", "cb").groupBy("ca", "cb") for s in (left, right)]
-    return sides[0].cogroup(sides[1]).applyInPandas(
-        best, "side string, id bigint, other bigint, distance double"
-    )
+        at = dist.argmin(1)
+        return pd.DataFrame({"id": left["id"].to_numpy(), "other": right["id"].to_numpy()[at], "distance": dist[np.arange(len(at)), at]})
+
+    keys = ("cell", "part", "share")
+    sides = [spread(side, *keys).groupBy(*keys) for side in (left, right)]
+    found = sides[0].cogroup(sides[1]).applyInPandas(best, "id bigint, other bigint, distance double")
+    return found.groupBy("id").agg(F.min(F.struct("distance", "other")).alias("m")).select("id", "m.other", "m.distance")
+
+
+def nearest_rows(queries: DataFrame, rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """The nearest of ``rows`` to each of ``queries`` (both ``id, vec``): ``id, other, distance``, ties to the smaller id. Exact.
+
+    Each query first meets the most promising cell, which bounds its distance, then all cells that the bound leaves open. Without rows there is no result.
+    """
+    cells = metric_cells(rows, chunk_rows)
+    if cells is None:
+        return queries.sparkSession.createDataFrame([], "id bigint, other bigint, distance double")
+    queries = queries.select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    # The part of the home cell that a query meets can be empty by chance; its bound is then open.
+    first = _best_in_cells(written(open_cells(queries, cells), "home-cells"), cells, chunk_rows, whole=False)
+    bound = F.coalesce("distance", F.lit(math.inf)).alias("bound")
+    bounded = queries.join(first.select("id", "distance"), "id", "left").select("id", "vec", bound)
+    return _best_in_cells(written(open_cells(bounded, cells), "open-cells"), cells, chunk_rows, whole=True)
 
 
 def _nearest_in_radius(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
@@ -131,9 +242,14 @@ def match_features(a: DataFrame, b: DataFrame, radius: float | None = None, chun
     """Mutual nearest neighbours of descriptors ``id, vec`` (and z, y, x with ``radius``).
 
     ``id_a, id_b, distance``; the smallest id wins ties. Exact either way: ``radius`` limits
-    partners by geometry, otherwise all chunk pairs are compared.
+    partners by geometry, otherwise pivots leave out the cells that cannot hold the nearest row.
     """
-    found = _nearest_in_radius(a, b, radius) if radius else _nearest_in_chunks(a, b, chunk_rows)
+    if radius:
+        found = _nearest_in_radius(a, b, radius)
+    else:
+        sides = {"a": (a, b), "b": (b, a)}
+        near = [nearest_rows(*pair, chunk_rows).select(F.lit(side).alias("side"), "*") for side, pair in sides.items()]
+        found = near[0].unionByName(near[1])
     best = found.groupBy("side", "id").agg(F.min(F.struct("distance", "other")).alias("m")).select("side", "id", "m.*")
     left = best.filter("side = 'a'").select(F.col("id").alias("id_a"), F.col("other").alias("id_b"), "distance")
     right = best.filter("side = 'b'").select(F.col("id").alias("id_b"), F.col("other").alias("id_a"))
