@@ -199,12 +199,21 @@ def _plain_alignment(data: bytes, prefix: int, space_bytes: int) -> np.ndarray:
 
 
 class UnitCache:
-    """Remembers a result per unit of text within a worker; ``limit`` bounds its memory, not its answers."""
+    """Remembers a result per unit of text within a worker; ``limit`` bounds its memory, not its answers.
+
+    Workers outlive the steps of a job, so a cache that comes into use empties the one used before it.
+    """
+
+    _latest: UnitCache | None = None
 
     def __init__(self, solve, limit: int = 400_000):
         self.solve, self.limit, self.known = solve, limit, {}
 
     def get(self, units: list[str]) -> list:
+        if UnitCache._latest is not self:
+            if UnitCache._latest is not None:
+                UnitCache._latest.known.clear()
+            UnitCache._latest = self
         known = self.known
         new = [u for u in set(units) if u not in known]
         if new:
