@@ -29,9 +29,31 @@ def test_phase_correlation_finds_a_planted_shift(spark):
     link = sg.phase_correlation(pairs, vox, min_overlap=3).first()
     np.testing.assert_allclose([link["sz"], link["sy"], link["sx"]], true, atol=0.5)
     assert link["r"] > 0.9
-    # A region over the limit is averaged into cubes first and then made exact, with the same answer.
-    large = sg.phase_correlation(pairs, vox, min_overlap=3, max_region=200).first()
-    np.testing.assert_allclose([large[c] for c in ("sz", "sy", "sx", "r")], [link[c] for c in ("sz", "sy", "sx", "r")], atol=1e-6)
+    # Many small windows, summed over several levels, give the same answer.
+    small = sg.phase_correlation(pairs, vox, min_overlap=3, window=8).first()
+    np.testing.assert_allclose([small[c] for c in ("sz", "sy", "sx", "r")], [link[c] for c in ("sz", "sy", "sx", "r")], atol=1e-6)
+
+
+def test_phase_correlation_of_many_windows_and_of_nothing(spark, monkeypatch):
+    size, true = (4, 24, 26), (0, -3, 2)
+    base, rows = texture((8, 40, 60), 3), []
+    for tile, (oy, ox) in enumerate([(5, 5), (5 + true[1], 7 + true[2])]):
+        values = base[:4, oy : oy + size[1], ox : ox + size[2]]
+        rows += [(tile, *map(int, at), int(values[at])) for at in np.ndindex(size)]
+    rows += [(2, 0, 0, 0, 5)]  # a tile with a single voxel: no correlation
+    vox = spark.createDataFrame(rows, "tile bigint, z bigint, y bigint, x bigint, value bigint")
+    places = [(0, 0, 0, 0, *size), (1, 0, 0, 2, *size), (2, 0, 0, 0, *size)]
+    tiles = spark.createDataFrame(places, "tile bigint, oz bigint, oy bigint, ox bigint, dz bigint, dy bigint, dx bigint")
+    pairs = tl.overlap_pairs(tiles, 4)
+    monkeypatch.setattr(sg, "FAN_IN", 2)
+    links = {(r["tile_a"], r["tile_b"]): r for r in sg.phase_correlation(pairs, vox, min_overlap=3, window=8).collect()}
+    near = links[0, 1]
+    np.testing.assert_allclose([near["sz"], near["sy"], near["sx"]], true, atol=0.5)
+    assert near["r"] > 0.9
+    assert len(links) == 3 and abs(links[1, 2]["r"]) <= 1
+    assert sg.phase_correlation(pairs.limit(0), vox, min_overlap=3).count() == 0
+    with pytest.raises(ValueError):
+        sg.phase_correlation(pairs, vox, window=7)
 
 
 def test_placement_is_the_least_squares_one(spark):

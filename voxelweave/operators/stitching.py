@@ -13,47 +13,12 @@ from voxelweave.operators.components import connected_components
 from voxelweave.operators.tiles import link_residuals
 
 PEAKS = 75
-MAX_REGION = 16_000_000
+WINDOW = 32
+SHARE, FAN_IN = 8, 128  # windows summed in one task, spectra merged in one
 # Error limits of the global placement.
 RELATIVE_ERROR, ABSOLUTE_ERROR = 2.5, 3.5
 
 
-def _ncc(a: np.ndarray, b: np.ndarray, shift, min_overlap: int) -> float:
-    """Correlation of ``a(p)`` with ``b(p - shift)`` on their common part."""
-    lo = [max(0, s) for s in shift]
-    hi = [min(n, n + s) for n, s in zip(a.shape, shift)]
-    if any(h - l < min(min_overlap, n) for l, h, n in zip(lo, hi, a.shape)):
-        return -1.0
-    u = a[tuple(slice(l, h) for l, h in zip(lo, hi))]
-    v = b[tuple(slice(l - s, h - s) for l, h, s in zip(lo, hi, shift))]
-    u, v = u - u.mean(), v - v.mean()
-    scale = np.sqrt((u * u).sum() * (v * v).sum())
-    return float((u * v).sum() / scale) if scale > 0 else -1.0
-
-
-def best_shift(a: np.ndarray, b: np.ndarray, min_overlap: int = 5, peaks: int = PEAKS) -> tuple[list[float], float]:
-    """Shift of ``b`` onto ``a`` (sub-pixel) and its correlation."""
-    spectrum = np.fft.fftn(a - a.mean()) * np.conj(np.fft.fftn(b - b.mean()))
-    surface = np.fft.ifftn(spectrum / np.maximum(np.abs(spectrum), 1e-12)).real
-    order = np.argsort(surface, axis=None)[::-1][:peaks]
-    best, best_r = (0, 0, 0), -1.0
-    for flat in order:
-        peak = np.unravel_index(flat, surface.shape)
-        for wrap in np.ndindex(2, 2, 2):
-            shift = tuple(int(p) - w * n for p, w, n in zip(peak, wrap, a.shape))
-            r = _ncc(a, b, shift, min_overlap)
-            if r > best_r + 1e-12:
-                best, best_r = shift, r
-    refined = []
-    for axis in range(3):
-        step = np.eye(3, dtype=int)[axis]
-        left, right = (_ncc(a, b, tuple(np.array(best) + s * step), min_overlap) for s in (-1, 1))
-        bend = left - 2 * best_r + right
-        offset = 0.5 * (left - right) / bend if left > -1 and right > -1 and bend < 0 else 0.0
-        refined.append(float(best[axis] + np.clip(offset, -0.5, 0.5)))
-    return refined, best_r
-
-
 def _overlap_rows(pairs: DataFrame, voxels: DataFrame) -> DataFrame:
     """Voxels of both tiles inside each overlap, in overlap coordinates."""
     sides = []
@@ -75,102 +40,182 @@ def _overlap_rows(pairs: DataFrame, voxels: DataFrame) -> DataFrame:
     )
 
 
-def phase_correlation(
-    pairs: DataFrame, voxels: DataFrame, min_overlap: int = 5, peaks: int = PEAKS, max_region: int = MAX_REGION
-) -> DataFrame:
-    """Shift and correlation of every overlapping pair: ``tile_a, tile_b, sz, sy, sx, r``.
+def _window_rows(rows: DataFrame, window: int) -> DataFrame:
+    """Each voxel in the windows that cover it: two an axis at most, so eight copies whatever the overlap's size.
 
-    ``pairs`` comes from the overlap join (one small row per pair); only
-    the voxels inside an overlap travel and channels are averaged. A group is one pair's overlap
-    of at most ``max_region`` voxels: a larger one is first averaged into cubes by Spark, and the
-    shift found there is made exact, to parts of a voxel, by :func:`refine_shifts` on all voxels.
+    Windows advance by half their size and the last one ends with the overlap; an axis no longer than a window has one.
+    ``share`` numbers neighbouring windows that are summed in one task.
     """
-    if "channel" in voxels.columns:
-        n_channels = voxels.select("channel").distinct().count()
-        voxels = voxels.groupBy("tile", *AXES).agg((F.sum("value") / n_channels).alias("value"))
-    rows = _overlap_rows(pairs, voxels)
-    size = F.col("nz").cast("double") * F.col("ny") * F.col("nx")
-    cube = F.greatest(F.ceil(F.pow(size / max_region, 1.0 / 3.0)).cast("int"), F.lit(1))
-    small = (
-        rows.withColumn("cube", cube)
-        .groupBy("tile_a", "tile_b", "side", "cube", *[F.floor(F.col(a) / F.col("cube")).cast("int").alias(a) for a in AXES],
-                 *[F.ceil(F.col(f"n{a}") / F.col("cube")).cast("int").alias(f"n{a}") for a in AXES])
-        .agg(F.sum("value").alias("value"), *[F.first(f"n{a}").alias(f"full_{a}") for a in AXES])
+    half, number, out = window // 2, F.lit(0).cast("bigint"), rows
+    for a in AXES:
+        n, at = F.col(f"n{a}"), F.col(a)
+        last = F.greatest(F.ceil((n - window) / half), F.lit(0)).cast("int")
+        place = F.floor(at / half).cast("int")
+
+        def start(k):
+            return F.greatest(F.least(k * half, n - window), F.lit(0))
+
+        covers = F.filter(
+            F.array_distinct(F.array(*[F.greatest(F.least(k, last), F.lit(0)) for k in (place - 1, place, last)])),
+            lambda k: (start(k) <= at) & (at < start(k) + window),
+        )
+        out = out.withColumn(f"w{a}", F.explode(covers)).withColumn(a, at - start(F.col(f"w{a}")))
+        number = number * (last + 1) + F.col(f"w{a}")
+        out = out.withColumn(f"e{a}", F.least(n, F.lit(window)))
+    out = out.withColumn("window", number)
+    return out.select(
+        "tile_a", "tile_b", "window", F.floor(F.col("window") / SHARE).alias("share"), "side", *AXES, *[f"e{a}" for a in AXES], "value"
     )
-    # A cube on the border holds fewer voxels; voxels not stored are zeros.
-    held = [F.least(F.col("cube"), F.col(f"full_{a}") - F.col(a) * F.col("cube")) for a in AXES]
-    small = small.withColumn("value", F.col("value") / (held[0] * held[1] * held[2])).drop(*[f"full_{a}" for a in AXES])
-
-    def correlate(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        extent = [int(part[f"n{a}"].iloc[0]) for a in AXES]
-        step = int(part["cube"].iloc[0])
-        images = []
+
+
+_SPECTRUM = "tile_a bigint, tile_b bigint, share bigint, ez int, ey int, ex int, spectrum binary"
+
+
+def _spectra(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    """Sum of the cross-power spectra of the windows of a share."""
+    extent = tuple(int(part[f"e{a}"].iloc[0]) for a in AXES)
+    total = np.zeros((*extent[:2], extent[2] // 2 + 1), np.complex128)
+    for _, inside in part.groupby("window"):
+        spectra = []
         for side in ("a", "b"):
-            image, mine = np.zeros(extent), part[part["side"] == side]
+            image, mine = np.zeros(extent), inside[inside["side"] == side]
             image[tuple(mine[a].to_numpy() for a in AXES)] = mine["value"].to_numpy()
-            images.append(image)
-        shift, r = best_shift(*images, min_overlap if step == 1 else max(3, -(-min_overlap // step)), peaks)
-        return pd.DataFrame([(*key, *[s * step for s in shift], r, step)], columns=["tile_a", "tile_b", "sz", "sy", "sx", "r", "cube"])
+            spectra.append(np.fft.rfftn(image - image.mean()))
+        total += spectra[0] * np.conj(spectra[1])
+    return pd.DataFrame([(*key, *extent, total.tobytes())], columns=[c.split()[0] for c in _SPECTRUM.split(", ")])
 
-    found = settled(
-        spread(small, "tile_a", "tile_b").groupBy("tile_a", "tile_b").applyInPandas(
-            correlate, "tile_a bigint, tile_b bigint, sz double, sy double, sx double, r double, cube int"
-        )
-    )
-    coarse = found.filter("cube > 1")
-    exact = found.filter("cube = 1").drop("cube")
-    if not coarse.take(1):
-        return exact
-    return exact.unionByName(refine_shifts(rows, coarse, min_overlap))
 
+def _merged(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    """Sum of partial spectra; whole numbers of shares go on to the next level."""
+    total = sum(np.frombuffer(x, np.complex128) for x in part["spectrum"].sort_values())
+    return part.iloc[:1].assign(share=key[2], spectrum=total.tobytes())
+
+
+def _peaks(peaks: int):
+    """Shifts of the highest places of the phase correlation surface, with their periods."""
+
+    def task(parts):
+        for part in parts:
+            out = []
+            for r in part.itertuples():
+                extent = (r.ez, r.ey, r.ex)
+                total = np.frombuffer(r.spectrum, np.complex128).reshape(*extent[:2], extent[2] // 2 + 1)
+                surface = np.fft.irfftn(total / np.maximum(np.abs(total), 1e-12), extent, (0, 1, 2))
+                for flat in np.argsort(surface, axis=None)[::-1][:peaks]:
+                    peak = np.unravel_index(flat, extent)
+                    shifts = {tuple(int(p) - w * n for p, w, n in zip(peak, wrap, extent)) for wrap in np.ndindex(2, 2, 2)}
+                    out += [(r.tile_a, r.tile_b, *s) for s in shifts]
+            yield pd.DataFrame(out, columns=["tile_a", "tile_b", "sz", "sy", "sx"])
 
-def refine_shifts(rows: DataFrame, coarse: DataFrame, min_overlap: int = 5) -> DataFrame:
-    """Best shift within one cube of a coarse one, from sums over all voxels.
+    return task
 
-    Every voxel of one side is moved by the candidate shifts of its pair and meets the other
-    side on the voxel position; only sums leave the join, so regions of any size are spread out.
-    Parts of a voxel come from the parabola through the correlations next to the best one.
+
+def _correlations(rows: DataFrame, extents: DataFrame, shifts: DataFrame, window: int, min_overlap: int) -> DataFrame:
+    """``r`` of each of ``shifts (tile_a, tile_b, sz, sy, sx)`` that is within reach, over all voxels of the overlap.
+
+    Side ``a`` is cut into blocks of a window's size; side ``b`` goes to every block that a shift of at most half a window can
+    bring it to (an axis of one block knows all shifts). Each block gives sums per shift, which Spark adds up.
     """
-    reach = F.sequence(-F.col("cube") - 1, F.col("cube") + 1)
-    trial = coarse.select("tile_a", "tile_b", "cube", *[F.rint(f"s{a}").cast("int").alias(f"s{a}") for a in AXES])
+    half, names = window // 2, ["tile_a", "tile_b", "side", *[f"b{a}" for a in AXES], *AXES, *[f"n{a}" for a in AXES], "value"]
+    trial = shifts.join(extents, ["tile_a", "tile_b"])
     for a in AXES:
-        trial = trial.withColumn("d", F.explode(reach)).withColumn(f"s{a}", F.col(f"s{a}") + F.col("d")).drop("d")
-    left = rows.filter("side = 'a'").select("tile_a", "tile_b", *AXES, F.col("value").alias("u"))
-    right = rows.filter("side = 'b'").join(trial.drop("cube"), ["tile_a", "tile_b"])
+        n, s = F.col(f"n{a}"), F.abs(f"s{a}")
+        trial = trial.filter((n - s >= F.least(F.lit(min_overlap), n)) & ((n <= window) | (s <= half)))
+    wanted = trial.select("tile_a", "tile_b", F.lit("s").alias("side"), *[F.col(f"s{a}").alias(a) for a in AXES], *[f"n{a}" for a in AXES], F.lit(0.0).alias("value"))
+    left, right = rows.filter("side = 'a'"), rows.filter("side = 'b'")
     for a in AXES:
-        right = right.filter(F.abs(f"s{a}") <= F.col(f"n{a}") - F.least(F.lit(min_overlap), F.col(f"n{a}")))
-    right = right.select(
-        "tile_a", "tile_b", *[f"s{a}" for a in AXES], *[(F.col(a) + F.col(f"s{a}")).alias(a) for a in AXES], F.col("value").alias("v")
-    )
-    n = F.count(F.lit(1)).cast("double")
-    u, v = F.col("u"), F.col("v")
-    top = n * F.sum(u * v) - F.sum(u) * F.sum(v)
-    bottom = F.sqrt((n * F.sum(u * u) - F.sum(u) * F.sum(u)) * (n * F.sum(v * v) - F.sum(v) * F.sum(v)))
-    scored = (
-        left.join(right, ["tile_a", "tile_b", *AXES]).groupBy("tile_a", "tile_b", *[f"s{a}" for a in AXES])
-        .agg(F.coalesce(F.try_divide(top, bottom), F.lit(-1.0)).alias("r"))
-    )
-    scored = settled(scored)
-    best = F.max(F.struct(F.round("r", 9).alias("r"), *[f"s{a}" for a in AXES])).alias("m")
-    top = scored.groupBy("tile_a", "tile_b").agg(best).select("tile_a", "tile_b", *[F.col(f"m.s{a}").alias(f"m{a}") for a in AXES])
-    near = scored.join(top, ["tile_a", "tile_b"])
-    steps = {a: F.col(f"s{a}") - F.col(f"m{a}") for a in AXES}
-
-    def score(axis: str, step: int) -> F.Column:
-        here = [steps[a] == (step if a == axis else 0) for a in AXES]
-        return F.max(F.when(here[0] & here[1] & here[2], F.col("r")))
-
-    found = near.groupBy("tile_a", "tile_b", *[f"m{a}" for a in AXES]).agg(
-        score("z", 0).alias("r"), *[score(a, s).alias(f"{n}{a}") for a in AXES for s, n in ((-1, "left_"), (1, "right_"))]
-    )
-    out = ["tile_a", "tile_b"]
+        last = F.floor((F.col(f"n{a}") - 1) / window).cast("int")
+        left = left.withColumn(f"b{a}", F.floor(F.col(a) / window).cast("int"))
+        low, high = (F.greatest(F.least(F.floor((F.col(a) + d) / window).cast("int"), last), F.lit(0)) for d in (-half, half))
+        right = right.withColumn(f"b{a}", F.explode(F.sequence(low, high)))
+        wanted = wanted.withColumn(f"b{a}", F.explode(F.sequence(F.lit(0), last)))
+    blocks = left.select(names).unionByName(right.select(names)).unionByName(wanted.select(names))
+    sums = ["u", "v", "uu", "vv", "uv"]
+
+    def block_sums(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        n = [int(part[f"n{a}"].iloc[0]) for a in AXES]
+        lo = [k * window for k in key[2:]]
+        hi = [min(m, l + window) for m, l in zip(n, lo)]
+        outer = [(max(0, l - half), min(m, h + half)) for m, l, h in zip(n, lo, hi)]
+        a, b = np.zeros([h - l for l, h in zip(lo, hi)]), np.zeros([h - l for l, h in outer])
+        for image, side, corner in ((a, "a", lo), (b, "b", [l for l, _ in outer])):
+            mine = part[part["side"] == side]
+            image[tuple(mine[c].to_numpy() - o for c, o in zip(AXES, corner))] = mine["value"].to_numpy()
+        out = []
+        for shift in part.loc[part["side"] == "s", list(AXES)].itertuples(index=False):
+            first = [max(l, s) for l, s in zip(lo, shift)]
+            end = [min(h, m + s) for h, m, s in zip(hi, n, shift)]
+            if any(e <= f for f, e in zip(first, end)):
+                continue
+            u = a[tuple(slice(f - l, e - l) for f, e, l in zip(first, end, lo))]
+            v = b[tuple(slice(f - s - o, e - s - o) for f, e, s, (o, _) in zip(first, end, shift, outer))]
+            out.append((key[0], key[1], *shift, u.sum(), v.sum(), (u * u).sum(), (v * v).sum(), (u * v).sum()))
+        return pd.DataFrame(out, columns=["tile_a", "tile_b", "sz", "sy", "sx", *sums])
+
+    keys = ["tile_a", "tile_b", *[f"b{a}" for a in AXES]]
+    schema = "tile_a bigint, tile_b bigint, sz int, sy int, sx int, " + ", ".join(f"{c} double" for c in sums)
+    found = spread(blocks, *keys).groupBy(*keys).applyInPandas(block_sums, schema)
+    total = found.groupBy("tile_a", "tile_b", "sz", "sy", "sx").agg(*[F.sum(c).alias(c) for c in sums]).join(extents, ["tile_a", "tile_b"])
+    n = F.lit(1.0)
+    for a in AXES:
+        n = n * (F.col(f"n{a}") - F.abs(f"s{a}"))
+    spread_u, spread_v = n * F.col("uu") - F.col("u") * F.col("u"), n * F.col("vv") - F.col("v") * F.col("v")
+    r = F.when((spread_u > 0) & (spread_v > 0), (n * F.col("uv") - F.col("u") * F.col("v")) / F.sqrt(spread_u) / F.sqrt(spread_v))
+    return total.select("tile_a", "tile_b", "sz", "sy", "sx", F.coalesce(r, F.lit(-1.0)).alias("r"))
+
+
+def phase_correlation(
+    pairs: DataFrame, voxels: DataFrame, min_overlap: int = 5, peaks: int = PEAKS, window: int = WINDOW
+) -> DataFrame:
+    """Shift and correlation of every overlapping pair with voxels: ``tile_a, tile_b, sz, sy, sx, r``.
+
+    ``pairs`` comes from the overlap join (one small row per pair); only the voxels inside an overlap travel and channels are
+    averaged. The cross-power spectra of overlapping windows are summed, in a tree of groups of bounded size, into one per pair
+    whose highest places are the candidate shifts; each is then correlated over all voxels of the overlap by sums per block, and
+    the best one gets its parts of a voxel from the parabola through its neighbours. One way for overlaps of every size: an axis
+    longer than ``window`` (even) finds shifts up to half of it, a shorter one all that leave ``min_overlap`` voxels. A pair
+    without any correlation has shift 0 and ``r`` -1.
+    """
+    if window < 2 or window % 2:
+        raise ValueError(f"window must be even, not {window}")
+    if "channel" in voxels.columns:
+        n_channels = voxels.select("channel").distinct().count()
+        voxels = voxels.groupBy("tile", *AXES).agg((F.sum("value") / n_channels).alias("value"))
+    pair, half = ["tile_a", "tile_b"], window // 2
+    rows = settled(_overlap_rows(pairs, voxels))
+    extents = rows.select(*pair, *[f"n{a}" for a in AXES]).distinct()
+    spectra = spread(_window_rows(rows, window), *pair, "share").groupBy(*pair, "share").applyInPandas(_spectra, _SPECTRUM)
+    spectra = settled(spectra)
+    most = F.lit(1.0)
+    for a in AXES:
+        most = most * (F.greatest(F.ceil((F.col(f"n{a}") - window) / half), F.lit(0)) + 1)
+    shares = (extents.agg(F.max(most)).first()[0] or 0) / SHARE
+    while shares > 1:
+        level = spectra.withColumn("share", F.floor(F.col("share") / FAN_IN))
+        spectra = settled(level.groupBy(*pair, "share").applyInPandas(_merged, _SPECTRUM))
+        shares /= FAN_IN
+    shifts = "tile_a bigint, tile_b bigint, sz int, sy int, sx int"
+    trial = settled(spectra.mapInPandas(_peaks(peaks), shifts).distinct())
+    scored = _correlations(rows, extents, trial, window, min_overlap)
+    near = -(F.abs("sz") + F.abs("sy") + F.abs("sx"))
+    best = F.max(F.struct(F.round("r", 9).alias("s"), near.alias("near"), *[f"s{a}" for a in AXES], "r")).alias("m")
+    tops = settled(scored.filter("r > -1").groupBy(*pair).agg(best).select(*pair, *[F.col(f"m.s{a}").alias(f"s{a}") for a in AXES], "m.r"))
+    beside = None
+    for a in AXES:
+        for step in (-1, 1):
+            one = tops.select(*pair, *[(F.col(f"s{c}") + (step if c == a else 0)).alias(f"s{c}") for c in AXES], F.lit(f"{a}{step}").alias("beside"))
+            beside = one if beside is None else beside.unionByName(one)
+    around = _correlations(rows, extents, beside.drop("beside"), window, min_overlap).join(beside, [*pair, "sz", "sy", "sx"])
+    around = around.groupBy(*pair).agg(*[F.max(F.when(F.col("beside") == f"{a}{s}", F.col("r"))).alias(f"{a}{s}") for a in AXES for s in (-1, 1)])
+    found = extents.join(tops, pair, "left").join(around, pair, "left")
+    out = []
     for a in AXES:
-        left, right = F.col(f"left_{a}"), F.col(f"right_{a}")
+        left, right = F.col(f"{a}-1"), F.col(f"{a}1")
         bend = left - 2 * F.col("r") + right
         part = F.greatest(F.lit(-0.5), F.least(F.lit(0.5), 0.5 * (left - right) / bend))
         usable = (left > -1) & (right > -1) & (bend < 0)
-        out.append((F.col(f"m{a}") + F.when(usable, part).otherwise(0.0)).alias(f"s{a}"))
-    return found.select(*out, "r")
+        out.append((F.coalesce(f"s{a}", F.lit(0)) + F.when(usable, part).otherwise(0.0)).alias(f"s{a}"))
+    return found.select(*pair, *out, F.coalesce("r", F.lit(-1.0)).alias("r"))
 
 
 def measured_links(tiles: DataFrame, shifts: DataFrame) -> DataFrame:

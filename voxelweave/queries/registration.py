@@ -273,6 +273,24 @@ def tile_phase_correlation(spark, sf):
     return sg.phase_correlation(tl.overlap_pairs(tiles, 4), fx.tile_voxels(spark, sf), min_overlap=3)
 
 
+@query(
+    "tile_planted_shifts",
+    "SELECT DISTINCT l_suppkey::BIGINT AS supplier, 0::BIGINT AS sz, (l_suppkey%5-2)::BIGINT AS sy, (l_suppkey%3-1)::BIGINT AS sx, 1e0 AS r FROM lineitem",
+)
+def tile_planted_shifts(spark, sf):
+    """Every supplier's tile against a copy moved by a known shift, from windows half as long as the tile."""
+    place = fx.tiles(spark, sf).select((2 * F.col("tile")).alias("tile"), *[F.lit(0).cast("bigint").alias(f"o{a}") for a in "zy"], (F.col("tile") * 40).alias("ox"), "dz", "dy", "dx")
+    tiles = place.unionByName(place.withColumn("tile", F.col("tile") + 1))
+    own = fx.tile_voxels(spark, sf)
+    moved = own.select(
+        (2 * F.col("tile") + 1).alias("tile"), "z", (F.col("y") - F.col("tile") % 5 + 2).alias("y"), (F.col("x") - F.col("tile") % 3 + 1).alias("x"), "value"
+    ).filter("y between 0 and 15 and x between 0 and 15")
+    found = sg.phase_correlation(tl.overlap_pairs(tiles, 4), own.withColumn("tile", 2 * F.col("tile")).unionByName(moved), window=8)
+    return found.select(
+        F.floor(F.col("tile_a") / 2).alias("supplier"), *[F.rint(f"s{a}").cast("bigint").alias(f"s{a}") for a in "zyx"], F.round("r", 6).alias("r")
+    )
+
+
 _TRUE = {"oz": 0, "oy": 1, "ox": -2}
 
 
