@@ -110,6 +110,15 @@ def _peaks(peaks: int):
     return task
 
 
+def _box_sums(image: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of ``image`` over the boxes ``[first, end)``, from running sums along all axes."""
+    total = np.pad(image, ((1, 0),) * 3).cumsum(0).cumsum(1).cumsum(2)
+    return sum(
+        (-1) ** (3 - sum(corner)) * total[tuple(np.where(c, end[:, i], first[:, i]) for i, c in enumerate(corner))]
+        for corner in np.ndindex(2, 2, 2)
+    )
+
+
 def _correlations(rows: DataFrame, extents: DataFrame, shifts: DataFrame, window: int, min_overlap: int) -> DataFrame:
     """``r`` of each of ``shifts (tile_a, tile_b, sz, sy, sx)`` that is within reach, over all voxels of the overlap.
 
@@ -141,16 +150,19 @@ def _correlations(rows: DataFrame, extents: DataFrame, shifts: DataFrame, window
         for image, side, corner in ((a, "a", lo), (b, "b", [l for l, _ in outer])):
             mine = part[part["side"] == side]
             image[tuple(mine[c].to_numpy() - o for c, o in zip(AXES, corner))] = mine["value"].to_numpy()
-        out = []
-        for shift in part.loc[part["side"] == "s", list(AXES)].itertuples(index=False):
-            first = [max(l, s) for l, s in zip(lo, shift)]
-            end = [min(h, m + s) for h, m, s in zip(hi, n, shift)]
-            if any(e <= f for f, e in zip(first, end)):
-                continue
-            u = a[tuple(slice(f - l, e - l) for f, e, l in zip(first, end, lo))]
-            v = b[tuple(slice(f - s - o, e - s - o) for f, e, s, (o, _) in zip(first, end, shift, outer))]
-            out.append((key[0], key[1], *shift, u.sum(), v.sum(), (u * u).sum(), (v * v).sum(), (u * v).sum()))
-        return pd.DataFrame(out, columns=["tile_a", "tile_b", "sz", "sy", "sx", *sums])
+        move = part.loc[part["side"] == "s", list(AXES)].to_numpy()
+        first, end = np.maximum(lo, move), np.minimum(hi, np.array(n) + move)
+        common = (first < end).all(1)
+        move, first, end = move[common], first[common], end[common]
+        in_a, in_b = (first - lo, end - lo), tuple(x - move - [l for l, _ in outer] for x in (first, end))
+        found = pd.DataFrame(move, columns=["sz", "sy", "sx"]).assign(tile_a=key[0], tile_b=key[1])
+        found["u"], found["uu"] = (_box_sums(x, *in_a) for x in (a, a * a))
+        found["v"], found["vv"] = (_box_sums(x, *in_b) for x in (b, b * b))
+        boxes = zip(*(x.tolist() for x in (*in_a, *in_b)))
+        found["uv"] = [
+            float(np.einsum("zyx,zyx->", a[p:s, q:t, r:u], b[f:i, g:j, h:k])) for (p, q, r), (s, t, u), (f, g, h), (i, j, k) in boxes
+        ]
+        return found[["tile_a", "tile_b", "sz", "sy", "sx", *sums]]
 
     keys = ["tile_a", "tile_b", *[f"b{a}" for a in AXES]]
     schema = "tile_a bigint, tile_b bigint, sz int, sy int, sx int, " + ", ".join(f"{c} double" for c in sums)
