@@ -171,6 +171,19 @@ def test_bspline_field_interpolates_the_coarse_values(spark):
     np.testing.assert_allclose(array_of(out, target, "dx")[:, :11, :13], 1.0, atol=1e-5)
 
 
+def test_bspline_rows_travel_once_a_pass_and_keep_odd_rows(spark):
+    """A row goes to the runs of outputs it reaches, not to every output; repeats add up, nulls count for nothing."""
+    wide = spark.range(2000).selectExpr("0L AS z", "0L AS y", "id AS x", "1D AS dz", "0D AS dy", "0D AS dx")
+    assert rs._spline_chunks(wide, "x", 2000, 4000, 0.5).count() <= 1.3 * 2000
+    schema = "z bigint, y bigint, x bigint, dz double, dy double, dx double"
+    rows = [(0, 0, 300, 1.0, None, 2.0), (0, 0, 300, 2.0, None, None), (0, None, 300, 9.0, 9.0, 9.0)]
+    out = rs.upsample_field(spark.createDataFrame(rows, schema), Shape(1, 1, 600), Shape(1, 1, 1200), (1, 1, 2), "bspline")
+    got = {r["x"]: r for r in out.collect()}
+    assert sorted(got) == list(range(576, 625))  # sources within twelve of the outputs' places
+    assert got[600]["dz"] == pytest.approx(1.5 * got[600]["dx"]) and got[600]["dx"] == pytest.approx(2.0, abs=1e-5)
+    assert all(r["dy"] is None for r in got.values())
+
+
 def test_identity_transform_returns_the_volume(spark):
     array = texture((3, 6, 7))
     got = tf.apply_affine(voxels_of(spark, array), np.eye(4), shape_of(array), (0.3, 0.1, 0.1))
