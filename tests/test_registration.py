@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.helpers import array_of, shape_of, texture, voxels_of
@@ -171,3 +172,13 @@ def test_singular_matrix_is_still_exact_in_blocks(spark):
     one = tf.apply_affine(vox, flat, shape)
     two = tf.apply_transforms_blocks(bl.to_blocks(vox, shape, block), flat, shape, block, shape)
     assert np.array_equal(array_of(one, shape), array_of(bl.to_voxels(two), shape))
+
+
+def test_peaks_are_found_a_pair_at_a_time():
+    """One pair's spectrum gives its distinct shifts; nothing of another pair is held beside it."""
+    image = np.random.default_rng(0).random((2, 4, 4))
+    spectrum = np.fft.rfftn(image) * np.conj(np.fft.rfftn(np.roll(image, 1, 2)))
+    part = pd.DataFrame([(1, 2, 0, 2, 4, 4, spectrum.tobytes())], columns=["tile_a", "tile_b", "share", "ez", "ey", "ex", "spectrum"])
+    found = sg._peaks(1)((1, 2), part)
+    assert sorted(found[["sz", "sy", "sx"]].itertuples(index=False, name=None)) == [(z, y, x) for z in (-2, 0) for y in (-4, 0) for x in (-1, 3)]
+    assert set(zip(found["tile_a"], found["tile_b"])) == {(1, 2)}

@@ -92,20 +92,19 @@ def _merged(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _peaks(peaks: int):
-    """Shifts of the highest places of the phase correlation surface, with their periods."""
-
-    def task(parts):
-        for part in parts:
-            out = []
-            for r in part.itertuples():
-                extent = (r.ez, r.ey, r.ex)
-                total = np.frombuffer(r.spectrum, np.complex128).reshape(*extent[:2], extent[2] // 2 + 1)
-                surface = np.fft.irfftn(total / np.maximum(np.abs(total), 1e-12), extent, (0, 1, 2))
-                for flat in np.argsort(surface, axis=None)[::-1][:peaks]:
-                    peak = np.unravel_index(flat, extent)
-                    shifts = {tuple(int(p) - w * n for p, w, n in zip(peak, wrap, extent)) for wrap in np.ndindex(2, 2, 2)}
-                    out += [(r.tile_a, r.tile_b, *s) for s in shifts]
-            yield pd.DataFrame(out, columns=["tile_a", "tile_b", "sz", "sy", "sx"])
+    """Shifts of the highest places of the phase correlation surface of one pair, with their periods."""
+
+    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for r in part.itertuples():
+            extent = (r.ez, r.ey, r.ex)
+            total = np.frombuffer(r.spectrum, np.complex128).reshape(*extent[:2], extent[2] // 2 + 1)
+            surface = np.fft.irfftn(total / np.maximum(np.abs(total), 1e-12), extent, (0, 1, 2))
+            top = np.argsort(surface, axis=None)[::-1][:peaks]
+            places = np.stack(np.unravel_index(top, extent), axis=1)
+            found += [places - np.array(wrap) * extent for wrap in np.ndindex(2, 2, 2)]
+        shifts = np.unique(np.concatenate(found), axis=0).astype(np.int32)
+        return pd.DataFrame(shifts, columns=["sz", "sy", "sx"]).assign(tile_a=key[0], tile_b=key[1])[["tile_a", "tile_b", "sz", "sy", "sx"]]
 
     return task
 
@@ -207,7 +206,8 @@ def phase_correlation(
         spectra = settled(level.groupBy(*pair, "share").applyInPandas(_merged, _SPECTRUM))
         shares /= FAN_IN
     shifts = "tile_a bigint, tile_b bigint, sz int, sy int, sx int"
-    trial = settled(spectra.mapInPandas(_peaks(peaks), shifts).distinct())
+    # A pair at a time: a batch of many pairs would hold all their spectra and shifts at once.
+    trial = settled(spread(spectra, *pair).groupBy(*pair).applyInPandas(_peaks(peaks), shifts))
     scored = _correlations(rows, extents, trial, window, min_overlap)
     near = -(F.abs("sz") + F.abs("sy") + F.abs("sx"))
     best = F.max(F.struct(F.round("r", 9).alias("s"), near.alias("near"), *[f"s{a}" for a in AXES], "r")).alias("m")
