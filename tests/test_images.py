@@ -114,6 +114,18 @@ def test_blend_matches_numpy(spark, method, flip):
     assert np.array_equal(array_of(got, shape), top)
 
 
+@pytest.mark.parametrize("method", ["weighted_average", "overwrite"])
+def test_parts_of_a_blend_grow_with_the_tiles(spark, monkeypatch, method):
+    rows = [(t, 0, y, x, 100 * t + y * x) for t in (1, 2) for y in range(6) for x in range(6) if (y + x) % 3]
+    vox = spark.createDataFrame(rows, "tile bigint, z bigint, y bigint, x bigint, value bigint")
+    tiles = spark.createDataFrame([(1, 0, 0, 0, 1, 6, 6), (2, 0, 0, 4, 1, 6, 6)], "tile bigint, oz bigint, oy bigint, ox bigint, dz bigint, dy bigint, dx bigint")
+    usual = sorted(map(tuple, tl.blend(vox, tiles, method, feather_pad=2).collect()))
+    monkeypatch.setattr("voxelweave.functions.sizing.PART_ROWS", 4)
+    wide = tl.blend(vox, tiles, method, feather_pad=2)
+    assert wide.rdd.getNumPartitions() == 18  # 72 places, four a part
+    assert sorted(map(tuple, wide.collect())) == usual
+
+
 def test_dense_and_sparse_blends_agree(spark):
     arrays = [texture((3, 8, 9), s) // 20 + 1 for s in range(2)]
     tiles, vox = tile_set(spark, arrays, [(0, 0, 0), (0, 2, 4)])

@@ -5,6 +5,7 @@ Joins with small tables carry no hint: adaptive execution broadcasts a side whos
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -58,3 +59,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     blocks into one task; an explicit count is left alone, and the grouping reuses this exchange.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+#: Rows of one partition ahead of a wide aggregation.
+PART_ROWS = 1_000_000
+
+
+def parts_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for so many rows: the session's number, or more where one would outgrow ``PART_ROWS``.
+
+    The session's number stands still while tables grow, and with it the memory of a task.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / PART_ROWS))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from voxelweave.functions.columns import clip_uint16, f32, f32_divide, half_even, truncate
 from voxelweave.functions.histograms import dense_histogram, percentiles
 from voxelweave.functions.ranking import global_rank
-from voxelweave.functions.sizing import settled
+from voxelweave.functions.sizing import parts_for, settled
 from voxelweave.model import AXES, UINT16_MAX
 
 BLEND_METHODS = ("weighted_average", "max", "overwrite")
@@ -198,16 +198,20 @@ def place_tiles(tiles: DataFrame) -> DataFrame:
     return tiles.withColumns(starts)
 
 
-def tile_grid(tiles: DataFrame, keys: list[str]) -> DataFrame:
-    """Every voxel position of every tile; rows are spread before the widest expansion."""
-    return (
-        tiles.select(*keys, *[F.col(f"d{a}") for a in AXES])
-        .withColumn("z", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("dz").cast("bigint") - 1)))
-        .withColumn("y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("dy").cast("bigint") - 1)))
-        .repartition(*keys, "z", "y")
-        .withColumn("x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("dx").cast("bigint") - 1)))
-        .select(*keys, *AXES)
-    )
+def dense_size(tiles: DataFrame) -> int:
+    """Voxel positions of all tiles."""
+    return int(tiles.agg(F.sum((F.col("dz") * F.col("dy") * F.col("dx")).cast("double"))).first()[0] or 0)
+
+
+def tile_grid(tiles: DataFrame, parts: int) -> DataFrame:
+    """Every voxel position of tiles of the extent ``ez, ey, ex``, beside their other columns; lines are spread over ``parts``
+    before the widest expansion."""
+    out = tiles
+    for a in AXES:
+        if a == AXES[-1]:
+            out = out.repartition(parts, *[c for c in ("channel", "tile") if c in tiles.columns], "z", "y")
+        out = out.withColumn(a, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"e{a}").cast("bigint") - 1)))
+    return out.drop(*[f"e{a}" for a in AXES])
 
 
 def feather(pad: int) -> Column:
@@ -226,8 +230,8 @@ def blend(
     """Composite volume of placed tiles: ``[channel,] z, y, x, value``.
 
     One row of scalars per tile is shared; every voxel is then projected to composite
-    coordinates and combined by one partially aggregated shuffle on the position, which is
-    never hot. ``dense`` says that background rows are already present; otherwise they are
+    coordinates and combined by one shuffle on the position, which is never hot; its parts
+    grow in number with the tiles, not in size. ``dense`` says that background rows are already present; otherwise they are
     added to the same aggregation where the method needs them (weights of empty voxels,
     zeros of a later tile).
     """
@@ -237,11 +241,13 @@ def blend(
     placed = place_tiles(tiles)
     if normalize or method == "weighted_average":
         placed = placed.join(tile_quality(tile_stats(voxels, tiles), noise_threshold), keys)
-    rows = voxels.withColumn("present", F.lit(1))
+    parts = parts_for(voxels.sparkSession, dense_size(tiles))
+    rows = voxels.join(placed, keys).withColumn("present", F.lit(1))
     if not dense and method != "max":
-        grid = tile_grid(tiles, keys).withColumns({"value": F.lit(0).cast("bigint"), "present": F.lit(0)})
-        rows = rows.unionByName(grid)
-    rows = rows.join(placed, keys)
+        # Tiles meet their scalars before they are expanded, so background rows need no join.
+        extents = tiles.select(*keys, *[F.col(f"d{a}").alias(f"e{a}") for a in AXES])
+        background = extents.join(placed, keys).withColumns({"value": F.lit(0).cast("bigint"), "present": F.lit(0)})
+        rows = rows.unionByName(tile_grid(background, parts).select(rows.columns))
     if normalize:
         rows = rows.withColumn("value", _normalized(F.col("value")).cast("bigint"))
     if flip_axes:
@@ -249,16 +255,17 @@ def blend(
     if method == "weighted_average":
         rows = rows.withColumn("w", feather(feather_pad) * F.col("weight"))
     rows = rows.withColumns({a: F.col(a) + F.col(f"start_{a}") for a in AXES})
-    grouped = rows.groupBy(*keys[:-1], *AXES)
+    place = [*keys[:-1], *AXES]
     if method == "max":
-        return grouped.agg(F.max("value").alias("value"))
+        return rows.groupBy(*place).agg(F.max("value").alias("value"))
     if method == "overwrite":
-        return grouped.agg(F.max_by("value", F.struct("tile", "present")).alias("value"))
+        # Dealt by position in as many parts as there are voxels for; the aggregation reuses the exchange.
+        dealt = rows.select(*place, "value", "tile", "present").repartition(parts, *place)
+        return dealt.groupBy(*place).agg(F.max_by("value", F.struct("tile", "present")).alias("value"))
     # Background rows carry the weight, stored rows the weighted value, unless rows are dense.
     counted = F.lit(True) if dense else F.col("present") == 0
-    mixed = grouped.agg(
-        F.sum(F.col("w") * F.col("value")).alias("wv"), F.sum(F.when(counted, F.col("w"))).alias("w")
-    )
+    dealt = rows.select(*place, (F.col("w") * F.col("value")).alias("wv"), F.when(counted, F.col("w")).alias("w")).repartition(parts, *place)
+    mixed = dealt.groupBy(*place).agg(F.sum("wv").alias("wv"), F.sum("w").alias("w"))
     mean = F.coalesce(F.try_divide("wv", "w"), F.lit(0.0))
     value = half_even(F.round(F.greatest(F.least(mean, F.lit(float(UINT16_MAX))), F.lit(0.0)), 6))
     return mixed.select(*keys[:-1], *AXES, value.alias("value"))
