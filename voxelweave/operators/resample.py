@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS, half_up
-from voxelweave.functions.sizing import spread
+from voxelweave.functions.sizing import parts_for, spread
 from voxelweave.model import AXES, Shape
 
 FIELD = ("dz", "dy", "dx")
@@ -27,6 +27,7 @@ LINEAR, BSPLINE, CUBIC = "linear", "bspline", "cubic"
 POLE = math.sqrt(3.0) - 2.0
 GAIN = math.sqrt(3.0)
 SPLINE_REACH = 12
+SPACING_CELL = 16  # voxels an axis that are brought together ahead of a change of spacing
 SPLINE_CHUNK, SPLINE_GROUP = 256, 65_536  # outputs along a line, and in all, of one group
 
 
@@ -114,7 +115,13 @@ def resample_spacing(voxels: DataFrame, shape: Shape, original, target) -> DataF
     out = spacing_shape(shape, original, target)
     steps = [b / a for a, b in zip(reversed(original), reversed(target))]
     taps = {a: _taps(a, n, m, float(s), edge=True) for a, n, m, s in zip(AXES, shape, out, steps)}
-    summed = _spread(voxels, taps).groupBy("round", "channel", *AXES).agg(F.sum(F.col("w") * F.col("value")).alias("v"))
+    # Neighbours meet first, so most of an output's parts are added up before they travel; several volumes share the parts.
+    parts, near = parts_for(voxels.sparkSession, 8 * out.size), [f"near_{a}" for a in AXES]
+    cells = voxels.withColumns({k: F.floor(F.col(a) / SPACING_CELL) for k, a in zip(near, AXES)})
+    added = _spread(cells.repartition(parts, "round", "channel", *near), taps)
+    added = added.groupBy("round", "channel", *near, *AXES).agg(F.sum(F.col("w") * F.col("value")).alias("v"))
+    dealt = added.select("round", "channel", *AXES, "v").repartition(parts, "round", "channel", *AXES)
+    summed = dealt.groupBy("round", "channel", *AXES).agg(F.sum("v").alias("v"))
     return summed.withColumn("value", F.floor(F.round("v", DECIMALS)).cast("bigint")).filter("value > 0").drop("v")
 
 
