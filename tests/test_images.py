@@ -126,6 +126,25 @@ def test_parts_of_a_blend_grow_with_the_tiles(spark, monkeypatch, method):
     assert sorted(map(tuple, wide.collect())) == usual
 
 
+def test_parts_grow_with_the_volume(spark, monkeypatch):
+    """Projections, affine and spacing: more parts for more places, the same rows."""
+    array = texture((2, 8, 8))
+    vox, ext = voxels_of(spark, array), shape_of(array)
+    masks = spark.createDataFrame([(1, z, y, 2) for z in (0, 1) for y in (2, 3)], "label bigint, z bigint, y bigint, x bigint")
+    box = spark.createDataFrame([(1, 0, 8, 0, 6)], "label bigint, pmin_y bigint, pmax_y bigint, pmin_x bigint, pmax_x bigint")
+    runs = {
+        "mips": lambda: pr.nucleus_mip(pr.masked_voxels(masks, vox), pr.crop_pixels(box, ["A"])),
+        "affine": lambda: tf.apply_affine(vox, np.eye(4), ext),
+        "spacing": lambda: rs.resample_spacing(vox, ext, (1.0, 1.0, 1.0), (2.0, 2.0, 1.0)),
+    }
+    usual = {name: sorted(map(tuple, run().collect())) for name, run in runs.items()}
+    monkeypatch.setattr("voxelweave.functions.sizing.PART_ROWS", 4)
+    for name, parts in (("mips", 12), ("affine", 256), ("spacing", 64)):
+        out = runs[name]()
+        assert out.rdd.getNumPartitions() == parts, name
+        assert sorted(map(tuple, out.collect())) == usual[name]
+
+
 def test_dense_and_sparse_blends_agree(spark):
     arrays = [texture((3, 8, 9), s) // 20 + 1 for s in range(2)]
     tiles, vox = tile_set(spark, arrays, [(0, 0, 0), (0, 2, 4)])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import clip, f32, f32_divide, truncate
 from voxelweave.functions.histograms import percentiles
+from voxelweave.functions.sizing import parts_for, spread
 from voxelweave.model import DEFAULT_COLOR, DEFAULT_OPACITY, DEFAULT_PERCENTILES, check_percentile_range
 
 
@@ -28,11 +29,14 @@ def crop_pixels(nuclei: DataFrame, channels: list[str]) -> DataFrame:
     Crop rows are spread over the cluster before they are widened to pixels, so one object as
     large as the volume is not expanded by a single task.
     """
-    return (
+    lines = (
         nuclei.select("label", "pmin_y", "pmax_y", "pmin_x", "pmax_x")
         .withColumn("channel", F.explode(F.array(*[F.lit(c) for c in channels])))
         .withColumn("y", F.explode(F.sequence("pmin_y", F.col("pmax_y") - 1)))
-        .repartition("label", "y")
+    )
+    # An explicit number of parts: adaptive execution would put many short lines into one task.
+    return (
+        spread(lines, "label", "y")
         .withColumn("x", F.explode(F.sequence("pmin_x", F.col("pmax_x") - 1)))
         .select("label", "channel", "y", "x", F.lit(0).cast("bigint").alias("value"))
     )
@@ -42,12 +46,13 @@ def nucleus_mip(masked: DataFrame, crops: DataFrame | None = None) -> DataFrame:
     """Maximum over z per (label, channel, y, x).
 
     With ``crops`` (see :func:`crop_pixels`) the result covers the whole padded crop, zero
-    outside the mask; background rows join the same partial aggregation, so there is one
-    shuffle and no outer join.
+    outside the mask; background rows join the same aggregation, so there is one shuffle, in parts
+    that grow in number with the crops, and no outer join.
     """
     pixels = masked.select("label", "channel", "y", "x", "value")
     if crops is not None:
-        pixels = pixels.unionByName(crops)
+        parts = parts_for(masked.sparkSession, crops.count())
+        pixels = pixels.unionByName(crops).repartition(parts, "label", "channel", "y", "x")
     return pixels.groupBy("label", "channel", "y", "x").agg(F.max("value").alias("value"))
 
 
