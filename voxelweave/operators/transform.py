@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS, axis_columns, half_up
 from voxelweave.functions.kernels import decode, encode
-from voxelweave.functions.sizing import settled
+from voxelweave.functions.sizing import parts_for, settled
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, Shape
 from voxelweave.operators.blocks import _columns, block_count, by_group
 
@@ -104,17 +104,17 @@ def apply_transforms(
 ) -> DataFrame:
     """Resample every (round, channel) of ``moving`` onto the output grid in one job.
 
-    The corner table depends on the points only, so all channels share one join with it; the
-    weighted sums are partially combined before the shuffle on the output position.
+    The corner table depends on the points only, so all channels share one join with it. Both the join and the
+    sums are dealt in parts that grow in number with the grid, not in size.
     """
     points = map_points(grid_points(moving.sparkSession, shape, spacing), transforms, spacing)
     corners = _corners(points, spacing, moving_shape or shape).select(*OUT, *[f"c{a}" for a in AXES], "w")
     rows = moving.select("round", "channel", *[F.col(a).alias(f"c{a}") for a in AXES], "value")
-    summed = (
-        corners.join(rows, [f"c{a}" for a in AXES])
-        .groupBy("round", "channel", *OUT)
-        .agg(F.sum(F.col("w") * F.col("value")).alias("v"))
-    )
+    parts, at = parts_for(moving.sparkSession, 8 * shape.size), [f"c{a}" for a in AXES]
+    met = corners.repartition(parts, *at).join(rows.repartition(parts, *at), at)
+    weighted = met.select("round", "channel", *OUT, (F.col("w") * F.col("value")).alias("v"))
+    dealt = weighted.repartition(parts, "round", "channel", *OUT)
+    summed = dealt.groupBy("round", "channel", *OUT).agg(F.sum("v").alias("v"))
     return summed.select(
         "round", "channel", *[F.col(o).alias(a) for a, o in zip(AXES, OUT)], half_up(F.col("v")).alias("value")
     ).filter("value > 0")
