@@ -59,3 +59,23 @@ def test_clustered_rows_compare_few_pairs(spark):
     sizes = cells.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     compared = visits.join(sizes, "cell").agg(F.sum("n")).first()[0]
     assert compared < 0.25 * 200 * 800
+
+
+def test_radius_with_many_points_on_few_places(spark):
+    """Against all pairs; points on one place are dealt in shares, and unknown vectors come first as null distances."""
+    rng = np.random.default_rng(4)
+    rows = [(i, *map(float, rng.integers(0, 3, 3)), rng.integers(0, 3, 4).astype(float).tolist()) for i in range(240)]
+    schema = "id bigint, z double, y double, x double, vec array<double>"
+    sides = [spark.createDataFrame(part, schema) for part in (rows[:120], rows[120:])]
+    got = {tuple(r) for r in mt.match_features(*sides, radius=1.0, chunk_rows=7).collect()}
+
+    def best(one, others):
+        near = [(float(np.round(np.sqrt(((np.array(one[4]) - o[4]) ** 2).sum()), 12)), o[0]) for o in others if sum((p - q) ** 2 for p, q in zip(one[1:4], o[1:4])) <= 1]
+        return min(near, default=None)
+
+    there, back = {r[0]: best(r, rows[120:]) for r in rows[:120]}, {r[0]: best(r, rows[:120]) for r in rows[120:]}
+    want = {(i, m[1]) for i, m in there.items() if m and back[m[1]][1] == i}
+    assert {g[:2] for g in got} == want
+    assert all(abs(g[2] - there[g[0]][0]) < 1e-9 for g in got)
+    odd = [spark.createDataFrame(part, schema) for part in ([(1, 0.0, 0.0, 0.0, [1.0, 2.0])], [(2, 0.0, 0.0, 0.0, None), (4, 0.0, 0.0, 0.0, [1.0, 2.0])])]
+    assert [tuple(r) for r in mt.match_features(*odd, radius=1.0).collect()] == [(1, 2, None)]

@@ -216,26 +216,81 @@ def nearest_rows(queries: DataFrame, rows: DataFrame, chunk_rows: int = CHUNK_RO
     return _best_in_cells(written(open_cells(bounded, cells), "open-cells"), cells, chunk_rows, whole=True)
 
 
-def _nearest_in_radius(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
-    """Best partner within ``radius``: rows meet in grid cells of that size and their neighbours.
-
-    Points of one detector are at least two voxels apart, so a cell holds a bounded number of them.
+def _shared(rows: DataFrame, own: DataFrame, other: DataFrame, keys: list[str], names: tuple[str, str], salt: int) -> DataFrame:
+    """Rows of a cell dealt by hash into shares of its own size, each copied to every share of the other side."""
+    joined = rows.join(own.withColumnRenamed("parts", "mine"), keys).join(other.withColumnRenamed("parts", "theirs"), keys)
+    share = F.pmod(F.xxhash64("id", F.lit(salt)), F.col("mine")).alias(names[0])
+    return joined.select(*rows.columns, share, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("theirs") - 1)).alias(names[1]))
+
+
+def _best_of(near: np.ndarray, u: np.ndarray, v: np.ndarray, ids: np.ndarray, others: np.ndarray, odd: np.ndarray, square: np.ndarray) -> pd.DataFrame:
+    """Nearest other row of each row among the pairs ``near``, ties to the smaller id; an unknown distance comes before all."""
+    unknown = near & odd
+    lost = unknown.any(1)
+    # Candidates by the matrix product, with room for its rounding; their distances again from differences.
+    low = np.where(near, square, np.inf)
+    room = 1e-9 + 1e-12 * ((u * u).sum(1) + (v * v).sum(1).max(initial=0.0))
+    row, col = np.nonzero(near & ~lost[:, None] & ~(low > (low.min(1, initial=np.inf) + room)[:, None]))
+    gap = u[row] - v[col]
+    distance = np.sqrt(np.round((gap * gap).sum(1), 12))
+    order = np.lexsort((others[col], distance, row))
+    first = order[np.unique(row[order], return_index=True)[1]]
+    where = np.flatnonzero(lost)
+    blank = [others[unknown[i]].min() for i in where]
+    return pd.DataFrame({
+        "id": np.concatenate([ids[where], ids[row[first]]]), "other": np.concatenate([np.array(blank, np.int64), others[col[first]]]),
+        "distance": np.concatenate([np.full(len(where), np.nan), distance[first]]), "unknown": np.arange(len(where) + len(first)) < len(where),
+    })
+
+
+def _nearest_in_radius(a: DataFrame, b: DataFrame, radius: float, chunk_rows: int) -> DataFrame:
+    """Best partners within ``radius``, both ways: rows meet in grid cells of that size and their neighbours.
+
+    The rows of a cell are dealt into shares of about ``chunk_rows`` on either side; a pair of shares is one matrix product and gives
+    one row per point, so points that lie close together, or on one place, are never paired in rows.
     """
-    cell = {f"k{x}": F.floor(F.col(x) / F.lit(float(radius))).cast("bigint") for x in AXES}
-    near = a.withColumns(cell)
-    for x in AXES:
-        near = near.withColumn(f"k{x}", F.explode(F.sequence(F.col(f"k{x}") - 1, F.col(f"k{x}") + 1)))
-    keys = list(cell)
-    joined = near.select(*keys, F.col("id").alias("ia"), F.col("vec").alias("va"), *[F.col(x).alias(f"{x}a") for x in AXES]).join(
-        b.withColumns(cell).select(*keys, F.col("id").alias("ib"), F.col("vec").alias("vb"), *[F.col(x).alias(f"{x}b") for x in AXES]), keys
-    )
-    gap = sum((F.pow(F.col(f"{x}a") - F.col(f"{x}b"), 2) for x in AXES), F.lit(0.0))
-    squares = F.zip_with("va", "vb", lambda p, q: (p - q) * (p - q))
-    dist = F.sqrt(F.round(F.aggregate(squares, F.lit(0.0), lambda s, v: s + v), 12))
-    close = joined.filter(gap <= radius * radius).withColumn("distance", dist)
-    return close.select(F.lit("a").alias("side"), F.col("ia").alias("id"), F.col("ib").alias("other"), "distance").unionByName(
-        close.select(F.lit("b").alias("side"), F.col("ib").alias("id"), F.col("ia").alias("other"), "distance")
-    )
+    keys = [f"k{x}" for x in AXES]
+    cell = {k: F.floor(F.col(x) / F.lit(float(radius))).cast("bigint") for k, x in zip(keys, AXES)}
+    whole = (F.col("vec").isNotNull() & F.forall("vec", lambda x: x.isNotNull())).alias("whole")
+    columns = ["id", *[F.col(x).cast("double").alias(x) for x in AXES], F.col("vec").cast("array<double>").alias("vec"), whole]
+    # Written, as both may come from one table and are each read twice.
+    left, right = (written(side.select(*columns, *[c.alias(k) for k, c in cell.items()]), "radius-rows") for side in (a, b))
+    for k in keys:
+        left = left.withColumn(k, F.explode(F.sequence(F.col(k) - 1, F.col(k) + 1)))
+    sizes = [side.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("parts")) for side in (left, right)]
+
+    def best(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"of_a": [], "id": [], "other": [], "distance": [], "unknown": []})
+        if left.empty or right.empty:
+            return empty
+        p, q = left[list(AXES)].to_numpy(), right[list(AXES)].to_numpy()
+        near = sum((p[:, None, i] - q[None, :, i]) ** 2 for i in range(3)) <= radius * radius
+        lengths = [np.array([len(v) if w else -1 for v, w in zip(s["vec"], s["whole"])]) for s in (left, right)]
+        odd = (lengths[0][:, None] != lengths[1][None, :]) | (lengths[0][:, None] < 0)
+        width = max(int(max(n.max() for n in lengths)), 0)
+        u, v = (
+            np.array([np.pad(x, (0, width - n)) if n >= 0 else np.zeros(width) for x, n in zip(s["vec"], m)], np.float64).reshape(len(s), width)
+            for s, m in zip((left, right), lengths)
+        )
+        ids = [s["id"].to_numpy() for s in (left, right)]
+        with np.errstate(all="ignore"):
+            square = (u * u).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2.0 * (u @ v.T)
+            square = np.where(np.isfinite(square), square, 0.0)  # decided by the differences
+            found = [
+                _best_of(near, u, v, *ids, odd, square).assign(of_a=True),
+                _best_of(near.T, v, u, *ids[::-1], odd.T, square.T).assign(of_a=False),
+            ]
+        found = pd.concat([f for f in found if len(f)] or [empty])
+        return found[["of_a", "id", "other", "distance", "unknown"]]
+
+    group = [*keys, "share", "part"]
+    dealt = [
+        _shared(left, sizes[0], sizes[1], keys, ("share", "part"), 1),
+        _shared(right, sizes[1], sizes[0], keys, ("part", "share"), 2),
+    ]
+    sides = [spread(side, *group).groupBy(*group) for side in dealt]
+    found = sides[0].cogroup(sides[1]).applyInPandas(best, "of_a boolean, id bigint, other bigint, distance double, unknown boolean")
+    return found.select(F.when(F.col("of_a"), "a").otherwise("b").alias("side"), "id", "other", F.when(~F.col("unknown"), F.coalesce("distance", F.lit(math.nan))).alias("distance"))
 
 
 def match_features(a: DataFrame, b: DataFrame, radius: float | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -245,7 +300,7 @@ def match_features(a: DataFrame, b: DataFrame, radius: float | None = None, chun
     partners by geometry, otherwise pivots leave out the cells that cannot hold the nearest row.
     """
     if radius:
-        found = _nearest_in_radius(a, b, radius)
+        found = _nearest_in_radius(a, b, radius, chunk_rows)
     else:
         sides = {"a": (a, b), "b": (b, a)}
         near = [nearest_rows(*pair, chunk_rows).select(F.lit(side).alias("side"), "*") for side, pair in sides.items()]
