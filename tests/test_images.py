@@ -126,6 +126,16 @@ def test_parts_of_a_blend_grow_with_the_tiles(spark, monkeypatch, method):
     assert sorted(map(tuple, wide.collect())) == usual
 
 
+def test_crowded_cells_are_dealt_in_shares(spark, monkeypatch):
+    rows = [(t, 0, t * 5 % 13, t * 7 % 17, 2, 9, 9) for t in range(25)]
+    tiles = spark.createDataFrame(rows, "tile bigint, oz bigint, oy bigint, ox bigint, dz bigint, dy bigint, dx bigint")
+    usual, few = tl.overlap_pairs(tiles, 2), tl.overlap_pairs(tiles, 2).rdd.getNumPartitions()
+    monkeypatch.setattr(tl, "SHARE_TILES", 1)
+    dealt = tl.overlap_pairs(tiles, 2)
+    assert dealt.rdd.getNumPartitions() == 5 * int(spark.conf.get("spark.sql.shuffle.partitions")) >= few
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, usual.collect()))
+
+
 def test_parts_grow_with_the_volume(spark, monkeypatch):
     """Projections, affine and spacing: more parts for more places, the same rows."""
     array = texture((2, 8, 8))

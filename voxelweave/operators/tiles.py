@@ -6,6 +6,8 @@ column is optional everywhere and makes each channel an independent mosaic in th
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ LOW_PERCENTILE, HIGH_PERCENTILE = 1.0, 99.9
 EPSILON = 1e-6
 NOISY_SNR = 2.0
 NOMINAL_TILE_WIDTH = 2048
+#: Tiles up to which the pairs of a cell are one task's work.
+SHARE_TILES = 1000
 
 
 def tile_offsets(manifest: DataFrame, overlap: float = 0.05) -> DataFrame:
@@ -43,9 +47,12 @@ def overlap_pairs(tiles: DataFrame, min_overlap: int = 5) -> DataFrame:
     """Pairs ``tile_a < tile_b`` sharing at least ``min_overlap`` pixels on every axis.
 
     Tiles are hashed to the grid cells they touch (cell = largest tile), joined on the cell
-    and kept only in the cell of the overlap's low corner, so each pair appears once.
+    and kept only in the cell of the overlap's low corner, so each pair appears once. One side of a cell is
+    dealt into shares and the other copied to them, more of them the more tiles there are, so that crowded cells are many tasks' work.
     """
-    cell = tiles.agg(*[F.max(f"d{a}") for a in AXES]).first()
+    *cell, n_tiles = tiles.agg(*[F.max(f"d{a}") for a in AXES], F.count(F.lit(1))).first()
+    shares = max(1, math.ceil(math.sqrt(n_tiles / SHARE_TILES)))
+    parts = shares * parts_for(tiles.sparkSession, 0)
     if cell[0] is None:
         cell = (1, 1, 1)
     size = dict(zip(AXES, cell))
@@ -58,10 +65,13 @@ def overlap_pairs(tiles: DataFrame, min_overlap: int = 5) -> DataFrame:
         )
     cols = ["tile", *[f"{p}{a}" for p in "od" for a in AXES]]
 
-    def side(name: str) -> DataFrame:
-        return keyed.select(*[f"c{a}" for a in AXES], *[F.col(c).alias(f"{c}_{name}") for c in cols])
+    def side(name: str, share: Column) -> DataFrame:
+        rows = keyed.select(*[f"c{a}" for a in AXES], share.alias("share"), *[F.col(c).alias(f"{c}_{name}") for c in cols])
+        return rows.repartition(parts, *on)
 
-    joined = side("a").join(side("b"), [f"c{a}" for a in AXES]).filter("tile_a < tile_b")
+    on = [*[f"c{a}" for a in AXES], "share"]
+    own, copies = F.pmod(F.xxhash64("tile"), F.lit(shares)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
+    joined = side("a", own).join(side("b", copies), on).filter("tile_a < tile_b")
     for a in AXES:
         lo = F.greatest(f"o{a}_a", f"o{a}_b")
         hi = F.least(F.col(f"o{a}_a") + F.col(f"d{a}_a"), F.col(f"o{a}_b") + F.col(f"d{a}_b"))
