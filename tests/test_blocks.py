@@ -148,3 +148,41 @@ def test_blends_of_sparse_tiles_equal_the_voxel_form(spark, method):
     expected = tl.blend(vox.drop("channel"), tiles, method, True).where("value > 0")
     key = ["z", "y", "x", "value"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted((r[0], r[1], r[2], int(r[3])) for r in expected.select(*key).collect())
+
+
+def test_groups_that_go_on_over_batches(spark):
+    """Groups longer and shorter than a batch, null keys among them, each seen once and whole."""
+    rows = [(a, i % 5, i) for a in ("O", "F", None) for i in range(23)] + [("X", None, i) for i in range(7)]
+    df = spark.createDataFrame(rows, "name string, part int, value long")
+    wanted = {}
+    for name, part, value in rows:
+        wanted.setdefault((name, part), []).append(value)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        out = bl.by_group(df, ["name", "part"], lambda key, rows: [(*key, len(rows), sum(r.value for r in rows))], "name string, part int, n long, total long")
+        assert "FlatMapGroupsInArrow" not in out._jdf.queryExecution().toString()  # a stream per group
+        found = [tuple(r) for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert sorted(found, key=str) == sorted(((*k, len(v), sum(v)) for k, v in wanted.items()), key=str)
+
+
+def test_blend_makes_the_blocks_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    shape = Shape(4, 8, 8)
+    tiles = spark.createDataFrame([(t, 0, 0, 6 * t, *shape) for t in range(3)], "tile long, oz long, oy long, ox long, dz long, dy long, dx long")
+    rows = [(str(t), "A", z, y, x, 1 + t) for t in range(3) for z in range(4) for y in range(8) for x in range(8)]
+    voxels = spark.createDataFrame(rows, "round string, channel string, z long, y long, x long, value long")
+    block = Shape(4, 4, 8)
+    blocks = bl.to_blocks(voxels, shape, block)
+    blocks = blocks.mapInArrow(counted, blocks.schema)
+    found = bl.to_voxels(tb.blend(blocks, tiles, block, block, "max", normalize=False)).collect()
+    assert {(r.z, r.y, r.x): r.value for r in found} == {(z, y, x): 1 + min(2, x // 6) for z in range(4) for y in range(8) for x in range(20)}
+    assert made.value == 6

@@ -38,23 +38,64 @@ def block_count(shape: Shape, block: Shape) -> Shape:
     return Shape(*(-(-n // b) for n, b in zip(shape, block)))
 
 
-def by_group(df: DataFrame, keys: list[str], kernel: Callable, schema: str) -> DataFrame:
+#: Rows, and bytes of blocks, that a task holds before it hands them on.
+_OUT_ROWS, _OUT_BYTES = 1_000, 8 << 20
+
+
+def _groups(df: DataFrame, keys: list[str], kernel: Callable, schema: str) -> DataFrame:
     """Run ``kernel(key, rows)`` once per group and collect its row tuples (or a pandas frame).
 
-    Groups travel as Arrow tables; a group is a handful of block rows, so turning them into
-    plain objects costs less than a pandas frame per block.
+    Rows meet their group by one shuffle and a sort, and a task walks along the runs of equal keys: an Arrow stream per
+    group would cost more than the work on a small block. A task holds one batch and the group that it ends in.
     """
     arrow = to_arrow_schema(T.DataType.fromDDL(schema))
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        out = kernel(tuple(k.as_py() for k in key), [SimpleNamespace(**r) for r in table.to_pylist()])
+    def finished(key: tuple, parts: list[pa.RecordBatch], ready: list[tuple]) -> Iterator[pa.RecordBatch]:
+        out = kernel(key, parts[0] if len(parts) == 1 else pa.concat_batches(parts))
         if isinstance(out, pd.DataFrame):
-            return pa.Table.from_pandas(out, schema=arrow, preserve_index=False)
-        if not out:
-            return arrow.empty_table()
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+            return
+        ready += out
+        longest = max((len(v) for row in out for v in row if isinstance(v, bytes)), default=0)
+        if len(ready) >= _OUT_ROWS or longest * len(ready) > _OUT_BYTES:
+            yield from handed_on(ready)
+
+    def handed_on(ready: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if ready:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*ready), arrow)], schema=arrow)
+            ready.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, ready = [], None, []  # the group that may go on in the next batch, its key, rows to hand on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = np.zeros(batch.num_rows, bool)
+            fresh[0] = True
+            for k in keys:  # by codes, in which a null is a value as any other
+                codes = batch.column(k).dictionary_encode("encode").indices.to_numpy()
+                fresh[1:] |= codes[1:] != codes[:-1]
+            starts = np.flatnonzero(fresh)
+            names = list(zip(*(batch.column(k).take(pa.array(starts)).to_pylist() for k in keys)))
+            for key, at, end in zip(names, starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+                if held and key != last:
+                    yield from finished(last, held, ready)
+                    held = []
+                held.append(batch.slice(at, end - at))
+                last = key
+        if held:
+            yield from finished(last, held, ready)
+        yield from handed_on(ready)
+
+    return spread(df, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
 
-    return spread(df, *keys).groupBy(*keys).applyInArrow(run, schema)
+def by_group(df: DataFrame, keys: list[str], kernel: Callable, schema: str) -> DataFrame:
+    """Run ``kernel(key, rows)`` once per group and collect its row tuples (or a pandas frame).
+
+    A group is a handful of block rows, so turning them into plain objects costs less than a pandas frame per block.
+    """
+    return _groups(df, keys, lambda key, rows: kernel(key, [SimpleNamespace(**r) for r in rows.to_pylist()]), schema)
 
 
 def with_block_key(voxels: DataFrame, block: Shape) -> DataFrame:
@@ -66,19 +107,16 @@ def with_block_key(voxels: DataFrame, block: Shape) -> DataFrame:
 def to_blocks(voxels: DataFrame, shape: Shape, block: Shape = DEFAULT_BLOCK, dtype: str = "uint16") -> DataFrame:
     """Sparse voxels -> dense blocks; blocks without any stored voxel are omitted (background)."""
 
-    arrow = to_arrow_schema(T.DataType.fromDDL(BLOCK_SCHEMA))
-
-    def scatter(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        key = [k.as_py() for k in key]
+    def scatter(key: tuple, rows: pa.RecordBatch) -> list[tuple]:
         origin = [k * b for k, b in zip(key[2:], block)]
         extent = [min(b, n - o) for b, n, o in zip(block, shape, origin)]
         array = np.zeros(extent, dtype=dtype)
-        array[tuple(rows[a].to_numpy() - o for a, o in zip(AXES, origin))] = rows["value"].to_numpy()
-        out = (*key, *origin, *extent, dtype, encode(array))
-        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(out, arrow)], schema=arrow)
+        at = [rows[a].to_numpy(zero_copy_only=False) - o for a, o in zip(AXES, origin)]
+        array[tuple(at)] = rows["value"].to_numpy(zero_copy_only=False)
+        return [(*key, *origin, *extent, dtype, encode(array))]
 
     keyed = with_block_key(voxels, block).select(*KEY, *AXES, "value")
-    return spread(keyed, *KEY).groupBy(*KEY).applyInArrow(scatter, BLOCK_SCHEMA)
+    return _groups(keyed, KEY, scatter, BLOCK_SCHEMA)
 
 
 def _expand(blocks: DataFrame, dense: bool) -> DataFrame:

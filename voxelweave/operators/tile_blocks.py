@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.functions.columns import DECIMALS
 from voxelweave.functions.kernels import block_range, decode, encode
+from voxelweave.functions.sizing import written
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, UINT16_MAX, Shape
 from voxelweave.operators import tiles as tl
 from voxelweave.operators.block_objects import map_blocks
@@ -81,7 +82,8 @@ def blend(
     if method not in tl.BLEND_METHODS:
         raise ValueError(f"unknown blend method {method!r}; expected one of {tl.BLEND_METHODS}")
     placed = tl.place_tiles(tiles).select("tile", *[f"start_{a}" for a in AXES], *[F.col(f"d{a}").alias(f"d{a}") for a in AXES])
-    blocks = dense_blocks(blocks, tiles, tile_block)
+    # Written: channels, zeros, statistics and parts all start from the blocks.
+    blocks = written(dense_blocks(written(blocks, "tile-blocks"), tiles, tile_block), "dense-tile-blocks")
     placed = placed.join(tl.tile_quality(tile_stats(blocks), noise_threshold), "tile")
     extent = tl.mosaic_extent(tiles).first()
     shape = Shape(*(int(extent[f"n{a}"]) for a in AXES))
