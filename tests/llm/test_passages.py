@@ -110,6 +110,37 @@ def test_runs_whose_parts_have_lower_holders(spark):
     assert {r["doc_id"] for r in rows} == {w[0] for w in want} | {501}
 
 
+def test_near_passages_whose_parts_have_lower_holders(spark):
+    """Documents 3 and 4 of each case share 70 words but for three; 1 and 2 have parts of it, each below 50 words."""
+    docs, want = [], set()
+    for case in range(20):
+        run, base = words(70, 20_000 + case), 10 * case
+        near = [f"edit{case}x{i}" if i in (10, 35, 60) else w for i, w in enumerate(run)]
+        parts = [near[:38], near[32:], run, near]
+        docs += [(base + i + 1, words(20, 30_000 + base + i) + p + words(20, 40_000 + base + i)) for i, p in enumerate(parts)]
+        want.add((base + 4, base + 3))
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in docs], "doc_id long, text string")
+    rows = passages.repeated_passages(df).collect()
+    assert {(r["doc_id"], r["source_id"]) for r in rows} == want
+    assert all(r["start_word"] <= 31 and r["end_word"] >= 79 and r["similarity"] >= 0.8 for r in rows)
+    spans = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in passages.repeated_spans(df).collect()}
+    assert {i for i, _ in want} == set(spans)
+
+
+def test_a_monotonous_text_meets_its_source_once_a_gram(spark):
+    """Runs of one repeated word and of a repeated pair of words, in a document whose parts other documents hold."""
+    line = words(9, 1)
+    texts = [["one"] * 60 + line, line * 8, words(30, 2) + ["one"] * 90 + line * 12 + words(30, 3)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = set()
+    for r in passages.repeated_passages(df).collect():
+        if r["similarity"] == 1.0:
+            assert texts[r["doc_id"]][r["start_word"] : r["end_word"]] == texts[r["source_id"]][r["source_start"] : r["source_end"]]
+        if r["doc_id"] == 2:
+            found |= set(range(r["start_word"], r["end_word"]))
+    assert set(range(30, 120)) <= found and set(range(120, 228)) <= found
+
+
 def test_query_finds_every_word_of_exact_runs(spark, sf_dir, corpus):
     rows = all_queries()["op8_passages"](spark, sf_dir).collect()
     found = {(r["doc_id"], p) for r in rows for p in range(r["start_word"], r["end_word"])}

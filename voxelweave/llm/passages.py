@@ -6,7 +6,8 @@ lowest document id, so the number of matches is linear in the text however many
 documents the matches are chained: a Fenwick tree over target positions gives each match its best predecessor under linear gap
 costs. Chains are then aligned word by word, along the diagonal and by longest common subsequence where it shifts,
 and stretches of at least ``min_words`` words that agree in ``similarity`` or more are passages. As the lowest holders of single
-seeds may each have a part of a run only, runs of ``min_words`` words that are still uncovered are then looked up as a whole.
+seeds may each have a part of a run only, runs of ``min_words`` words that are still uncovered are then looked up as a whole, and
+pairs of seeds that no passage covers meet the lowest document that has both, so near passages are chained with that one as well.
 
 Seeds shared by very many documents are combined before the shuffle, and joins meet one row per seed, which adaptive
 execution can split. Text is shuffled once, to cut out the words around chains; the same cut for many pairs is made once.
@@ -15,12 +16,13 @@ execution can split. Text is shuffled once, to cut out the words around chains;
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelweave.llm.common import scratch, unused, written
@@ -30,7 +32,10 @@ MIN_WORDS, SIMILARITY = 50, 0.8
 GAP_COST = 0.03  # per word skipped on either side; a match is worth its K words
 MARGIN = 40  # words looked at beyond the ends of a chain
 REACH = WINDOW + K - 1  # a run of so many words shares a seed
+FAR = int(K / GAP_COST) + K + 1  # neighbours in a chain are less words apart
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PASSAGE = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
+PASSAGE_NAMES = [c.split()[0] for c in _PASSAGE.split(", ")]
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -259,8 +264,6 @@ def stretches(match: np.ndarray, similarity: float, least: int) -> list[tuple[in
 
 
 def _align_task(similarity: float, min_words: int):
-    names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "similarity"]
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -278,7 +281,7 @@ def _align_task(similarity: float, min_words: int):
                         out.append((r["doc"], *spans, share))
             if out:
                 kinds = [pa.int64()] * 6 + [pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=PASSAGE_NAMES)
 
     return task
 
@@ -342,7 +345,8 @@ def _stretch_task(min_words: int):
 
 
 def _gram_task(min_words: int):
-    """128-bit hashes of all ``min_words`` neighbouring words of the stretches ``[lo, hi)``, and whether a span covers them."""
+    """128-bit hashes of all ``min_words`` neighbouring words of the stretches ``[lo, hi)``, each once, with its first place and
+    the places that no span covers."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hashes = None, np.empty(0, np.uint64)
@@ -359,10 +363,16 @@ def _gram_task(min_words: int):
                     covered = np.zeros(n, bool)
                     for span in spans:
                         covered[max(0, span["start"] - lo) : max(0, span["end"] - lo - min_words + 1)] = True
-                    arrays = [np.ascontiguousarray(pair[:, 0]), np.ascontiguousarray(pair[:, 1])]
-                    arrays += [np.full(n, doc, np.int64), np.arange(lo, lo + n, dtype=np.int32), covered]
-                    names = ["gram", "more", "doc", "pos", "covered"]
-                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
+                    firsts, places = {}, {}
+                    for i, gram in enumerate(grams):
+                        firsts.setdefault(gram, i)
+                        if not covered[i]:
+                            places.setdefault(gram, []).append(lo + i)
+                    at = np.array(list(firsts.values()))
+                    arrays = [np.ascontiguousarray(pair[at, 0]), np.ascontiguousarray(pair[at, 1])]
+                    arrays = [pa.array(a) for a in (*arrays, np.full(len(at), doc, np.int64), (lo + at).astype(np.int32))]
+                    arrays.append(pa.array([places.get(gram, []) for gram in firsts], pa.list_(pa.int32())))
+                    yield pa.RecordBatch.from_arrays(arrays, names=["gram", "more", "doc", "pos", "places"])
 
     return task
 
@@ -382,27 +392,113 @@ def _exact_runs(rows: DataFrame, found: DataFrame, passages: DataFrame, min_word
     again = found.join(wanted, "seed", "left_semi").groupBy("doc").agg(spots).join(spans, "doc", "left")
     again = again.select("doc", "spots", "spans").mapInArrow(_stretch_task(min_words), f"doc long, lo int, hi int, spans {SPANS}")
     cut = rows.join(written(again, "open-stretches"), "doc").select("doc", "lo", "hi", "spans", "text")
-    grams = cut.mapInArrow(_gram_task(min_words), "gram long, more long, doc long, pos int, covered boolean")
+    grams = cut.mapInArrow(_gram_task(min_words), "gram long, more long, doc long, pos int, places array<int>")
     grams = written(grams, "grams")
     lowest = grams.groupBy("gram", "more").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max("doc").alias("last"))
     lowest = written(lowest.where("low.doc < last").select("gram", "more", "low"), "repeated-grams")
-    met = grams.where("not covered").join(lowest, ["gram", "more"]).where("doc > low.doc")
-    met = met.select("doc", F.col("low.doc").alias("source"), "pos", F.col("low.pos").alias("target")).distinct()
-    # Neighbouring runs with one source merge; each is a group of the pair's positions less their rank.
-    lane = (F.col("pos") - F.col("target")).alias("lane")
-    by_pair = Window.partitionBy("doc", "source", "lane").orderBy("pos")
-    ranked = met.select("*", lane).withColumn("start", F.col("pos") - F.row_number().over(by_pair))
-    runs = ranked.groupBy("doc", "source", "lane", "start").agg(F.min("pos").alias("pos"), F.max("pos").alias("end"))
-    low, high = F.col("pos").cast("long"), (F.col("end") + min_words).cast("long")
-    return runs.select(
-        F.col("doc").alias("doc_id"),
-        low.alias("start_word"),
-        high.alias("end_word"),
-        F.col("source").alias("source_id"),
-        (low - F.col("lane")).alias("source_start"),
-        (high - F.col("lane")).alias("source_end"),
-        F.lit(1.0).alias("similarity"),
-    )
+    met = grams.where("size(places) > 0").join(lowest, ["gram", "more"]).where("doc > low.doc")
+    place = F.struct("places", F.col("low.pos").alias("target"))
+    met = met.groupBy("doc", F.col("low.doc").alias("source")).agg(F.collect_list(place).alias("met"))
+    return met.mapInArrow(_run_task(min_words), _PASSAGE)
+
+
+def _run_task(min_words: int):
+    """Runs of grams that a pair of documents shares: neighbouring places as far apart in both are one run."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                lanes = sorted({(pos - m["target"], pos) for m in r["met"] for pos in m["places"]})
+                at = 0
+                for i, (lane, pos) in enumerate(lanes):
+                    if i + 1 == len(lanes) or lanes[i + 1] != (lane, pos + 1):
+                        start, end = lanes[at][1], pos + min_words
+                        out.append((r["doc"], start, end, r["source"], start - lane, end - lane, 1.0))
+                        at = i + 1
+            columns = list(zip(*out)) or [[]] * 7
+            kinds = [pa.int64()] * 6 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=PASSAGE_NAMES)
+
+    return task
+
+
+def seed_pairs(pos: list[int], least: int) -> Iterator[tuple[int, int]]:
+    """Index pairs of sorted positions that can be the first and a later seed of a chain: ``least`` words apart and not too far."""
+    for i, p in enumerate(pos):
+        for j in range(bisect_left(pos, p + least, i), bisect_left(pos, p + least + FAR, i)):
+            yield i, j
+
+
+def _key(a: int, b: int) -> int:
+    return xxhash.xxh3_64_intdigest(a.to_bytes(8, "little", signed=True) + b.to_bytes(8, "little", signed=True)) - (1 << 63)
+
+
+def _pair_task(least: int, untried: bool):
+    """Pairs of seeds of each document; with ``untried`` those that no passage has whole and that may have a lower holder left."""
+    names = ["key", "tried", "a", "b", "doc", "pos", "end"]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                spots = sorted((s["pos"], s["seed"], s["source"], s["n"]) for s in r["spots"])
+                starts, ends = [], []  # the furthest end of all spans up to a start
+                for span in sorted((s["start"], s["end"]) for s in r["spans"] or []):
+                    starts.append(span[0])
+                    ends.append(max(span[1], ends[-1] if ends else 0))
+                seen = set()  # a seed meets the next one of each kind; as a holder the document gives the first place of a pair
+                for i, j in seed_pairs([s[0] for s in spots], least):
+                    (p, a, a_source, a_n), (q, b, b_source, b_n) = spots[i], spots[j]
+                    kind = (p, a, b) if untried else (a, b)
+                    if kind in seen:
+                        continue
+                    seen.add(kind)
+                    if untried:
+                        # Of a seed with two holders the other one is its source; it has met the seeds it is the source of.
+                        if a_n == 2 and a_source <= b_source or b_n == 2 and b_source <= a_source:
+                            continue
+                        if r["doc"] in (a_source, b_source):
+                            continue
+                        at = bisect_right(starts, p)
+                        if at and ends[at - 1] >= q + K:
+                            continue
+                    # The first round has compared it with a common source; no document below either source has both.
+                    tried = a_source if a_source == b_source else max(a_source, b_source) - 1
+                    out.append((_key(a, b), tried, a, b, r["doc"], p, q))
+            columns = list(zip(*out)) or [[]] * 7
+            kinds = [pa.int64()] * 5 + [pa.int32()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+    return task
+
+
+def _further_passages(rows: DataFrame, found: DataFrame, passages: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """``passages`` and those of the pairs of seeds that they leave uncovered, with the lowest document that has both seeds.
+
+    A near passage that the lowest holders of its seeds have in parts only has such a pair, as its chain has seeds
+    ``_least_span`` words apart. Where the lowest holder of every pair has a part only as well, the passage is still missed.
+    """
+    least = _least_span(min_words) - K
+    schema = "key long, tried long, a long, b long, doc long, pos int, end int"
+    spot = F.collect_list(F.struct("pos", "seed", "source", "n")).alias("spots")
+    span = F.struct(F.col("start_word").alias("start"), F.col("end_word").alias("end"))
+
+    spans = written(passages.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(span).alias("spans")), "document-spans")
+    held = found.groupBy("doc").agg(spot).join(spans, "doc", "left").select("doc", "spots", "spans")
+    untried = written(held.mapInArrow(_pair_task(least, True), schema), "untried-pairs")
+    seeds = written(untried.select(F.col("a").alias("seed")).union(untried.select("b")).distinct(), "untried-seeds")
+    spots = found.join(seeds, "seed", "left_semi").groupBy("doc").agg(spot).select("doc", "spots", F.lit(None).cast(SPANS).alias("spans"))
+    holders = spots.mapInArrow(_pair_task(least, False), schema).where("doc > tried")
+    place = F.struct(F.col("doc").alias("source"), F.col("pos").alias("target"), F.col("end").alias("upto"))
+    lowest = holders.groupBy("key").agg(F.min(place).alias("low")).select("key", "low.*")
+    pairs = untried.join(written(lowest, "lowest-holders"), "key").where("source < doc")
+    pairs = written(pairs.select("doc", "source", "pos", "target", "end", "upto"), "pairs-met")
+    matches = pairs.select("doc", "source", "pos", "target").union(pairs.select("doc", "source", "end", "upto")).distinct()
+    more = _aligned(rows, matches, min_words, similarity).join(spans.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
+    # A passage inside another one of its document does not have the pair of seeds.
+    inside = F.exists("spans", lambda x: (x["start"] <= F.col("start_word")) & (x["end"] >= F.col("end_word")))
+    return passages.union(more.where(~F.coalesce(inside, F.lit(False))).select(*PASSAGE_NAMES)).distinct()
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -430,8 +526,8 @@ def repeated_passages(
     ``doc_id, text_hash`` (``xxhash64`` of the text), ``start_word, end_word`` (words between ASCII white space, end excluded),
     ``source_id, source_start, source_end`` and ``similarity``: matching words over the words of the longer side. Both sides have ``min_words`` words or more. For near
     passages a document is compared with the lowest id that shares a seed, so of many copies each is linked to the first. Equal
-    runs that these leave uncovered are found whole, whoever holds their seeds (``min_words`` of ``REACH`` or more). Repeats
-    inside one document are not reported. Rows with a null id or text take no part, nor do texts below ``K`` words; repeated rows of
+    runs that these leave uncovered are found whole, whoever holds their seeds (``min_words`` of ``REACH`` or more), and pairs of
+    seeds that lie in no passage are compared with the lowest id that has both. Repeats inside one document are not reported. Rows with a null id or text take no part, nor do texts below ``K`` words; repeated rows of
     one id count once, and each different text of an id is a document of its own (the one of lowest hash in the place of its
     id, the others before all ids, by hash); an empty table gives an empty result; other columns are ignored.
     """
@@ -441,7 +537,7 @@ def repeated_passages(
     named = found.join(names, F.col("doc_id") == F.col("doc")).drop("doc", "doc_id").withColumnRenamed("id", "doc_id")
     sources = names.select(F.col("doc").alias("source_id"), F.col("id").alias("source"))
     named = named.join(sources, "source_id").drop("source_id").withColumnRenamed("source", "source_id")
-    return named.select("doc_id", "text_hash", *_PASSAGE.replace(" long", "").replace(" double", "").split(", ")[1:])
+    return named.select("doc_id", "text_hash", *PASSAGE_NAMES[1:])
 
 
 def repeated_spans(
@@ -462,28 +558,36 @@ def repeated_spans(
     return spans.join(_names(whole), "doc").select(F.col("id").alias("doc_id"), "text_hash", "spans")
 
 
-_PASSAGE = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
-
-
 def _names(whole: DataFrame) -> DataFrame:
     return written(whole.select("doc", F.col("doc_id").alias("id"), "text_hash").distinct(), "document-names")
 
 
+def _least_span(min_words: int) -> int:
+    """Words from the first to the last seed of an equal run of ``min_words``."""
+    return max(K, min_words - 2 * (WINDOW + K - 2))
+
+
 def _numbered_passages(whole: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """Passages of :func:`repeated_passages` whose ids are the numbers of :func:`_documents`."""
     rows = whole.select("doc", "text")
     with scratch(whole.sparkSession) as keep:  # the seeds of all words go once the shared ones are stored
         seeds = written(rows.mapInArrow(_seed_task, "seed long, doc long, pos int, reach int"), "seeds")
-        firsts = seeds.groupBy("seed").agg(F.min("doc").alias("source"), F.max("doc").alias("last"))
+        firsts = seeds.groupBy("seed").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
         # Written, as is what the next join meets, so that these joins shuffle both sides and a very common seed can be split.
-        shared = written(firsts.where("source < last").select("seed", "source"), "repeated-seeds")
+        shared = written(firsts.where("source < last").select("seed", "source", "n"), "repeated-seeds")
         found = keep(seeds.join(shared, "seed"), "shared-seeds")
     targets = written(found.where("doc = source").groupBy("seed").agg(F.min("pos").alias("target")), "seed-targets")
     matches = found.where("doc <> source").join(targets, "seed").select("doc", "source", "pos", "target").distinct()
+    near = _aligned(rows, matches, min_words, similarity)
+    passages = written(near.unionByName(_exact_runs(rows, found, near, min_words)), "first-passages")
+    return written(_further_passages(rows, found, passages, min_words, similarity), "numbered-passages")
+
+
+def _aligned(rows: DataFrame, matches: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """Passages along the chains of ``matches (doc, source, pos, target)``."""
     dealt = matches.repartition("doc", "source").sortWithinPartitions("doc", "source", "pos", "target")
-    least_span = max(K, min_words - 2 * (WINDOW + K - 2))
     schema = "doc long, source long, pos array<int>, target array<int>"
-    chains = dealt.mapInArrow(_chain_task(least_span), schema)
+    chains = dealt.mapInArrow(_chain_task(_least_span(min_words)), schema)
 
     def bounds(column: str, side: str) -> list:
         low = F.greatest(F.lit(0), F.col(column)[0] - MARGIN).alias(f"{side}_lo")
@@ -498,8 +602,7 @@ def _numbered_passages(whole: DataFrame, min_words: int, similarity: float) -> D
     for side, key in (("a", "doc"), ("b", "source")):
         cut = words.toDF(key, f"{side}_lo", f"{side}_hi", f"{side}_words")
         chains = chains.join(cut, [key, f"{side}_lo", f"{side}_hi"])
-    near = written(chains.mapInArrow(_align_task(similarity, min_words), _PASSAGE).distinct(), "near-passages")
-    return written(near.unionByName(_exact_runs(rows, found, near, min_words)), "numbered-passages")
+    return written(chains.mapInArrow(_align_task(similarity, min_words), _PASSAGE).distinct(), "near-passages")
 
 
 def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
