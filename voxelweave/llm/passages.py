@@ -16,7 +16,6 @@ execution can split. Text is shuffled once, to cut out the words around chains;
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -423,52 +422,52 @@ def _run_task(min_words: int):
     return task
 
 
-def seed_pairs(pos: list[int], least: int) -> Iterator[tuple[int, int]]:
-    """Index pairs of sorted positions that can be the first and a later seed of a chain: ``least`` words apart and not too far."""
-    for i, p in enumerate(pos):
-        for j in range(bisect_left(pos, p + least, i), bisect_left(pos, p + least + FAR, i)):
-            yield i, j
-
-
-def _key(a: int, b: int) -> int:
-    return xxhash.xxh3_64_intdigest(a.to_bytes(8, "little", signed=True) + b.to_bytes(8, "little", signed=True)) - (1 << 63)
+def _pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x, y = a.view(np.uint64), b.view(np.uint64)
+    mixed = (x ^ (x >> np.uint64(29))) * _MIX + y
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
+    return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
 
 def _pair_task(least: int, untried: bool):
-    """Pairs of seeds of each document; with ``untried`` those that no passage has whole and that may have a lower holder left."""
+    """Pairs of seeds of each document that can be the first and a later seed of a chain, by first place.
+
+    With ``untried`` those, at each place of the first seed, that no passage has whole and that may have a lower holder left.
+    """
     names = ["key", "tried", "a", "b", "doc", "pos", "end"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                spots = sorted((s["pos"], s["seed"], s["source"], s["n"]) for s in r["spots"])
-                starts, ends = [], []  # the furthest end of all spans up to a start
-                for span in sorted((s["start"], s["end"]) for s in r["spans"] or []):
-                    starts.append(span[0])
-                    ends.append(max(span[1], ends[-1] if ends else 0))
-                seen = set()  # a seed meets the next one of each kind; as a holder the document gives the first place of a pair
-                for i, j in seed_pairs([s[0] for s in spots], least):
-                    (p, a, a_source, a_n), (q, b, b_source, b_n) = spots[i], spots[j]
-                    kind = (p, a, b) if untried else (a, b)
-                    if kind in seen:
-                        continue
-                    seen.add(kind)
-                    if untried:
-                        # Of a seed with two holders the other one is its source; it has met the seeds it is the source of.
-                        if a_n == 2 and a_source <= b_source or b_n == 2 and b_source <= a_source:
-                            continue
-                        if r["doc"] in (a_source, b_source):
-                            continue
-                        at = bisect_right(starts, p)
-                        if at and ends[at - 1] >= q + K:
-                            continue
-                    # The first round has compared it with a common source; no document below either source has both.
-                    tried = a_source if a_source == b_source else max(a_source, b_source) - 1
-                    out.append((_key(a, b), tried, a, b, r["doc"], p, q))
-            columns = list(zip(*out)) or [[]] * 7
-            kinds = [pa.int64()] * 5 + [pa.int32()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+            docs = batch.column(0).to_numpy()
+            spots, spans = batch.column(1), batch.column(2)
+            columns = [spots.values.field(c).to_numpy() for c in ("pos", "seed", "source", "n")]
+            limits = [spans.values.field(c).to_numpy() for c in ("start", "end")]
+            upto, until = spots.offsets.to_numpy(), spans.offsets.to_numpy()
+            for row, doc in enumerate(docs):
+                order = np.lexsort([c[upto[row] : upto[row + 1]] for c in columns[1::-1]])
+                pos, seed, source, n = (c[upto[row] : upto[row + 1]][order] for c in columns)
+                low, high = np.searchsorted(pos, pos + least), np.searchsorted(pos, pos + least + FAR)
+                i = np.repeat(np.arange(len(pos)), high - low)
+                j = np.arange(len(i)) - np.repeat(np.cumsum(high - low) - high, high - low)
+                if untried:
+                    # Of a seed with two holders the other one is its source; it has met the seeds it is the source of.
+                    met = (n[i] == 2) & (source[i] <= source[j]) | (n[j] == 2) & (source[j] <= source[i])
+                    met |= (source[i] == doc) | (source[j] == doc)
+                    if until[row + 1] > until[row]:
+                        start, end = (c[until[row] : until[row + 1]] for c in limits)
+                        by_start = np.argsort(start, kind="stable")
+                        furthest = np.concatenate([[-1], np.maximum.accumulate(end[by_start])])
+                        met |= furthest[np.searchsorted(start[by_start], pos[i], "right")] >= pos[j] + K
+                    i, j = i[~met], j[~met]
+                if not len(i):
+                    continue
+                keys = _pair_keys(seed[i], seed[j])
+                _, first = np.unique(keys ^ (pos[i].astype(np.uint64) * _MIX).view(np.int64) if untried else keys, return_index=True)
+                i, j, keys = i[first], j[first], keys[first]
+                # The first round has compared it with a common source; no document below either source has both.
+                tried = np.maximum(source[i], source[j]) - (source[i] != source[j])
+                found = [keys, tried, seed[i], seed[j], np.full(len(i), doc), pos[i], pos[j]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=names)
 
     return task
 
