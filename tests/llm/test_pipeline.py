@@ -98,6 +98,20 @@ def test_long_runs_are_dealt_in_blocks(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept) == sorted(first_ids(rows))
 
 
+def test_near_duplicates_come_by_fingerprints(spark, monkeypatch):
+    """Without any common band, the fingerprints alone find a near copy; pairs of fingerprints pass the exact check as well."""
+    sharing = jaccard._sharing
+    monkeypatch.setattr(jaccard, "_sharing", lambda sketched: sharing(sketched).limit(0))
+    base = [f"w{i}" for i in range(2000)]
+    texts = [base, [*base[:200], "other", *base[201:]], [f"v{i}" for i in range(400)]]
+    schema = table(spark, "/root/testdata/sf0.001", "documents").schema
+    docs = spark.createDataFrame([(i + 1, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], schema)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()) == [1, 3]
+    nodes = [r["node"] for r in docs.orderBy("doc_id").select(F.xxhash64("text").alias("node")).collect()]
+    monkeypatch.setattr(jaccard, "_marked_alike", lambda texts: spark.createDataFrame([(nodes[0], nodes[2])], "a long, b long"))
+    assert corpus_pipeline.near_dedup(spark, docs, "").count() == 3
+
+
 def test_scratch_tables_go(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").where("doc_id < 40")
     with scratch(spark) as keep:
