@@ -40,6 +40,19 @@ def test_copies_do_not_make_one_group(spark):
     check(spark, np.concatenate([np.ones((40, 4)), rng.normal(size=(40, 4))]), rows, 10)
 
 
+def test_bundles_of_cells_and_shares_of_large_ones(spark, monkeypatch):
+    """Vectors go to bundles of cells, of which there are few; cells beyond a share are dealt, with the same rows."""
+    rng = np.random.default_rng(9)
+    rows = np.concatenate([rng.normal(size=(300, 16)), np.ones((90, 16))])
+    queries = np.concatenate([rng.normal(size=(60, 16)), np.ones((30, 16))])
+    cells = mt.metric_cells(frame(spark, rows), 5)
+    bound = spark.createDataFrame([(i, 1e6) for i in range(90)], "id bigint, bound double")
+    assert len(cells.table) > 30 and mt._visits(frame(spark, queries).join(bound, "id"), cells).count() == 90
+    monkeypatch.setattr(mt, "SHARE_ROWS", 40)
+    assert mt._bundles(cells).max() < 20
+    check(spark, queries, rows, 5)
+
+
 def test_empty_sides(spark):
     some, none = frame(spark, np.eye(3)), frame(spark, [])
     assert mt.nearest_rows(some, none).collect() == [] and mt.nearest_rows(none, some).collect() == []

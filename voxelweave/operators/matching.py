@@ -18,8 +18,12 @@ from voxelweave.model import AXES, Shape
 from voxelweave.operators.blocks import neighbourhood
 
 CHUNK_ROWS = 2000
-#: Pivots and rings around each of them at most; larger tables have larger cells, which are dealt in shares.
+#: Pivots and rings around each of them at most; larger tables have larger cells.
 PIVOTS, RINGS = 128, 16
+#: Rows of either side that a task compares, about; neighbouring cells go to it together, larger ones are dealt in shares.
+SHARE_ROWS = 16_384
+#: Bounds or distances that a task holds at once.
+_HELD = 1 << 20
 
 
 def blob_sigmas(sizes) -> tuple[float, float]:
@@ -136,43 +140,113 @@ def _least(vectors: np.ndarray, pivots: np.ndarray, table: np.ndarray) -> np.nda
     return np.maximum(np.maximum(ring, (at - gaps.min(1)[:, None]) / 2), 0.0)
 
 
+def _bundles(cells: Cells) -> np.ndarray:
+    """Number of the bundle of each line of the table: cells in order, as many as hold ``SHARE_ROWS`` rows together."""
+    out, held = [], 0
+    for n in cells.table[:, 3]:
+        if out and held + n <= SHARE_ROWS:
+            held += n
+            out.append(out[-1])
+        else:
+            held = n
+            out.append(out[-1] + 1 if out else 0)
+    return np.array(out, dtype=np.int32)
+
+
+def _visits(queries: DataFrame, cells: Cells) -> DataFrame:
+    """``id, vec, bundle, cells``: as :func:`open_cells`, a row per bundle, so a vector is copied for bundles and not for cells."""
+    bounded, pivots, table, bundles = "bound" in queries.columns, cells.pivots, cells.table, _bundles(cells)
+    names = table[:, 0].astype(np.int32)
+    spans = [(int(b), *np.searchsorted(bundles, [b, b + 1]).tolist()) for b in np.unique(bundles)]
+    step = max(1, _HELD // len(table))
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in frames:
+            for at in range(0, len(whole), step):
+                frame = whole[at : at + step]
+                vectors = _matrix(frame["vec"])
+                least = _least(vectors, pivots, table)
+                if bounded:
+                    # Room for the rounding of distances that come from a matrix product.
+                    bound = frame["bound"].to_numpy()
+                    room = 1e-6 * (1.0 + 2.0 * np.sqrt((vectors * vectors).sum(1)) + bound)
+                    chosen = least <= (bound + room)[:, None]
+                else:
+                    chosen = np.zeros(least.shape, bool)
+                    chosen[np.arange(len(least)), least.argmin(1)] = True
+                for bundle, start, end in spans:
+                    part = chosen[:, start:end]
+                    rows = part.any(1)
+                    if rows.any():
+                        yield frame.loc[rows, ["id", "vec"]].assign(bundle=np.int32(bundle), cells=[names[start:end][c] for c in part[rows]])
+
+    return queries.mapInPandas(choose, "id bigint, vec array<double>, bundle int, cells array<int>")
+
+
 def open_cells(queries: DataFrame, cells: Cells) -> DataFrame:
     """``id, vec, cell``: the cells that may hold a row as near as ``bound``; without that column the most promising one."""
-    bounded, pivots, table = "bound" in queries.columns, cells.pivots, cells.table
+    return _visits(queries, cells).select("id", "vec", F.explode("cells").alias("cell"))
 
-    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = table[:, 0].astype(np.int32)
-        for frame in frames:
-            if not len(frame):
-                continue
-            vectors = _matrix(frame["vec"])
-            least = _least(vectors, pivots, table)
-            if bounded:
-                # Room for the rounding of distances that come from a matrix product.
-                bound = frame["bound"].to_numpy()
-                room = 1e-6 * (1.0 + 2.0 * np.sqrt((vectors * vectors).sum(1)) + bound)
-                chosen = [names[row] for row in least <= (bound + room)[:, None]]
-            else:
-                chosen = list(names[least.argmin(1)][:, None])
-            yield frame[["id", "vec"]].assign(cells=chosen)
-
-    found = queries.mapInPandas(choose, "id bigint, vec array<double>, cells array<int>")
-    return found.select("id", "vec", F.explode("cells").alias("cell"))
-
-
-def _best_in_cells(visits: DataFrame, cells: Cells, chunk_rows: int, whole: bool) -> DataFrame:
-    """Nearest row of each visited cell, ``id, other, distance``; of one part of the cell unless ``whole``.
-
-    Rows of a cell and its visitors are both dealt by hash into shares of about ``chunk_rows``; a pair of shares is one matrix product, so no
-    pair of rows is ever emitted and no group outgrows its share, however many rows are alike.
+
+def _nearest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distance and place of the nearest of ``v`` to each of ``u``, the first one on ties."""
+    square = (u * u).sum(1)[:, None] + (v * v).sum(1)[None, :]
+    product = u @ v.T
+    product *= 2.0
+    square -= product
+    low = square.min(1)
+    if np.isnan(low).any():
+        dist = np.sqrt(np.maximum(np.round(square, 12), 0.0))
+        at = dist.argmin(1)
+        return dist[np.arange(len(at)), at], at
+    # Rounded distances can agree within this room only.
+    row, col = np.nonzero(square <= (low + 1e-11 + 1e-14 * np.abs(low))[:, None])
+    dist = np.sqrt(np.maximum(np.round(square[row, col], 12), 0.0))
+    order = np.lexsort((col, dist, row))
+    first = order[np.unique(row[order], return_index=True)[1]]
+    return dist[first], col[first]
+
+
+def _best_of_cells(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Nearest row of the cells that each visitor names, ties to the smaller id."""
+    if left.empty or right.empty:
+        return pd.DataFrame(columns=["id", "other", "distance"])
+    right = right.sort_values(["cell", "id"])
+    u, v, ids, held = _matrix(left["vec"]), _matrix(right["vec"]), right["id"].to_numpy(), right["cell"].to_numpy()
+    visited = np.concatenate(left["cells"].to_numpy())
+    visitor = np.repeat(np.arange(len(left)), left["cells"].map(len))
+    order = np.argsort(visited, kind="stable")
+    visited, visitor = visited[order], visitor[order]
+    met, other, distance = np.zeros(len(left), bool), np.zeros(len(left), np.int64), np.full(len(left), np.nan)
+    starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+    for s, e in zip(starts, [*starts[1:], len(held)]):
+        mine = visitor[slice(*np.searchsorted(visited, [held[s], held[s] + 1]))]
+        step = max(1, _HELD // (e - s))
+        for k in range(0, len(mine), step):
+            rows = mine[k : k + step]
+            gap, at = _nearest(u[rows], v[s:e])
+            name, old = ids[s:e][at], distance[rows]
+            alike = (gap == old) | (np.isnan(gap) & np.isnan(old))
+            better = ~met[rows] | (gap < old) | (np.isnan(old) & ~np.isnan(gap)) | (alike & (name < other[rows]))
+            met[rows], other[rows[better]], distance[rows[better]] = True, name[better], gap[better]
+    return pd.DataFrame({"id": left["id"].to_numpy()[met], "other": other[met], "distance": distance[met]})
+
+
+def _best_in_cells(visits: DataFrame, cells: Cells, whole: bool) -> DataFrame:
+    """Nearest row of the visited cells, ``id, other, distance``; of one part of a cell beyond ``SHARE_ROWS`` unless ``whole``.
+
+    Rows of a bundle and its visitors are both dealt by hash into shares of about ``SHARE_ROWS``; a pair of shares is compared cell by
+    cell by matrix products, so no pair of rows is ever emitted and no group outgrows its share, however many rows are alike.
     """
     spark = visits.sparkSession
-    visitors = dict(visits.groupBy("cell").count().collect())
-    sizes = []
-    for cell, n in cells.table[:, [0, 3]].astype(int).tolist():
-        parts = -(-n // chunk_rows)
-        sizes.append((cell, parts, max(1, -(-visitors.get(cell, 0) // (chunk_rows * (1 if whole else parts))))))
-    dealt = F.broadcast(spark.createDataFrame(sizes, "cell int, parts int, shares int"))  # at most PIVOTS * RINGS rows
+    visitors = dict(visits.groupBy("bundle").count().collect())
+    bundles, sizes = _bundles(cells), []
+    for bundle, n in enumerate(np.bincount(bundles, cells.table[:, 3]).astype(int).tolist()):
+        parts = -(-n // SHARE_ROWS)
+        sizes.append((bundle, parts, max(1, -(-visitors.get(bundle, 0) // (SHARE_ROWS * (1 if whole else parts))))))
+    dealt = F.broadcast(spark.createDataFrame(sizes, "bundle int, parts int, shares int"))  # at most PIVOTS * RINGS rows
+    lines = list(zip(cells.table[:, 0].astype(int).tolist(), bundles.tolist()))
+    placed = F.broadcast(spark.createDataFrame(lines, "cell int, bundle int"))  # as many at most
 
     def copies(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -181,22 +255,12 @@ def _best_in_cells(visits: DataFrame, cells: Cells, chunk_rows: int, whole: bool
         return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
 
     part = copies("parts") if whole else own("parts", 2)
-    left = visits.join(dealt, "cell").select("id", "vec", "cell", own("shares", 1).alias("share"), part.alias("part"))
-    right = cells.rows.join(dealt, "cell").select("id", "vec", "cell", own("parts", 3).alias("part"), copies("shares").alias("share"))
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=["id", "other", "distance"])
-        right = right.sort_values("id")
-        u, v = _matrix(left["vec"]), _matrix(right["vec"])
-        square = (u * u).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2.0 * (u @ v.T)
-        dist = np.sqrt(np.maximum(np.round(square, 12), 0.0))
-        at = dist.argmin(1)
-        return pd.DataFrame({"id": left["id"].to_numpy(), "other": right["id"].to_numpy()[at], "distance": dist[np.arange(len(at)), at]})
-
-    keys = ("cell", "part", "share")
+    left = visits.join(dealt, "bundle").select("id", "vec", "bundle", "cells", own("shares", 1).alias("share"), part.alias("part"))
+    rows = cells.rows.join(placed, "cell").join(dealt, "bundle")
+    right = rows.select("id", "vec", "cell", "bundle", own("parts", 3).alias("part"), copies("shares").alias("share"))
+    keys = ("bundle", "part", "share")
     sides = [spread(side, *keys).groupBy(*keys) for side in (left, right)]
-    found = sides[0].cogroup(sides[1]).applyInPandas(best, "id bigint, other bigint, distance double")
+    found = sides[0].cogroup(sides[1]).applyInPandas(_best_of_cells, "id bigint, other bigint, distance double")
     return found.groupBy("id").agg(F.min(F.struct("distance", "other")).alias("m")).select("id", "m.other", "m.distance")
 
 
@@ -210,10 +274,10 @@ def nearest_rows(queries: DataFrame, rows: DataFrame, chunk_rows: int = CHUNK_RO
         return queries.sparkSession.createDataFrame([], "id bigint, other bigint, distance double")
     queries = queries.select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
     # The part of the home cell that a query meets can be empty by chance; its bound is then open.
-    first = _best_in_cells(written(open_cells(queries, cells), "home-cells"), cells, chunk_rows, whole=False)
+    first = _best_in_cells(written(_visits(queries, cells), "home-cells"), cells, whole=False)
     bound = F.coalesce("distance", F.lit(math.inf)).alias("bound")
     bounded = queries.join(first.select("id", "distance"), "id", "left").select("id", "vec", bound)
-    return _best_in_cells(written(open_cells(bounded, cells), "open-cells"), cells, chunk_rows, whole=True)
+    return _best_in_cells(written(_visits(bounded, cells), "open-cells"), cells, whole=True)
 
 
 def _shared(rows: DataFrame, own: DataFrame, other: DataFrame, keys: list[str], names: tuple[str, str], salt: int) -> DataFrame:
