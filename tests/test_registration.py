@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from tests.helpers import array_of, shape_of, texture, voxels_of
-from voxelweave.model import Shape
+from voxelweave.model import VOXEL_SCHEMA, Shape
 from voxelweave.operators import blocks as bl
 from voxelweave.operators import matching as mt
 from voxelweave.operators import registration as rg
@@ -139,6 +139,32 @@ def test_mutual_information_search_improves_the_matrix(spark):
     np.testing.assert_allclose(best, [[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 1, -1], [0, 0, 0, 1]])
 
 
+def test_scores_by_blocks_equal_voxel_by_voxel(spark, monkeypatch):
+    """Candidates over several blocks against all voxels; singular and far ones too. A block's crop travels once for all of them."""
+    rng, shape = np.random.default_rng(3), Shape(4, 20, 23)
+    arrays = [rng.integers(0, 65536, tuple(shape)) * (rng.random(tuple(shape)) < 0.7) for _ in range(2)]
+    f, m = (spark.createDataFrame([("O", "A", *map(int, at), int(v[at])) for at in np.ndindex(*shape) if v[at]], VOXEL_SCHEMA) for v in arrays)
+    turned = np.array([[1.0, 0.03, 0.0, 0.4], [0.02, 0.9, -0.2, 3.0], [0.1, 0.2, 1.1, -2.5], [0, 0, 0, 1.0]])
+    flat, far = np.diag([1.0, 0.0, 1.0, 1.0]), np.eye(4)
+    far[:3, 3] = 1000
+    matrices = [np.eye(4), turned, flat, far]
+    monkeypatch.setattr(rg, "SCORE_BLOCK", Shape(3, 8, 7))
+    got = rg.score_candidates(rg.binned_blocks(f, shape), rg.binned_blocks(m, shape), shape, (1.0, 1.0, 1.0), matrices)
+    found = {r["candidate"]: r["mi"] for r in got.collect()}
+    points = np.indices(tuple(shape)).reshape(3, -1)
+    for i, matrix in enumerate(matrices):
+        terms = [matrix[:3, 3:], *(matrix[:3, k : k + 1] * points[k] for k in range(3))]
+        at = np.floor(sum(terms) + 0.5).astype(int)
+        inside = ((at >= 0) & (at < np.array(tuple(shape))[:, None])).all(0)
+        seen = np.zeros(shape.size, int)
+        seen[inside] = arrays[1][tuple(at[:, inside])]
+        joint = np.zeros((32, 32))
+        np.add.at(joint, (arrays[0].reshape(-1) // 2048, seen // 2048), 1 / shape.size)
+        p = joint[joint > 0]
+        alone = np.outer(joint.sum(1), joint.sum(0))[joint > 0]
+        assert found[i] == pytest.approx((p * np.log(p / alone)).sum(), abs=1e-9)
+
+
 def test_features_are_block_independent(spark):
     array = texture((4, 20, 22), 3)
     found = []

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelweave.functions.kernels import encode
+from voxelweave.functions.kernels import decode, encode
 from voxelweave.functions.sizing import settled, written
 from voxelweave.model import AXES, BLOCK_KEY, BLOCK_SCHEMA, Shape
 from voxelweave.operators import matching as mt
@@ -27,28 +28,104 @@ DEFAULT_OVERLAP = 0.3
 # ---------------------------------------------------------------- affine refinement
 
 
+SCORE_BLOCK = Shape(64, 64, 64)
+
+
+def binned_blocks(volume: DataFrame, shape: Shape) -> DataFrame:
+    """Written blocks of the histogram bins of a volume; what lies outside ``shape`` is left out."""
+    inside = [(F.col(a) >= 0) & (F.col(a) < n) for a, n in zip(AXES, shape)]
+    filled = volume.filter(inside[0] & inside[1] & inside[2]).withColumn("value", F.coalesce("value", F.lit(0)))
+    names = [F.lit("").alias(c) for c in ("round", "channel")]
+    return written(to_blocks(filled.select(*names, *AXES, tf.bin_of("value").alias("value")), shape, SCORE_BLOCK, "int32"), "bins")
+
+
+def _near(m: np.ndarray, points) -> list[np.ndarray]:
+    """Nearest voxels of index points (z, y, x) under a 3x4 matrix."""
+    z, y, x = points
+    return [np.floor(m[r, 3] + m[r, 0] * z + m[r, 1] * y + m[r, 2] * x + 0.5).astype(np.int64) for r in range(3)]
+
+
+def _box_corners(lo, hi) -> np.ndarray:
+    ends = np.array([lo, hi], dtype=float)
+    return np.array([[ends[i][0], ends[j][1], ends[k][2]] for i, j, k in np.ndindex(2, 2, 2)]).T
+
+
 def score_candidates(fixed: DataFrame, moving: DataFrame, shape: Shape, spacing, matrices: list[np.ndarray]) -> DataFrame:
-    """Mutual information of every candidate matrix, ``candidate, mi``, in one job.
+    """Mutual information of every candidate matrix, ``candidate, mi``, in one job; volumes as :func:`binned_blocks`.
 
-    Grid points are widened by the candidates (a bounded list), sampled at the nearest moving
-    voxel by one equi-join and reduced to joint histograms.
+    A moving block sends each fixed block the crop that any of the candidates reads there, once for all of them; the
+    nearest moving voxel of every fixed one is looked up inside the task, which gives out joint histograms only.
     """
-    index = [tf.index_matrix(m, spacing)[:3] for m in matrices]
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("candidate"), *[F.lit(float(m[r, c])).alias(f"m{r}{c}") for r in range(3) for c in range(4)])
-        for i, m in enumerate(index)
-    ])
-    grid = tf.grid_points(fixed.sparkSession, shape, (1.0, 1.0, 1.0)).select(*[F.col(o).alias(a) for a, o in zip(AXES, tf.OUT)])
-    base = grid.join(fixed.select(*AXES, F.col("value").alias("f")), list(AXES), "left").na.fill(0, ["f"])
-    wide = base.withColumn("c", F.explode(entries))
-    near = [
-        F.floor(sum((F.col(f"c.m{r}{k}") * F.col(a) for k, a in enumerate(AXES)), F.col(f"c.m{r}3")) + 0.5).cast("bigint").alias(f"n{a}")
-        for r, a in enumerate(AXES)
-    ]
-    points = wide.select(F.col("c.candidate").alias("candidate"), "f", *near)
-    values = moving.select(*[F.col(a).alias(f"n{a}") for a in AXES], F.col("value").alias("m"))
-    pairs = points.join(values, [f"n{a}" for a in AXES], "left").na.fill(0, ["m"]).select("candidate", "f", "m")
-    return tf.mutual_information(pairs, shape.size, keys=["candidate"])
+    maps, block = [tf.index_matrix(m, spacing)[:3] for m in matrices], SCORE_BLOCK
+    grid = block_count(shape, block)
+
+    def extent(key) -> tuple[list[int], list[int]]:
+        lo = [k * b for k, b in zip(key, block)]
+        return lo, [min(o + b, n) for o, b, n in zip(lo, block, shape)]
+
+    def source(key) -> tuple[np.ndarray, np.ndarray]:
+        """Moving voxels that any candidate reads for the block."""
+        lo, hi = extent(key)
+        ends = np.array([_near(m, _box_corners(lo, np.array(hi) - 1)) for m in maps])
+        start = np.maximum(ends.min(axis=(0, 2)) - 1, 0)
+        return start, np.maximum(np.minimum(ends.max(axis=(0, 2)) + 2, tuple(shape)), start)
+
+    def readers(lo, hi) -> set[tuple[int, ...]]:
+        """Fixed blocks that may read moving voxels ``lo..hi`` under any candidate."""
+        found = set()
+        for m in maps:
+            spans = [range(n) for n in grid]
+            if abs(np.linalg.det(m[:, :3])) > 1e-9:
+                back = np.linalg.inv(m[:, :3]) @ (_box_corners(np.asarray(lo) - 1.0, np.asarray(hi) + 1.0) - m[:, 3:])
+                ends = zip(np.floor(back.min(axis=1)) - 1, np.ceil(back.max(axis=1)) + 1, block, grid)
+                spans = [range(max(0, int(a // b)), min(n, int(e // b) + 1)) for a, e, b, n in ends]
+            found.update((z, y, x) for z in spans[0] for y in spans[1] for x in spans[2])
+        return found
+
+    def crop(batches):
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                array, o = decode(row), np.array([row.z0, row.y0, row.x0])
+                for key in sorted(readers(o, o + array.shape)):
+                    start, stop = source(key)
+                    a, e = np.maximum(start, o), np.minimum(stop, o + array.shape)
+                    part = array[tuple(slice(i, max(i, j)) for i, j in zip(a - o, e - o))] if np.all(e > a) else array[:0]
+                    if part.any():
+                        out.append((row.round, row.channel, *key, *a.tolist(), *part.shape, row.dtype, encode(part)))
+            if out:
+                yield pd.DataFrame(out, columns=[f.split()[0] for f in BLOCK_SCHEMA.split(",")])
+
+    def tally(key: tuple, rows: list) -> list[tuple]:
+        (lo, hi), (start, stop) = extent(key), source(key)
+        f, box = np.zeros([h - l for l, h in zip(lo, hi)], np.int32), np.zeros(stop - start, np.int32)
+        for row in rows:
+            if row.kind == "fixed":
+                f = decode(row)
+            else:
+                at = [int(p - s) for p, s in zip((row.z0, row.y0, row.x0), start)]
+                box[tuple(slice(p, p + n) for p, n in zip(at, (row.nz, row.ny, row.nx)))] = decode(row)
+        of_f, f = np.unique(f, return_inverse=True)
+        of_m, m = np.unique(np.append(box.reshape(-1), 0), return_inverse=True)  # the last one stands for what is outside
+        f, m = f.reshape(-1), m.reshape(-1)
+        points = np.indices([h - l for l, h in zip(lo, hi)]).reshape(3, -1) + np.array(lo)[:, None].astype(float)
+        out = []
+        for i, matrix in enumerate(maps):
+            at = [n - s for n, s in zip(_near(matrix, points), start.tolist())]
+            inside = np.logical_and.reduce([(n >= 0) & (n < s) for n, s in zip(at, box.shape)])
+            index = np.where(inside, (at[0] * box.shape[1] + at[1]) * box.shape[2] + at[2], box.size)
+            counts = np.bincount(f * len(of_m) + m[index], minlength=len(of_f) * len(of_m))
+            hit = np.flatnonzero(counts)
+            out += zip([i] * len(hit), of_f[hit // len(of_m)].tolist(), of_m[hit % len(of_m)].tolist(), counts[hit].tolist())
+        return out
+
+    parts = fixed.withColumn("kind", F.lit("fixed")).unionByName(moving.mapInPandas(crop, BLOCK_SCHEMA).withColumn("kind", F.lit("moving")))
+    schema = "candidate int, bf int, bm int, n bigint"
+    counted = by_group(parts, list(BLOCK_KEY), tally, schema)
+    # Candidates without any block are all background.
+    none = fixed.sparkSession.createDataFrame([(i, 0, 0, 0) for i in range(len(maps))], schema)
+    joint = counted.unionByName(none).groupBy("candidate", "bf", "bm").agg(F.sum("n").alias("n"))
+    return tf.histogram_information(settled(joint), shape.size, ["candidate"])
 
 
 class NotConverged(RuntimeError):
@@ -72,7 +149,7 @@ def refine_affine(
     for shrink in shrink_factors:
         factors = [min(shrink, n) for n in shape]
         small = shape.scaled_down(factors) if shrink > 1 else shape
-        f, m = (written(rs.downsample(v, shape, factors) if shrink > 1 else v, "pyramid") for v in (fixed, moving))
+        f, m = (binned_blocks(rs.downsample(v, shape, factors) if shrink > 1 else v, small) for v in (fixed, moving))
         level = [s * (n - 1) / (k - 1) if k > 1 else s for s, n, k in zip(spacing, shape, small)]
         shift, linear = np.array(level, dtype=float), linear_step * shrink
         done = halved = 0

@@ -283,6 +283,10 @@ def normalized_correlation(pairs: DataFrame, size: int, keys: list[str] = ()) ->
     return sums.select(*keys, F.coalesce(F.try_divide(top, bottom), F.lit(0.0)).alias("ncc"))
 
 
+def bin_of(column: str, bins: int = 32, top: int = 65536) -> Column:
+    return F.least(F.floor(F.col(column) * bins / F.lit(float(top))).cast("int"), F.lit(bins - 1))
+
+
 def mutual_information(
     pairs: DataFrame, size: int, bins: int = 32, top: int = 65536, keys: list[str] = ()
 ) -> DataFrame:
@@ -292,11 +296,12 @@ def mutual_information(
     computed once and the marginals are taken from it.
     """
     keys = list(keys)
+    binned = [bin_of("f", bins, top).alias("bf"), bin_of("m", bins, top).alias("bm")]
+    return histogram_information(settled(pairs.groupBy(*keys, *binned).agg(F.count(F.lit(1)).alias("n"))), size, keys)
 
-    def bin_of(column: str) -> Column:
-        return F.least(F.floor(F.col(column) * bins / F.lit(float(top))).cast("int"), F.lit(bins - 1))
 
-    joint = settled(pairs.groupBy(*keys, bin_of("f").alias("bf"), bin_of("m").alias("bm")).agg(F.count(F.lit(1)).alias("n")))
+def histogram_information(joint: DataFrame, size: int, keys: list[str] = ()) -> DataFrame:
+    """Mutual information of a stored histogram ``bf, bm, n`` per key; what lacks of ``size`` counts as (0, 0)."""
     absent = joint.groupBy(*keys).agg((F.lit(size) - F.sum("n")).alias("n"))
     absent = absent.select(*keys, F.lit(0).alias("bf"), F.lit(0).alias("bm"), "n")
     joint = joint.unionByName(absent).groupBy(*keys, "bf", "bm").agg(F.sum("n").alias("n")).filter("n > 0")
