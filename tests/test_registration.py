@@ -14,6 +14,7 @@ from voxelweave.operators import registration as rg
 from voxelweave.operators import stitching as sg
 from voxelweave.operators import tiles as tl
 from voxelweave.operators import transform as tf
+from voxelweave.queries import registration
 
 
 def test_phase_correlation_finds_a_planted_shift(spark):
@@ -139,6 +140,37 @@ def test_mutual_information_search_improves_the_matrix(spark):
     np.testing.assert_allclose(best, [[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 1, -1], [0, 0, 0, 1]])
 
 
+def test_search_goes_on_until_nothing_improves(spark, monkeypatch):
+    """Jobs asked for are the least of a level, not its end; the query leaves out no level and no job."""
+    shape, base = Shape(3, 16, 16), texture((3, 30, 30), 9)
+    fixed, moving = voxels_of(spark, base[:, 5:21, 5:21]), voxels_of(spark, base[:, 5:21, 7:23])
+    best = rg.refine_affine(fixed, moving, shape, (1.0, 1.0, 1.0), shrink_factors=(1,), generations=1)
+    np.testing.assert_allclose(best[:3, 3], [0, 0, -2])
+    asked = []
+    monkeypatch.setattr(registration, "_fixed_moving", lambda spark, sf: (fixed, moving, shape))
+    monkeypatch.setattr(rg, "_ransac_step", lambda *args: np.eye(4))
+    monkeypatch.setattr(rg, "refine_affine", lambda *args, **options: asked.append(options) or np.eye(4))
+    registration.reg_affine(spark, "")
+    assert asked == [{"shrink_factors": (4, 2, 1)}]
+
+
+def test_finer_levels_can_go_back_to_the_start(spark, monkeypatch):
+    """A coarse level that drifts does not cost the finest one the matrix that the search began with."""
+    shape, start, seen = Shape(2, 8, 8), np.eye(4), []
+    volume = voxels_of(spark, texture(tuple(shape), 4))
+
+    def score(f, m, small, spacing, matrices):
+        seen.append(tuple(small))
+        moved = [float(np.abs(matrix - start).sum()) for matrix in matrices]
+        mi = [-x if small == shape else min(x, 9.0) for x in moved]
+        return spark.createDataFrame(list(enumerate(mi)), "candidate int, mi double")
+
+    monkeypatch.setattr(rg, "score_candidates", score)
+    best = rg.refine_affine(volume, volume, shape, (1.0, 1.0, 1.0), start, shrink_factors=(2, 1), linear_step=0.02)
+    np.testing.assert_allclose(best, start)
+    assert len(set(seen)) == 2 and seen.count(tuple(shape)) <= 5
+
+
 def test_scores_by_blocks_equal_voxel_by_voxel(spark, monkeypatch):
     """Candidates over several blocks against all voxels; singular and far ones too. A block's crop travels once for all of them."""
     rng, shape = np.random.default_rng(3), Shape(4, 20, 23)

@@ -142,9 +142,10 @@ def refine_affine(
     one job, moves to the best, and halves the steps when nothing improves. A level is done when
     nothing improves after ``halvings`` halvings; where ``iterations`` matrices do not bring all
     levels there, :class:`NotConverged` is raised. ``generations`` asks for that many jobs per
-    level instead, whatever they reach.
+    level at least; it never ends a level that still improves. What a coarse level has moved away
+    from is scored again on each finer one: ``start`` is among the first matrices of every level.
     """
-    best = tf.full_matrix(np.eye(4) if start is None else start)
+    best = first = tf.full_matrix(np.eye(4) if start is None else start)
     scored = 0
     for shrink in shrink_factors:
         factors = [min(shrink, n) for n in shape]
@@ -153,7 +154,7 @@ def refine_affine(
         level = [s * (n - 1) / (k - 1) if k > 1 else s for s, n, k in zip(spacing, shape, small)]
         shift, linear = np.array(level, dtype=float), linear_step * shrink
         done = halved = 0
-        while (halved <= halvings) if generations is None else (done < generations):
+        while halved <= halvings or done < (generations or 0):
             trials = [best]
             for r in range(3):
                 for c in range(4):
@@ -161,6 +162,8 @@ def refine_affine(
                         trial = best.copy()
                         trial[r, c] += sign * (shift[r] if c == 3 else linear)
                         trials.append(trial)
+            if done == 0 and not np.array_equal(best, first):
+                trials.append(first)
             if scored + len(trials) > iterations:
                 raise NotConverged(f"{scored} matrices scored, the level of factor {shrink} still improves")
             scored += len(trials)

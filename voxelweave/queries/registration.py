@@ -260,9 +260,9 @@ def reg_chunk_alignment(spark, sf):
 
 @query("reg_affine")
 def reg_affine(spark, sf):
-    """Affine estimation (features, robust fit, mutual-information search) of the displaced copy."""
+    """Affine estimation of the displaced copy: features, robust fit, mutual-information search over all levels until none improves."""
     fixed, moved, ext = _fixed_moving(spark, sf)
-    steps = [("ransac", {"blob_sizes": SIZES, "patch": 2, "n_iter": 300, "tolerance": 1.5}), ("affine", {"shrink_factors": (1,), "generations": 2})]
+    steps = [("ransac", {"blob_sizes": SIZES, "patch": 2, "n_iter": 300, "tolerance": 1.5}), ("affine", {})]
     matrix = rg.register_affine(fixed, moved, ext, factors=(1, 1, 1), steps=steps, block=BLOCK)
     return _matrix_rows(spark, matrix, ext.size)
 
