@@ -112,6 +112,24 @@ def test_near_duplicates_come_by_fingerprints(spark, monkeypatch):
     assert corpus_pipeline.near_dedup(spark, docs, "").count() == 3
 
 
+def test_all_texts_of_near_fingerprints_are_compared(spark, monkeypatch):
+    """Two near copies in the component of a third text that is not 0.8 like either, without any common band."""
+    sharing = jaccard._sharing
+    monkeypatch.setattr(jaccard, "_sharing", lambda sketched: sharing(sketched).limit(0))
+    base = [f"w406a{i}" for i in range(300)]
+    near = [*base[:255], *(f"x{i}" for i in range(45))]
+    rows = [(i + 1, " ".join(t)) for i, t in enumerate([base, near, [*near[:100], "other", *near[101:]]])]
+    sets = shingle_sets(rows)
+    assert [len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in ((0, 1), (0, 2), (1, 2))] == [False, False, True]
+    schema = table(spark, "/root/testdata/sf0.001", "documents").schema
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], schema)
+    texts = docs.select(F.xxhash64("text").alias("node"), "text")
+    marked = jaccard._marked_alike(texts).collect()
+    assert len(marked) == 2 and {r["a"] for r in marked} == {texts.first()["node"]}
+    kept = corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(first_ids(rows)) == [1, 2]
+
+
 def test_scratch_tables_go(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").where("doc_id < 40")
     with scratch(spark) as keep:
