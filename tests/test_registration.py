@@ -58,6 +58,36 @@ def test_phase_correlation_of_many_windows_and_of_nothing(spark, monkeypatch):
         sg.phase_correlation(pairs, vox, window=7)
 
 
+def textured_pairs(spark):
+    """Two displaced tiles and one of a single voxel, with their pairs."""
+    size, true = (4, 24, 26), (0, -3, 2)
+    base, rows = texture((8, 40, 60), 3), []
+    for tile, (oy, ox) in enumerate([(5, 5), (5 + true[1], 7 + true[2])]):
+        values = base[:4, oy : oy + size[1], ox : ox + size[2]]
+        rows += [(tile, *map(int, at), int(values[at])) for at in np.ndindex(size)]
+    vox = spark.createDataFrame([*rows, (2, 0, 0, 0, 5)], "tile bigint, z bigint, y bigint, x bigint, value bigint")
+    places = [(0, 0, 0, 0, *size), (1, 0, 0, 2, *size), (2, 0, 0, 0, *size)]
+    tiles = spark.createDataFrame(places, "tile bigint, oz bigint, oy bigint, ox bigint, dz bigint, dy bigint, dx bigint")
+    return tl.overlap_pairs(tiles, 4), vox
+
+
+def test_no_table_that_grows_with_the_pairs_is_broadcast(spark, monkeypatch):
+    """Tables read back are sized by their compressed files, so a small file can be millions of shifts on the driver."""
+    plans, settled = [], sg.settled
+    pairs, vox = textured_pairs(spark)
+    pairs = settled(pairs)
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return settled(df)
+
+    monkeypatch.setattr(sg, "settled", watched)
+    monkeypatch.setattr(sg, "PAIR_VOXELS", 0, raising=False)
+    watched(sg.phase_correlation(pairs, vox, min_overlap=3, window=8))
+    assert len(plans) > 3 and any("Join" in plan for plan in plans)
+    assert not [plan for plan in plans if "BroadcastHashJoin" in plan]
+
+
 def test_placement_is_the_least_squares_one(spark):
     rng = np.random.default_rng(4)
     spots = {i: np.array([0.0, 10.0 * (i // 3), 10.0 * (i % 3)]) for i in range(9)}

@@ -34,7 +34,8 @@ def _overlap_rows(pairs: DataFrame, voxels: DataFrame) -> DataFrame:
     inside = F.lit(True)
     for a in AXES:
         inside = inside & (F.col(a) >= F.col(f"l{a}")) & (F.col(a) < F.col(f"l{a}") + F.col(f"n{a}"))
-    return voxels.join(boxes, "tile").filter(inside).select(
+    # Boxes grow with the pairs, and a table read back is sized by its compressed file: no broadcast.
+    return voxels.join(boxes.hint("shuffle_hash"), "tile").filter(inside).select(
         "tile_a", "tile_b", "side", *[(F.col(a) - F.col(f"l{a}")).cast("int").alias(a) for a in AXES],
         *[f"n{a}" for a in AXES], F.col("value").cast("double").alias("value"),
     )
@@ -125,7 +126,7 @@ def _correlations(rows: DataFrame, extents: DataFrame, shifts: DataFrame, window
     bring it to (an axis of one block knows all shifts). Each block gives sums per shift, which Spark adds up.
     """
     half, names = window // 2, ["tile_a", "tile_b", "side", *[f"b{a}" for a in AXES], *AXES, *[f"n{a}" for a in AXES], "value"]
-    trial = shifts.join(extents, ["tile_a", "tile_b"])
+    trial = shifts.join(extents.hint("merge"), ["tile_a", "tile_b"])
     for a in AXES:
         n, s = F.col(f"n{a}"), F.abs(f"s{a}")
         trial = trial.filter((n - s >= F.least(F.lit(min_overlap), n)) & ((n <= window) | (s <= half)))
@@ -166,7 +167,7 @@ def _correlations(rows: DataFrame, extents: DataFrame, shifts: DataFrame, window
     keys = ["tile_a", "tile_b", *[f"b{a}" for a in AXES]]
     schema = "tile_a bigint, tile_b bigint, sz int, sy int, sx int, " + ", ".join(f"{c} double" for c in sums)
     found = spread(blocks, *keys).groupBy(*keys).applyInPandas(block_sums, schema)
-    total = found.groupBy("tile_a", "tile_b", "sz", "sy", "sx").agg(*[F.sum(c).alias(c) for c in sums]).join(extents, ["tile_a", "tile_b"])
+    total = found.groupBy("tile_a", "tile_b", "sz", "sy", "sx").agg(*[F.sum(c).alias(c) for c in sums]).join(extents.hint("merge"), ["tile_a", "tile_b"])
     n = F.lit(1.0)
     for a in AXES:
         n = n * (F.col(f"n{a}") - F.abs(f"s{a}"))
@@ -217,9 +218,9 @@ def phase_correlation(
         for step in (-1, 1):
             one = tops.select(*pair, *[(F.col(f"s{c}") + (step if c == a else 0)).alias(f"s{c}") for c in AXES], F.lit(f"{a}{step}").alias("beside"))
             beside = one if beside is None else beside.unionByName(one)
-    around = _correlations(rows, extents, beside.drop("beside"), window, min_overlap).join(beside, [*pair, "sz", "sy", "sx"])
+    around = _correlations(rows, extents, beside.drop("beside"), window, min_overlap).join(beside.hint("merge"), [*pair, "sz", "sy", "sx"])
     around = around.groupBy(*pair).agg(*[F.max(F.when(F.col("beside") == f"{a}{s}", F.col("r"))).alias(f"{a}{s}") for a in AXES for s in (-1, 1)])
-    found = extents.join(tops, pair, "left").join(around, pair, "left")
+    found = extents.join(tops.hint("merge"), pair, "left").join(around.hint("merge"), pair, "left")
     out = []
     for a in AXES:
         left, right = F.col(f"{a}-1"), F.col(f"{a}1")
