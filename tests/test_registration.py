@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import array_of, shape_of, texture, voxels_of
 from voxelweave.model import VOXEL_SCHEMA, Shape
@@ -88,6 +89,29 @@ def test_no_table_that_grows_with_the_pairs_is_broadcast(spark, monkeypatch):
     assert not [plan for plan in plans if "BroadcastHashJoin" in plan]
 
 
+def test_small_overlaps_are_one_task_s_work_with_the_same_shifts(spark, monkeypatch):
+    """Whole pairs at once against windows, spectra and blocks in tables; null values, several windows and blocks, runs over batches."""
+    pairs, vox = textured_pairs(spark)
+    holes = vox.withColumn("value", F.when((F.col("tile") == 1) & (F.col("y") == 3) & (F.col("x") == 9), F.lit(None)).otherwise(F.col("value")))
+    wrote, settled = [], sg.settled
+    monkeypatch.setattr(sg, "FAN_IN", 2)
+    monkeypatch.setattr(sg, "settled", lambda df: wrote.append(df.columns) or settled(df))
+    for voxels, options in ((vox, {"window": 8}), (vox, {"window": 16, "peaks": 9}), (holes, {"window": 8}), (vox.filter("tile < 0"), {})):
+        rows = {}
+        for limit, held in ((32**3, 1 << 18), (32**3, 100), (0, 1 << 18)):
+            monkeypatch.setattr(sg, "PAIR_VOXELS", limit)
+            monkeypatch.setattr(sg, "RUN_ROWS", held)
+            wrote.clear()
+            found = sg.phase_correlation(pairs, voxels, min_overlap=3, **options)
+            assert found.schema.names == ["tile_a", "tile_b", "sz", "sy", "sx", "r"]
+            assert (len(wrote) == 1) == (limit > 0)
+            rows[limit, held] = sorted(map(tuple, found.collect()))
+        first, *others = rows.values()
+        assert all(len(first) == len(other) for other in others)
+        for other in others:
+            np.testing.assert_allclose(np.array(first).reshape(-1, 6), np.array(other).reshape(-1, 6), atol=1e-9)
+
+
 def test_placement_is_the_least_squares_one(spark):
     rng = np.random.default_rng(4)
     spots = {i: np.array([0.0, 10.0 * (i // 3), 10.0 * (i % 3)]) for i in range(9)}
