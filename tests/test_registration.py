@@ -208,15 +208,16 @@ def test_search_goes_on_until_nothing_improves(spark, monkeypatch):
     assert asked == [{"shrink_factors": (4, 2, 1)}]
 
 
-def test_finer_levels_can_go_back_to_the_start(spark, monkeypatch):
-    """A coarse level that drifts does not cost the finest one the matrix that the search began with."""
+@pytest.mark.parametrize("worse", [1.0, 0.0])
+def test_finer_levels_can_go_back_to_the_start(spark, monkeypatch, worse):
+    """A coarse level that drifts does not cost the finest one the matrix that the search began with, nor do ties."""
     shape, start, seen = Shape(2, 8, 8), np.eye(4), []
     volume = voxels_of(spark, texture(tuple(shape), 4))
 
     def score(f, m, small, spacing, matrices):
         seen.append(tuple(small))
         moved = [float(np.abs(matrix - start).sum()) for matrix in matrices]
-        mi = [-x if small == shape else min(x, 9.0) for x in moved]
+        mi = [-worse * x if small == shape else min(x, 9.0) for x in moved]
         return spark.createDataFrame(list(enumerate(mi)), "candidate int, mi double")
 
     monkeypatch.setattr(rg, "score_candidates", score)

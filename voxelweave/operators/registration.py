@@ -143,7 +143,7 @@ def refine_affine(
     nothing improves after ``halvings`` halvings; where ``iterations`` matrices do not bring all
     levels there, :class:`NotConverged` is raised. ``generations`` asks for that many jobs per
     level at least; it never ends a level that still improves. What a coarse level has moved away
-    from is scored again on each finer one: ``start`` is among the first matrices of every level.
+    from is scored again on each finer one: ``start`` is among the first matrices of every level and wins ties.
     """
     best = first = tf.full_matrix(np.eye(4) if start is None else start)
     scored = 0
@@ -168,7 +168,7 @@ def refine_affine(
                 raise NotConverged(f"{scored} matrices scored, the level of factor {shrink} still improves")
             scored += len(trials)
             scores = {r["candidate"]: round(r["mi"], 9) for r in score_candidates(f, m, small, level, trials).collect()}
-            winner = max(scores, key=lambda i: (scores[i], -i))
+            winner = max(scores, key=lambda i: (scores[i], trials[i] is first, -i))
             if winner == 0:
                 shift, linear, halved = shift / 2, linear / 2, halved + 1
             best, done = trials[winner], done + 1
